@@ -1,0 +1,16 @@
+"""Reading tables that may not have been written yet."""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet table at ``path``, or an empty frame before its first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
