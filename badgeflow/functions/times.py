@@ -49,6 +49,13 @@ def ago(as_of: Column, **units: int) -> Column:
     )
 
 
+def time_text(ts: Column | str, always_micros: bool = False) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` with six digits of microseconds, if any or always."""
+    text = _col(ts).cast("string")
+    plain = F.concat(text, F.lit(".000000")) if always_micros else text
+    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(plain)
+
+
 def ntz(text: str) -> Column:
     """A zone-less timestamp literal."""
     return F.lit(text).cast("timestamp_ntz")

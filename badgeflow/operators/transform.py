@@ -40,12 +40,13 @@ def normalize_event_time(text: Column) -> Column:
 
 
 def parse_payload(events: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text to string fields (one parse per line), original text kept."""
+    """JSON text to string fields, original text kept.
+
+    The fields come out of a generator, which later filters cannot be pushed
+    through: each line is parsed once however many rules look at its fields.
+    """
     parsed = F.from_json(F.col(value), _PAYLOAD, {"columnNameOfCorruptRecord": _BAD_LINE})
-    return (
-        events.select(F.col(value).alias("raw_json"), parsed.alias("p"))
-        .select("raw_json", "p.*")
-    )
+    return events.select(F.col(value).alias("raw_json"), F.inline(F.array(parsed)))
 
 
 def _limits(kept: dict[str, Column]) -> list[Column]:

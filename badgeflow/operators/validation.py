@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.times import ago, as_time
+from ..functions.times import ago, as_time, time_text
 from ..schemas import ID_FIELDS
 
 # Fixed values of the rules.
@@ -21,13 +21,6 @@ def _messages(rules: Rules) -> Column:
     return F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>")
 
 
-def _time_text(ts: Column) -> Column:
-    """Microseconds are printed only where there are any."""
-    whole = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
-
-
 def required_rules() -> tuple[Rules, Rules]:
     errors = [
         F.when(
@@ -41,7 +34,7 @@ def required_rules() -> tuple[Rules, Rules]:
 
 def timestamp_rules(as_of: Column) -> tuple[Rules, Rules]:
     ts = F.col("event_timestamp")
-    text = _time_text(ts)
+    text = time_text(ts)
     age = F.timestamp_diff("MICROSECOND", ts, as_of) / F.lit(1e6)
     errors = [
         F.when(ts > as_of, F.concat(F.lit("Event timestamp "), text, F.lit(" is in the future")))

@@ -10,11 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.times import ago, ntz
+from ..functions.times import ago, ntz, time_text
 from ..operators import analytics, dimensions, facts, monitoring, quality, staging, transform, validation
+from ..schemas import ZONE_SCHEMA
 from ..session import work_dir
 from ..sources import derived
-from ..sources.tables import read_or_empty
 from ..streaming import consume, ingest, pipeline
 from .warehouse import loaded_facts, staged_rows, warehouse
 
@@ -102,7 +102,7 @@ def _(spark, d):
     )
     text = F.when(
         F.col("event_type") == "signup", F.concat(F.lit("at "), F.col("event_id").cast("string"))
-    ).otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), zone))
+    ).otherwise(F.concat(F.translate(time_text("ts"), " ", "T"), zone))
     return derived.table(spark, d, "events").select(
         "event_id", transform.normalize_event_time(text).alias("event_timestamp")
     )
@@ -320,7 +320,7 @@ def _(spark, d):
     """Facts that load once their zones, unknown before, have been added."""
     wh = warehouse(spark, d)
     members = derived.late_zones(wh.staged, wh.zones)
-    members = dimensions.conform(members, derived.ZONE_SCHEMA)
+    members = dimensions.conform(members, ZONE_SCHEMA)
     grown = dimensions.add_missing_members(wh.zones, members, "zone_id", "zone_key")
     return loaded_facts(wh.staged, wh.users, grown, facts=wh.facts)
 
@@ -393,7 +393,8 @@ def _(spark, d):
             spark, f"{root}/raw", f"{root}/stg", f"{root}/log", f"{root}/checkpoint"
         )
     return (
-        read_or_empty(spark, f"{root}/log", consume.STAGE_LOG_SCHEMA)
+        spark.read.schema(consume.STAGE_LOG_SCHEMA)
+        .parquet(f"{root}/log")
         .groupBy("_batch_id")
         .agg(F.sum("rows_read").alias("rows_read"))
         .withColumnRenamed("_batch_id", "batch_id")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.times import ntz, trunc_minute
+from ..functions.times import ntz, time_text, trunc_minute
 from ..operators import quality
 from ..operators.dimensions import conform
 from ..operators.transform import standardize
@@ -48,9 +48,14 @@ def _copies(spark: SparkSession, sf_dir: str, faulty_too: bool) -> DataFrame:
     An event of type error is sent again by the fallback reader; an implausibly
     large value also produced a garbled line.
     """
-    sent = [F.lit(ORIGINAL), F.when(F.col("event_type") == "error", F.lit(RESENT))]
-    if faulty_too:
-        sent.append(F.when(F.col("value") >= 100, F.lit(FAULTY)))
+    again = F.col("event_type") == "error"
+    garbled = (F.col("value") >= 100) if faulty_too else F.lit(False)
+    sent = (
+        F.when(again & garbled, F.lit([ORIGINAL, RESENT, FAULTY]))
+        .when(again, F.lit([ORIGINAL, RESENT]))
+        .when(garbled, F.lit([ORIGINAL, FAULTY]))
+        .otherwise(F.lit([ORIGINAL]))
+    )
     k = F.col("k")
     signal = F.when(k % 10 != 0, -(F.col("value").cast("decimal(9,2)") % 110))
     direction = (
@@ -69,7 +74,7 @@ def _copies(spark: SparkSession, sf_dir: str, faulty_too: bool) -> DataFrame:
             "event_type",
             "value",
             _k().alias("k"),
-            F.explode(F.array_compact(F.array(*sent))).alias("copy"),
+            F.explode(sent).alias("copy"),
         )
         .select(
             "event_id",
@@ -137,14 +142,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def quoted(name: str, value: Column) -> Column:
         return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
 
-    time_text = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    iso_time = F.translate(time_text("event_timestamp", always_micros=True), " ", "T")
     fields = F.concat_ws(
         ",",
         F.when(fault.isNull() | (fault != 1), quoted("badge_id", F.col("badge_id"))),
         F.when(fault == 5, F.lit('"user_id":null')).otherwise(quoted("user_id", F.col("user_id"))),
         quoted("zone_id", F.when(fault == 4, F.rpad("zone_id", 60, "X")).otherwise(F.col("zone_id"))),
         quoted("reader_id", F.col("reader_id")),
-        quoted("event_timestamp", F.when(fault == 0, "not-a-time").otherwise(time_text)),
+        quoted("event_timestamp", F.when(fault == 0, "not-a-time").otherwise(iso_time)),
         F.concat(
             F.lit('"signal_strength":'),
             F.when(fault == 3, '"n/a"').otherwise(

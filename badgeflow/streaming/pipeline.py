@@ -22,7 +22,6 @@ from ..schemas import (
     USER_SCHEMA,
     ZONE_SCHEMA,
 )
-from ..sources.tables import read_or_empty
 from .consume import STAGE_LOG_SCHEMA, stage_changes
 from .ingest import ingest_log_rows, land_raw, read_events, read_landed
 
@@ -31,6 +30,15 @@ LOAD_LOG_SCHEMA = (
     "load_id long, last_batch_id long, rows_loaded long, max_event_key long, loaded_at timestamp_ntz"
 )
 _WAITING_SCHEMA = STAGING_SCHEMA.replace("_batch_id long", "load_id long")
+_TABLES = [
+    ("stg", STAGING_SCHEMA, "_batch_id"),
+    ("stg_waiting", _WAITING_SCHEMA, "load_id"),
+    ("fct", FACT_SCHEMA, "event_date"),
+    ("log/stage", STAGE_LOG_SCHEMA, "_batch_id"),
+    ("log/load", LOAD_LOG_SCHEMA, None),
+    ("log/ingest", INGEST_LOG_SCHEMA, None),
+    ("log/run", RUN_LOG_SCHEMA, None),
+]
 
 
 def _utc_now() -> datetime:
@@ -48,7 +56,7 @@ class Store:
         return f"{self.root}/{name}"
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        return read_or_empty(self.spark, self.path(name), schema)
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     def raw(self) -> DataFrame:
         return read_landed(self.spark, self.path("raw"))
@@ -89,8 +97,11 @@ class Store:
 
 
 def create(spark: SparkSession, root: str, users: DataFrame, zones: DataFrame) -> Store:
-    """A new store with its first dimension members."""
+    """A new store with its first dimension members and all other tables empty."""
     store = Store(spark, root)
+    for name, schema, partition in _TABLES:
+        empty = spark.createDataFrame([], schema).write
+        (empty.partitionBy(partition) if partition else empty).parquet(store.path(name))
     dimensions.conform(users, USER_SCHEMA).write.parquet(store.path("dim_users"))
     dimensions.conform(zones, ZONE_SCHEMA).write.parquet(store.path("dim_zones"))
     return store
@@ -110,6 +121,8 @@ def ingest(
     store: Store, source: str, channel: str = "CH-0", max_files: int | None = None, ingestion_time=None
 ) -> None:
     """Land every file not read before and log each micro-batch."""
+    # Progress of every micro-batch of the run is kept for the log.
+    store.spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     lines = read_events(store.spark, source, max_files=max_files)
     query = land_raw(lines, store.path("raw"), store.path("checkpoint/ingest"), ingestion_time)
     query.awaitTermination()
