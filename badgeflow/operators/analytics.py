@@ -6,16 +6,14 @@ user holding most events is then one row at the join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numbers import mean, median_of_longs, percent, ratio
+from ..functions.numbers import mean, median_of_longs, percent
 from ..functions.times import as_time, seconds_between
 from .dimensions import UNKNOWN, users_current
 from .staging import pending_count
 from .transform import UNKNOWN_SIGNAL
 
-COUNT = F.count
-
 
 def _n() -> Column:
     return F.count(F.lit(1))
@@ -46,8 +44,6 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
 
 def layer_count_diff(layers: dict[str, DataFrame]) -> DataFrame:
     """Each layer's count and the previous layer's surplus over it, by layer name."""
-    from pyspark.sql import Window
-
     previous = F.lag("row_count").over(Window.orderBy("layer"))  # one row per layer
     return layer_counts(layers).select(
         "layer",
@@ -102,12 +98,13 @@ def fact_date_range(facts: DataFrame) -> DataFrame:
 def events_by_date(facts: DataFrame, dates: int = 10, approximate: bool = False) -> DataFrame:
     """Events, distinct badges and zones of the latest dates.
 
-    The latest dates are found first, so only their partitions are counted.
+    The oldest of those dates is found first, so only their partitions are read.
     """
     latest = facts.select("event_date").distinct().orderBy(F.col("event_date").desc()).limit(dates)
+    oldest = latest.agg(F.min("event_date")).scalar()
     distinct = F.approx_count_distinct if approximate else F.countDistinct
     return (
-        facts.join(F.broadcast(latest), "event_date", "left_semi")  # at most `dates` rows
+        facts.filter(F.col("event_date") >= oldest)
         .groupBy("event_date")
         .agg(
             _n().alias("event_count"),
@@ -120,16 +117,10 @@ def events_by_date(facts: DataFrame, dates: int = 10, approximate: bool = False)
 
 def direction_distribution(facts: DataFrame) -> DataFrame:
     counts = facts.groupBy("direction").agg(_n().alias("event_count"))
-    total = counts.agg(F.sum("event_count").alias("_total"))
-    return (
-        counts.crossJoin(F.broadcast(total))  # one row
-        .select(
-            "direction",
-            "event_count",
-            percent(F.col("event_count"), F.col("_total")).alias("percentage"),
-        )
-        .orderBy(F.col("event_count").desc(), "direction")
-    )
+    total = counts.agg(F.sum("event_count")).scalar()
+    return counts.select(
+        "direction", "event_count", percent(F.col("event_count"), total).alias("percentage")
+    ).orderBy(F.col("event_count").desc(), "direction")
 
 
 def signal_quality_distribution(facts: DataFrame, exclude_unknown: bool = False) -> DataFrame:
@@ -215,14 +206,12 @@ def ingestion_latency(facts: DataFrame) -> DataFrame:
         facts.filter(F.col("fact_load_time").isNotNull())
         .select(seconds_between("ingestion_time", "fact_load_time").alias("latency"))
     )
-    spread = latency.agg(
+    return latency.agg(
         F.lit("Ingestion Latency").alias("metric"),
         F.min("latency").alias("min_latency_sec"),
         F.max("latency").alias("max_latency_sec"),
         F.round(mean(F.col("latency")), 6).alias("avg_latency_sec"),
-    )
-    median = median_of_longs(latency, "latency").withColumnRenamed("median", "median_latency_sec")
-    return spread.crossJoin(F.broadcast(median))  # one row each
+    ).withColumn("median_latency_sec", median_of_longs(latency, "latency").scalar())
 
 
 def pipeline_verdict(
@@ -237,19 +226,18 @@ def pipeline_verdict(
     counts = layer_counts(layers).agg(
         (F.min("row_count") == F.max("row_count")).alias("counts_match")
     )
-    pending = pending_count(raw, stage_log).select((F.col("pending_count") == 0).alias("stream_empty"))
-    runs = run_log.agg((F.count_if(F.col("state") == "FAILED") == 0).alias("no_failed_tasks"))
-    latency = facts.agg(
-        (F.max(seconds_between("ingestion_time", "fact_load_time")) < max_latency_sec).alias(
-            "latency_ok"
-        )
-    )
-    row = counts.crossJoin(pending).crossJoin(runs).crossJoin(latency)  # one row each
-    checks = ["counts_match", "stream_empty", "no_failed_tasks", "latency_ok"]
-    healthy = F.col(checks[0])
-    for c in checks[1:]:
-        healthy = healthy & F.col(c)
-    return row.withColumn("pipeline_ok", healthy)
+    failed = run_log.agg(F.count_if(F.col("state") == "FAILED")).scalar()
+    slowest = facts.agg(F.max(seconds_between("ingestion_time", "fact_load_time"))).scalar()
+    pending = pending_count(raw, stage_log).select("pending_count").scalar()
+    checks = {
+        "stream_empty": pending == 0,
+        "no_failed_tasks": failed == 0,
+        "latency_ok": slowest < max_latency_sec,
+    }
+    healthy = F.col("counts_match")
+    for name in checks:
+        healthy = healthy & F.col(name)
+    return counts.withColumns(checks).withColumn("pipeline_ok", healthy)
 
 
 # -- access analytics ------------------------------------------------------------

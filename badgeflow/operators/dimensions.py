@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.times import as_time, now
 from ..schemas import SEED_USERS, SEED_ZONES, USER_SCHEMA, ZONE_SCHEMA
@@ -16,15 +16,25 @@ TRACKED = ("user_name", "user_type", "department", "email", "phone", "clearance_
 
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """Select the columns of a DDL schema, NULL where ``df`` lacks one."""
-    target = df.sparkSession.createDataFrame([], schema).schema
+    have = set(df.columns)
     return df.select(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in T.StructType.fromDDL(schema)
         ]
     )
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows, held in the plan itself."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def dense_key(df: DataFrame, natural_key: str, key: str, start: Column) -> DataFrame:
     """Number rows start+1, start+2, ... by a rule of the data alone.
 
@@ -59,7 +69,7 @@ def max_key(dim: DataFrame, key: str) -> Column:
 def seed_users(spark: SparkSession, as_of=None) -> DataFrame:
     stamp = now() if as_of is None else as_time(as_of)
     names = "user_id string, user_name string, user_type string, department string, clearance_level string"
-    seeds = spark.createDataFrame(SEED_USERS, names)
+    seeds = literal_rows(spark, SEED_USERS, names)
     return conform(with_user_defaults(seeds, stamp), USER_SCHEMA)
 
 
@@ -70,7 +80,7 @@ def seed_zones(spark: SparkSession, as_of=None) -> DataFrame:
         "zone_name string, zone_type string, capacity long, requires_clearance string, "
         "is_restricted boolean, reader_location string, reader_type string"
     )
-    seeds = spark.createDataFrame(SEED_ZONES, names).withColumns(
+    seeds = literal_rows(spark, SEED_ZONES, names).withColumns(
         {
             "is_monitored": F.lit(True),
             "created_timestamp": stamp,

@@ -79,8 +79,12 @@ def fact_load(
 
 
 def unplaced(staged: DataFrame, zones: DataFrame) -> DataFrame:
-    """Staged rows whose zone is not known yet; they load once it is."""
-    return dedup_latest(staged).join(zones.select("zone_id"), "zone_id", "left_anti")
+    """Staged rows whose zone is not known yet; they load once it is.
+
+    Only these few are deduplicated. An older copy kept here because the newest
+    one had a known zone never loads: its key is in the fact by then.
+    """
+    return dedup_latest(staged.join(zones.select("zone_id"), "zone_id", "left_anti"))
 
 
 def with_event_key(facts: DataFrame, first_key: int = 1) -> DataFrame:

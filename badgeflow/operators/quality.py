@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import percent
 from ..functions.times import ago, as_time, ntz, seconds_between, trunc_hour
@@ -165,8 +165,9 @@ FACT_CHECKS = [
 
 
 def measure(df: DataFrame, checks: list[Check], as_of, by: Column | None = None) -> DataFrame:
-    """Metric values in long form: data_metric_name, column_names, value.
+    """Metric values in long form, each with its expectation.
 
+    Columns: data_metric_name, column_names, value, expectation, op, threshold.
     All row-level checks share one aggregate over ``df``. With ``by`` they are
     measured per group (``slice``); grouped metrics then do not apply.
     """
@@ -175,28 +176,14 @@ def measure(df: DataFrame, checks: list[Check], as_of, by: Column | None = None)
     keep = [] if by is None else ["slice"]
     grouped = df.groupBy() if by is None else df.groupBy(by.alias("slice"))
     long_form = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c.metric).alias("data_metric_name"),
-                    F.lit(",".join(c.columns)).alias("column_names"),
-                    F.col(f"m{i}").alias("value"),
-                )
-                for i, c in enumerate(rows)
-            ]
-        )
+        F.array(*[F.struct(*_described(c, F.col(f"m{i}"))) for i, c in enumerate(rows)])
     )
     result = grouped.agg(*exprs).select(*keep, long_form)
     if by is None:
         for c in checks:
             if c.metric in GROUPED_METRICS:
-                result = result.unionByName(
-                    GROUPED_METRICS[c.metric](df, *c.columns).select(
-                        F.lit(c.metric).alias("data_metric_name"),
-                        F.lit(",".join(c.columns)).alias("column_names"),
-                        F.col("value").cast("long").alias("value"),
-                    )
-                )
+                value = GROUPED_METRICS[c.metric](df, *c.columns)
+                result = result.unionByName(value.select(*_described(c, F.col("value"))))
     return result
 
 
@@ -206,20 +193,26 @@ def _row_expression(check: Check, as_of) -> Column:
     return ROW_METRICS[check.metric](*check.columns)
 
 
-def rules_of(spark: SparkSession, checks: list[Check]) -> DataFrame:
-    rows = [
-        (c.metric, ",".join(c.columns), c.expectation, c.op, c.threshold)
-        for c in checks
-        if c.expectation is not None
+def _described(check: Check, value: Column) -> list[Column]:
+    return [
+        F.lit(check.metric).alias("data_metric_name"),
+        F.lit(",".join(check.columns)).alias("column_names"),
+        value.cast("long").alias("value"),
+        F.lit(check.expectation).cast("string").alias("expectation"),
+        F.lit(check.op).cast("string").alias("op"),
+        F.lit(check.threshold).cast("long").alias("threshold"),
     ]
-    return spark.createDataFrame(
-        rows,
-        "data_metric_name string, column_names string, expectation string, op string, threshold long",
-    )
 
 
-def evaluate(measures: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add ``expectation_violations``: the names of the expectations that failed."""
+def evaluate(measures: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """Add ``expectation_violations``: the names of the expectations that failed.
+
+    ``rules`` (data_metric_name, column_names, expectation, op, threshold) replaces
+    the expectations the measures carry.
+    """
+    if rules is not None:
+        bare = measures.drop("expectation", "op", "threshold")
+        measures = bare.join(rules, ["data_metric_name", "column_names"], "left")
     value, limit, op = F.col("value"), F.col("threshold"), F.col("op")
     holds = (
         F.when(op == "=", value == limit)
@@ -229,12 +222,9 @@ def evaluate(measures: DataFrame, rules: DataFrame) -> DataFrame:
         .when(op == ">=", value >= limit)
     )
     broken = F.when(F.col("expectation").isNotNull() & ~holds, F.array("expectation"))
-    return (
-        measures.join(rules, ["data_metric_name", "column_names"], "left")
-        .withColumn(
-            "expectation_violations", F.coalesce(broken, F.array().cast("array<string>"))
-        )
-        .drop("expectation", "op", "threshold")
+    none = F.array().cast("array<string>")
+    return measures.withColumn("expectation_violations", F.coalesce(broken, none)).drop(
+        "expectation", "op", "threshold"
     )
 
 
@@ -248,7 +238,7 @@ def run_suite(
     schedule: str = "MANUAL",
 ) -> DataFrame:
     """Measure and judge one table; rows fit the result log."""
-    judged = evaluate(measure(df, checks, as_of), rules_of(df.sparkSession, checks))
+    judged = evaluate(measure(df, checks, as_of))
     return _as_log(judged, as_time(as_of), database, schema, table, schedule)
 
 
@@ -256,9 +246,7 @@ def run_suite_per_hour(
     df: DataFrame, ts: str, checks: list[Check], database: str, schema: str, table: str
 ) -> DataFrame:
     """The row-level checks on every clock hour, measured at the hour's end."""
-    judged = evaluate(
-        measure(df, checks, None, by=trunc_hour(ts)), rules_of(df.sparkSession, checks)
-    )
+    judged = evaluate(measure(df, checks, None, by=trunc_hour(ts)))
     at = F.col("slice") + F.make_dt_interval(F.lit(0), F.lit(1), F.lit(0), F.lit(0))
     return _as_log(judged, at, database, schema, table, "HOURLY").drop("slice")
 

@@ -54,11 +54,10 @@ def raw_to_staging(changes: DataFrame, staging_time=None) -> DataFrame:
 
 def pending_count(raw: DataFrame, stage_log: DataFrame) -> DataFrame:
     """Landing rows not yet consumed: rows landed minus rows read so far."""
-    landed = raw.agg(F.count(F.lit(1)).alias("landed"))
-    read = stage_log.agg(F.coalesce(F.sum("rows_read"), F.lit(0)).alias("read"))
-    return landed.crossJoin(read).select(
+    read = stage_log.agg(F.coalesce(F.sum("rows_read"), F.lit(0))).scalar()
+    return raw.agg(F.count(F.lit(1)).alias("landed")).select(
         F.lit("Stream Pending Records").alias("check_type"),
-        (F.col("landed") - F.col("read")).cast("long").alias("pending_count"),
+        (F.col("landed") - read).cast("long").alias("pending_count"),
     )
 
 

@@ -22,8 +22,16 @@ RESEND_READER = "RDR-999"
 ORIGINAL, RESENT, FAULTY = 0, 1, 2
 
 
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its files are listed and its schema read once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(path)
+    return _tables[key]
 
 
 def padded(prefix: str, number: Column, width: int) -> Column:
@@ -300,11 +308,18 @@ def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce(F.sum(F.when(~bad, F.octet_length("value"))), F.lit(0))
             .cast("long")
             .alias("bytes_inserted"),
-            F.max(F.concat(F.lit("fault "), F.col("fault").cast("string"))).alias(
-                "last_error_message"
-            ),
+            F.max("fault").alias("fault"),
+        )
+        .select(
+            "channel_name",
+            F.lit(PIPE).alias("pipe_name"),
+            "server_timestamp",
+            "rows_parsed",
+            "rows_inserted",
+            "rows_error_count",
+            "bytes_inserted",
+            F.concat(F.lit("fault "), F.col("fault").cast("string")).alias("last_error_message"),
         )
-        .withColumn("pipe_name", F.lit(PIPE))
     )
 
 
