@@ -35,7 +35,9 @@ def normalize_event_time(text: Column) -> Column:
     clean = F.trim(text)
     zoned = clean.rlike(r"(?i)[0-9](z|[+-][0-9]{2}:?[0-9]{2})$") & clean.rlike(r"[Tt ][0-9]{1,2}:")
     in_utc = F.concat(clean, F.when(clean.contains(":"), "Z").otherwise("T00:00:00Z"))
-    instant = F.when(zoned, clean).otherwise(in_utc).try_cast("timestamp")
+    # A bare time of day would be read as today's.
+    dated = clean.rlike("^[0-9]{4}(-|$)")
+    instant = F.when(dated, F.when(zoned, clean).otherwise(in_utc)).try_cast("timestamp")
     millis = F.floor(F.unix_micros(instant) / 1000).cast("long")
     return F.timestamp_add("MICROSECOND", millis * 1000, as_time("1970-01-01 00:00:00"))
 

@@ -110,6 +110,8 @@ def test_split_keeps_every_line(spark):
         ("2025-10-31 14:23:45.999999", "2025-10-31 14:23:45.999000"),
         ("2025-10-31", "2025-10-31 00:00:00.000000"),
         ("yesterday", None),
+        ("12:30:00", None),
+        ("12:30:00Z", None),
         ("", None),
     ],
 )
