@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from ..functions.times import as_time, now
 from ..schemas import SEED_USERS, SEED_ZONES, USER_SCHEMA, ZONE_SCHEMA
+from .joins import salted_join
 
 # Fixed values for members first seen in an event.
 UNKNOWN = "UNKNOWN"
@@ -210,7 +211,9 @@ def users_as_of(users: DataFrame, when) -> DataFrame:
     return users.filter(valid_at(as_time(when)))
 
 
-def events_with_user_version(events: DataFrame, users: DataFrame) -> DataFrame:
+def events_with_user_version(
+    events: DataFrame, users: DataFrame, hot_users: DataFrame | None = None
+) -> DataFrame:
     """Each event with the user version in force at its event time.
 
     An equi-join on user_id; the date range only filters a user's few versions.
@@ -223,10 +226,14 @@ def events_with_user_version(events: DataFrame, users: DataFrame) -> DataFrame:
         "effective_start_date",
         "effective_end_date",
     )
-    return (
-        events.join(versions, "user_id")
-        .filter(valid_at(F.col("event_timestamp")))
-        .drop("effective_start_date", "effective_end_date")
+    if hot_users is None:
+        joined = events.join(versions, "user_id")
+    else:
+        joined = salted_join(
+            events, versions, "user_id", hot_users, ("badge_id", "event_timestamp")
+        )
+    return joined.filter(valid_at(F.col("event_timestamp"))).drop(
+        "effective_start_date", "effective_end_date"
     )
 
 

@@ -107,13 +107,15 @@ def write_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def compact(facts: DataFrame, target: str) -> None:
+def compact(facts: DataFrame, target: str, rows_per_file: int = 5_000_000) -> None:
     """Rewrite the fact by date and time order to a new path (never in place).
 
-    Range partitions cut a large date by time, so no task takes a whole date.
+    Range partitions cut a large date by time, so no task takes a whole date; their
+    number follows the row count, which Parquet answers from its footers.
     """
+    parts = max(1, -(-facts.count() // rows_per_file))
     (
-        facts.repartitionByRange("event_date", "event_timestamp")
+        facts.repartitionByRange(parts, "event_date", "event_timestamp")
         .sortWithinPartitions("event_date", "event_timestamp")
         .write.mode("errorifexists")
         .partitionBy("event_date")

@@ -11,7 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.times import ago, ntz, time_text
-from ..operators import analytics, dimensions, facts, monitoring, quality, staging, transform, validation
+from ..operators import (
+    analytics,
+    dimensions,
+    facts,
+    joins,
+    monitoring,
+    quality,
+    staging,
+    transform,
+    validation,
+)
 from ..schemas import ZONE_SCHEMA
 from ..session import work_dir
 from ..sources import derived
@@ -298,13 +308,15 @@ def _load_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Dat
 
 @query("fact_load")
 def _(spark, d):
-    staged, _, zones = _load_inputs(spark, d)
-    return loaded_facts(staged, derived.users(spark, d), zones)
+    staged = staged_rows(derived.raw_rows(spark, d))
+    return loaded_facts(staged, derived.users(spark, d), derived.zones(spark, d))
 
 
 @query("process_badge_events")
 def _(spark, d):
-    return loaded_facts(*_load_inputs(spark, d))
+    """Unknown members, then facts; users holding very many events are spread."""
+    hot = joins.heavy_keys(derived.raw_rows(spark, d), "user_id")
+    return loaded_facts(*_load_inputs(spark, d), hot_users=hot)
 
 
 @query("fact_idempotent_load")
