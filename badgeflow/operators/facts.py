@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.times import as_time, now
 from ..schemas import FACT_COLUMNS
@@ -15,6 +15,9 @@ DAY_STARTS_AT = 6
 DAY_ENDS_AT = 22
 SUNDAY, SATURDAY = 0, 6
 
+# Beyond this many days a batch is pruned by date only.
+MAX_RANGES = 60
+
 
 def calendar(ts: Column) -> dict[str, Column]:
     """Date, hour, day of week (0 = Sunday), after-hours and weekend flags."""
@@ -36,14 +39,33 @@ def with_calendar(events: DataFrame, ts: str = "event_timestamp") -> DataFrame:
 def not_loaded(staged: DataFrame, facts: DataFrame) -> DataFrame:
     """Staged rows whose (badge, time) is not in the fact yet.
 
-    The caller prunes ``facts`` to the dates it loads (``touching``).
+    The caller prunes ``facts`` to the times it loads (``touching``).
     """
     return staged.join(facts.select(*DEDUP_KEY), list(DEDUP_KEY), "left_anti")
 
 
-def touching(facts: DataFrame, dates: list) -> DataFrame:
-    """The fact partitions of the given dates only."""
-    return facts.filter(F.col("event_date").isin(dates))
+def time_spans(staged: DataFrame) -> list[tuple]:
+    """(date, first, last event time) per calendar day of a batch."""
+    rows = staged.groupBy(F.to_date("event_timestamp").alias("day")).agg(
+        F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
+    )
+    return [tuple(r) for r in rows.collect()]
+
+
+def touching(facts: DataFrame, spans: list[tuple]) -> DataFrame:
+    """The part of the fact that a batch with these spans can overlap.
+
+    Dates prune partitions; the time ranges reach the Parquet reader, which skips
+    the files and row groups outside them, as they are sorted by time. A batch of
+    the last minute so reads minutes of the fact, not all of today.
+    """
+    pruned = facts.filter(F.col("event_date").isin([day for day, _, _ in spans]))
+    if len(spans) > MAX_RANGES:
+        return pruned
+    ts, inside = F.col("event_timestamp"), F.lit(False)
+    for _, first, last in spans:
+        inside = inside | ts.between(as_time(first), as_time(last))
+    return pruned.filter(inside)
 
 
 def fact_load(
@@ -88,23 +110,38 @@ def unplaced(staged: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def with_event_key(facts: DataFrame, first_key: int = 1) -> DataFrame:
-    """Unique increasing keys; gaps are allowed."""
+    """Unique increasing keys; gaps are allowed.
+
+    Keys number the rows of a partition, so they belong after the last shuffle: a
+    task that runs again then renumbers only its own, uncommitted file.
+    """
     return facts.withColumn("event_key", F.lit(first_key) + F.monotonically_increasing_id())
 
 
-def write_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
-    """Append to the date-partitioned fact table.
+def write_facts(
+    facts: DataFrame,
+    path: str,
+    first_key: int = 1,
+    mode: str = "append",
+    written: Observation | None = None,
+) -> None:
+    """Append to the date-partitioned fact table, with keys from ``first_key``.
 
     REBALANCE sizes the files by volume: a date holding most rows is split over
-    many tasks and small dates share one.
+    many tasks and small dates share one. ``written`` receives ``rows`` and the
+    highest ``key``.
     """
-    (
-        facts.hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "event_timestamp")
-        .write.mode(mode)
-        .partitionBy("event_date")
-        .parquet(path)
+    laid_out = facts.hint("rebalance", "event_date").sortWithinPartitions(
+        "event_date", "event_timestamp"
     )
+    keyed = with_event_key(laid_out, first_key)
+    if written is not None:
+        keyed = keyed.observe(
+            written,
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.max("event_key"), F.lit(0)).alias("key"),
+        )
+    keyed.write.mode(mode).partitionBy("event_date").parquet(path)
 
 
 def compact(facts: DataFrame, target: str, rows_per_file: int = 5_000_000) -> None:

@@ -24,7 +24,7 @@ from ..operators import (
 )
 from ..schemas import ZONE_SCHEMA
 from ..session import work_dir
-from ..sources import derived
+from ..sources import derived, landing
 from ..streaming import consume, ingest, pipeline
 from .warehouse import loaded_facts, staged_rows, warehouse
 
@@ -365,10 +365,10 @@ def _(spark, d):
     root = work_dir(spark, "ingest")
     _write_lines(derived.lines(spark, d), f"{root}/lines")
     ingest.land_raw(
-        ingest.read_events(spark, f"{root}/lines"), f"{root}/raw", f"{root}/checkpoint"
+        landing.read_events(spark, f"{root}/lines"), f"{root}/raw", f"{root}/checkpoint"
     ).awaitTermination()
-    landed = ingest.read_landed(spark, f"{root}/raw").drop("ingestion_time", "ingest_date")
-    rejects = ingest.read_rejects(spark, f"{root}/raw").select(
+    landed = landing.read_landed(spark, f"{root}/raw").drop("ingestion_time", "ingest_date")
+    rejects = landing.read_rejects(spark, f"{root}/raw").select(
         "raw_json", F.concat_ws("; ", "reject_reasons").alias("reject_reasons")
     )
     return landed.unionByName(rejects, allowMissingColumns=True)
@@ -378,7 +378,7 @@ def _(spark, d):
 def _(spark, d):
     root = work_dir(spark, "dedup")
     raw = derived.raw_rows(spark, d).withColumns(
-        {"status": F.lit(ingest.ACCEPTED), "ingest_date": F.to_date("ingestion_time")}
+        {"status": F.lit(landing.ACCEPTED), "ingest_date": F.to_date("ingestion_time")}
     )
     raw.write.partitionBy("status", "ingest_date").parquet(f"{root}/raw")
     consume.stage_changes(
@@ -393,7 +393,7 @@ def _(spark, d):
     """Three runs of the change feed: each reads only what landed since."""
     root = work_dir(spark, "cdc")
     raw = derived.raw_rows(spark, d).withColumns(
-        {"status": F.lit(ingest.ACCEPTED), "ingest_date": F.to_date("ingestion_time")}
+        {"status": F.lit(landing.ACCEPTED), "ingest_date": F.to_date("ingestion_time")}
     )
     early = F.col("ingestion_time") < ntz(SPLIT_AT)
     for part in (early, ~early, None):

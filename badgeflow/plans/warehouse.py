@@ -86,7 +86,7 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     last = made.raw.agg(F.max("ingestion_time")).scalar()
     dimensions.upsert_unknown_users(made.staged, enrolled, last).write.parquet(f"{root}/dim_users")
     rows = loaded_facts(made.staged, made.users, made.zones)
-    facts.write_facts(facts.with_event_key(rows), f"{root}/fct")
+    facts.write_facts(rows, f"{root}/fct")
     return made
 
 

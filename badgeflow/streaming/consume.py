@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.staging import raw_to_staging
-from .ingest import changes
+from ..sources.landing import changes
 
 STAGE_LOG_SCHEMA = "rows_read long, _batch_id long"
 

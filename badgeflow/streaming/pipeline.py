@@ -22,8 +22,9 @@ from ..schemas import (
     USER_SCHEMA,
     ZONE_SCHEMA,
 )
+from ..sources.landing import read_events, read_landed
 from .consume import STAGE_LOG_SCHEMA, stage_changes
-from .ingest import ingest_log_rows, land_raw, read_events, read_landed
+from .ingest import ingest_log_rows, land_raw
 
 PIPE = "BADGE_EVENTS_PIPE"
 LOAD_LOG_SCHEMA = (
@@ -149,7 +150,7 @@ def process_badge_events(store: Store, load_time=None) -> int:
     """Unknown members first, then facts, for what staging gained; rows loaded.
 
     Reads only batches after the last finished load and the rows that waited for
-    their zone, and only the fact partitions of their dates.
+    their zone, and only the parts of the fact that their times overlap.
     """
     done = store.load_log().agg(
         F.coalesce(F.max("load_id"), F.lit(0)).alias("load_id"),
@@ -161,17 +162,16 @@ def process_badge_events(store: Store, load_time=None) -> int:
     fresh = staged.filter(F.col("_batch_id").between(done["batch"] + 1, newest)).drop("_batch_id")
     waiting = store.waiting().filter(F.col("load_id") == done["load_id"]).drop("load_id")
     batch = fresh.unionByName(waiting)
-    # One row per calendar day touched.
-    dates = [r[0] for r in batch.select(F.to_date("event_timestamp")).distinct().collect()]
-    if not dates:
+    spans = facts.time_spans(batch)  # one row per calendar day
+    if not spans:
         return 0
     load_id = done["load_id"] + 1
 
     members = dimensions.new_members(batch, store.users(), load_time)
     members.write.mode("append").parquet(store.path("dim_users"))
 
-    loaded = facts.touching(store.facts(), dates)
-    # Keys of an unfinished earlier attempt lie in the same dates.
+    loaded = facts.touching(store.facts(), spans)
+    # Keys of an unfinished earlier attempt lie in the same spans.
     taken = loaded.agg(F.coalesce(F.max("event_key"), F.lit(0))).first()[0]
     new = facts.fact_load(
         batch,
@@ -182,12 +182,8 @@ def process_badge_events(store: Store, load_time=None) -> int:
         hot_users=heavy_keys(batch, "user_id"),
     )
     written = Observation()
-    keyed = facts.with_event_key(new, max(done["key"], taken) + 1).observe(
-        written,
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.max("event_key"), F.lit(0)).alias("key"),
-    )
-    facts.write_facts(keyed, store.path("fct"))
+    first_key = max(done["key"], taken) + 1
+    facts.write_facts(new, store.path("fct"), first_key, written=written)
     (
         facts.unplaced(batch, store.zones())
         .withColumn("load_id", F.lit(load_id).cast("long"))

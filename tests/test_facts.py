@@ -98,13 +98,18 @@ def test_heavy_keys_are_bounded(spark):
 def test_write_prunes_and_compacts(spark, users, zones, tmp_path):
     rows = staged(spark, *[(f"B{i}", "U1", "Z1", i) for i in range(100)])
     path, target = str(tmp_path / "fct"), str(tmp_path / "compacted")
-    facts.write_facts(facts.with_event_key(facts.fact_load(rows, users, zones, load_time=T0)), path)
+    facts.write_facts(facts.fact_load(rows, users, zones, load_time=T0), path)
     stored = spark.read.parquet(path)
     assert stored.count() == 100
     assert stored.select("event_key").distinct().count() == 100
-    day = stored.select("event_date").first()[0]
-    plan = facts.touching(stored, [day])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan or "PartitionFilters: [(event_date" in plan
+    batch = staged(spark, ("B3", "U1", "Z1", 3), ("B5", "U1", "Z1", 5), ("B30", "U1", "Z1", 30))
+    spans = sorted(facts.time_spans(batch))
+    assert [str(day) for day, _, _ in spans] == ["2024-01-05", "2024-01-06"]
+    touched = facts.touching(stored, spans)
+    assert {r.badge_id for r in touched.collect()} == {"B3", "B4", "B5", "B30"}
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(event_timestamp" in plan.split("PushedFilters: [")[1]
     facts.compact(stored, target)
     rewritten = spark.read.parquet(target)
     assert rewritten.exceptAll(stored.select(rewritten.columns)).count() == 0
@@ -115,3 +120,28 @@ def test_keys_continue_after_the_last(spark):
     df = spark.range(10).repartition(3)
     keys = [r.event_key for r in facts.with_event_key(df, 500).collect()]
     assert min(keys) >= 500 and len(set(keys)) == 10
+
+
+def test_a_date_with_most_rows_is_split_over_files(spark, users, zones, tmp_path):
+    rows = spark.range(40000).selectExpr(
+        "concat('BADGE-', id) badge_id", "'U1' user_id", "'Z1' zone_id", "concat('R', uuid()) reader_id",
+        "timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(if(id % 10 < 9, 0, 1), 0, 0, id) event_timestamp",
+        "cast(-50 as decimal(5,2)) signal_strength", "'STRONG' signal_quality", "'ENTRY' direction",
+        "timestamp_ntz'2024-01-05 10:00:00' ingestion_time", "timestamp_ntz'2024-01-05 10:00:00' staging_time",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        loaded = facts.fact_load(rows, users, zones, load_time=T0).repartition(4)
+        facts.write_facts(loaded, str(tmp_path / "fct"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.read.parquet(str(tmp_path / "fct"))
+    files = (
+        stored.select("event_date", F.input_file_name().alias("file"))
+        .distinct()
+        .groupBy("event_date")
+        .agg(F.count("file").alias("n"))
+        .collect()
+    )
+    assert stored.count() == stored.select("event_key").distinct().count() == 40000
+    assert max(r.n for r in files) > 1

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from badgeflow.operators import dimensions
 from badgeflow.schemas import USER_SCHEMA, ZONE_SCHEMA
-from badgeflow.streaming import consume, ingest, pipeline
+from badgeflow.sources import landing
+from badgeflow.streaming import consume, pipeline
 
 T0 = datetime(2024, 1, 5, 10)
 
@@ -68,7 +69,7 @@ def test_rejects_are_kept(store, spark):
     deliver(store, line("B1", "U1", "Z1"), "garbage", line("B2", None, "Z1"))
     pipeline.ingest(store, store.path("lines"))
     assert store.raw().count() == 1
-    reasons = {r.raw_json[:7]: r.reject_reasons for r in ingest.read_rejects(spark, store.path("raw")).collect()}
+    reasons = {r.raw_json[:7]: r.reject_reasons for r in landing.read_rejects(spark, store.path("raw")).collect()}
     assert reasons["garbage"] == ["line is not a JSON object"]
     assert ["user_id is missing"] in reasons.values()
 
