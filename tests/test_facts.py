@@ -131,8 +131,9 @@ def test_a_date_with_most_rows_is_split_over_files(spark, users, zones, tmp_path
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
     try:
-        loaded = facts.fact_load(rows, users, zones, load_time=T0).repartition(4)
-        facts.write_facts(loaded, str(tmp_path / "fct"))
+        loaded = facts.fact_load(rows, users, zones, load_time=T0)
+        loaded.repartition(4).write.parquet(str(tmp_path / "loaded"))
+        facts.write_facts(spark.read.parquet(str(tmp_path / "loaded")), str(tmp_path / "fct"))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     stored = spark.read.parquet(str(tmp_path / "fct"))
