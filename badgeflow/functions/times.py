@@ -27,11 +27,23 @@ def trunc_minute(ts: Column | str) -> Column:
     )
 
 
+def _since_epoch(unit: str, ts: Column | str) -> Column:
+    return F.timestamp_diff(unit, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _col(ts))
+
+
+def instant(ts: Column | str) -> Column:
+    """The instant at which a UTC clock shows this zone-less time."""
+    return F.timestamp_micros(_since_epoch("MICROSECOND", ts))
+
+
+def utc_clock(micros: Column) -> Column:
+    """Microseconds since 1970 as the zone-less time a UTC clock shows."""
+    return F.timestamp_add("MICROSECOND", micros, ntz("1970-01-01 00:00:00"))
+
+
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since 1970 on the wall clock."""
-    return F.timestamp_diff(
-        "SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _col(ts)
-    )
+    return _since_epoch("SECOND", ts)
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:

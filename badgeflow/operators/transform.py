@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.times import as_time, now
+from ..functions.times import as_time, now, utc_clock
 from ..schemas import EVENT_FIELDS, ID_FIELDS, RAW_COLUMNS, SIGNAL_TYPE
 
 # Fixed values of the landing contract.
@@ -39,7 +39,7 @@ def normalize_event_time(text: Column) -> Column:
     dated = clean.rlike("^[0-9]{4}(-|$)")
     instant = F.when(dated, F.when(zoned, clean).otherwise(in_utc)).try_cast("timestamp")
     millis = F.floor(F.unix_micros(instant) / 1000).cast("long")
-    return F.timestamp_add("MICROSECOND", millis * 1000, as_time("1970-01-01 00:00:00"))
+    return utc_clock(millis * 1000)
 
 
 def parse_payload(events: DataFrame, value: str = "value") -> DataFrame:
