@@ -144,7 +144,7 @@ def write_facts(
     keyed.write.mode(mode).partitionBy("event_date").parquet(path)
 
 
-def compact(facts: DataFrame, target: str, rows_per_file: int = 5_000_000) -> None:
+def compact(facts: DataFrame, target: str, rows_per_file: int = 1_000_000) -> None:
     """Rewrite the fact by date and time order to a new path (never in place).
 
     Range partitions cut a large date by time, so no task takes a whole date; their

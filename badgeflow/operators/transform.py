@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import Rule, messages, with_computed
 from ..functions.times import as_time, now, utc_clock
 from ..schemas import EVENT_FIELDS, ID_FIELDS, RAW_COLUMNS, SIGNAL_TYPE
 
@@ -33,7 +34,7 @@ def normalize_event_time(text: Column) -> Column:
     An offset is applied, a missing one means UTC, bad text gives NULL.
     """
     clean = F.trim(text)
-    zoned = clean.rlike(r"(?i)[0-9](z|[+-][0-9]{2}:?[0-9]{2})$") & clean.rlike(r"[Tt ][0-9]{1,2}:")
+    zoned = clean.rlike(r"[T ][0-9]{1,2}:.*([zZ]|[+-][0-9]{2}:?[0-9]{2})$")
     in_utc = F.concat(clean, F.when(clean.contains(":"), "Z").otherwise("T00:00:00Z"))
     # A bare time of day would be read as today's.
     dated = clean.rlike("^[0-9]{4}(-|$)")
@@ -52,15 +53,15 @@ def parse_payload(events: DataFrame, value: str = "value") -> DataFrame:
     return events.select(F.col(value).alias("raw_json"), F.inline(F.array(parsed)))
 
 
-def _limits(kept: dict[str, Column]) -> list[Column]:
+def _limits(kept: dict[str, Column]) -> list[Rule]:
     """NOT NULL and length rules of the landing table."""
-    rules = [F.when(kept[c].isNull(), f"{c} is missing") for c in ID_FIELDS]
+    rules: list[Rule] = [(kept[c].isNull(), f"{c} is missing") for c in ID_FIELDS]
     rules += [
-        F.when(F.length(kept[c]) > MAX_ID_LENGTH, f"{c} is longer than {MAX_ID_LENGTH}")
+        (F.length(kept[c]) > MAX_ID_LENGTH, f"{c} is longer than {MAX_ID_LENGTH}")
         for c in ID_FIELDS
     ]
     rules.append(
-        F.when(
+        (
             F.length(kept["direction"]) > MAX_DIRECTION_LENGTH,
             f"direction is longer than {MAX_DIRECTION_LENGTH}",
         )
@@ -88,27 +89,32 @@ def pipe_transform(
         direction = F.trim(direction)
     event_time = F.col("event_timestamp").try_cast("timestamp_ntz")
     bad_line = F.col(_BAD_LINE).isNotNull() | F.col("raw_json").isNull()
-    reasons = [
-        F.when(
-            F.col("event_timestamp").isNull(), "event_timestamp is missing"
-        ).when(event_time.isNull(), "event_timestamp is not a time"),
-        *_limits({c: F.col(c) for c in ID_FIELDS} | {"direction": direction}),
-        F.when(
-            F.col("signal_strength").isNotNull() & signal.isNull(),
-            "signal_strength is not a number",
-        ).when(stored.isNull(), "signal_strength is out of range"),
-    ]
-    return p.select(
+    no_time, no_signal = F.col("event_timestamp").isNull(), F.col("signal_strength").isNull()
+    reasons = messages(
+        [
+            (no_time, "event_timestamp is missing"),
+            (~no_time & event_time.isNull(), "event_timestamp is not a time"),
+            *_limits({c: F.col(c) for c in ID_FIELDS} | {"direction": direction}),
+            (~no_signal & signal.isNull(), "signal_strength is not a number"),
+            (signal.isNotNull() & stored.isNull(), "signal_strength is out of range"),
+        ]
+    )
+    landing = {
+        "_time": event_time,
+        "_signal": signal,
+        "reject_reasons": F.when(
+            bad_line, F.array(F.lit("line is not a JSON object"))
+        ).otherwise(reasons),
+    }
+    return with_computed(p, landing).select(
         *ID_FIELDS,
-        event_time.alias("event_timestamp"),
-        stored.alias("signal_strength"),
-        signal_quality(signal).alias("signal_quality"),
+        F.col("_time").alias("event_timestamp"),
+        F.coalesce("_signal", F.lit(UNKNOWN_SIGNAL)).try_cast(SIGNAL_TYPE).alias("signal_strength"),
+        signal_quality(F.col("_signal")).alias("signal_quality"),
         direction.alias("direction"),
         (now() if ingestion_time is None else as_time(ingestion_time)).alias("ingestion_time"),
         "raw_json",
-        F.when(bad_line, F.array(F.lit("line is not a JSON object")))
-        .otherwise(F.array_compact(F.array(*reasons)))
-        .alias("reject_reasons"),
+        "reject_reasons",
     )
 
 

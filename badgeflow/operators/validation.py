@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.columns import Rule, messages, with_computed
 from ..functions.times import ago, as_time, time_text
 from ..schemas import ID_FIELDS
 
@@ -14,41 +15,40 @@ STRONGEST, WEAKEST, WEAK_BELOW = 0, -100, -80
 MAX_ID_LENGTH = 50
 DIRECTION_PATTERN = "^(ENTRY|EXIT)$"
 
-Rules = list[Column]
+WHITESPACE = " \t\n\r\f\v"
 
-
-def _messages(rules: Rules) -> Column:
-    return F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>")
+Rules = list[Rule]
 
 
 def required_rules() -> tuple[Rules, Rules]:
-    errors = [
-        F.when(
-            F.coalesce(c, F.lit("")).rlike(r"^\s*$"), f"{c} is required and cannot be empty"
-        )
-        for c in ID_FIELDS
-    ]
-    errors.append(F.when(F.col("event_timestamp").isNull(), "event_timestamp is required"))
+    blank = {c: F.coalesce(F.trim(c, F.lit(WHITESPACE)), F.lit("")) == "" for c in ID_FIELDS}
+    errors = [(blank[c], f"{c} is required and cannot be empty") for c in ID_FIELDS]
+    errors.append((F.col("event_timestamp").isNull(), "event_timestamp is required"))
     return errors, []
 
 
 def timestamp_rules(as_of: Column) -> tuple[Rules, Rules]:
     ts = F.col("event_timestamp")
     text = time_text(ts)
-    age = F.timestamp_diff("MICROSECOND", ts, as_of) / F.lit(1e6)
+    age = F.timestamp_diff("MICROSECOND", ts, as_of)
+    # Hours to one decimal, in whole tenths (of 360 seconds).
+    tenths = F.floor((age + 180_000_000) / 360_000_000)
+    hours = F.concat(
+        F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string")
+    )
     errors = [
-        F.when(ts > as_of, F.concat(F.lit("Event timestamp "), text, F.lit(" is in the future")))
+        (ts > as_of, F.concat(F.lit("Event timestamp "), text, F.lit(" is in the future")))
     ]
     warnings = [
-        F.when(
+        (
             ts < ago(as_of, days=MAX_AGE_DAYS),
             F.concat(
                 F.lit("Event timestamp "), text, F.lit(f" is more than {MAX_AGE_DAYS} days old")
             ),
         ),
-        F.when(
-            age > STALE_AFTER_SECONDS,
-            F.format_string("Event is %.1f hours old", age / F.lit(3600.0)),
+        (
+            age > STALE_AFTER_SECONDS * 1_000_000,
+            F.concat(F.lit("Event is "), hours, F.lit(" hours old")),
         ),
     ]
     return errors, warnings
@@ -58,42 +58,38 @@ def signal_rules() -> tuple[Rules, Rules]:
     signal = F.col("signal_strength").cast("double")
     text = signal.cast("string")
     errors = [
-        F.when(
+        (
             signal > STRONGEST,
             F.concat(F.lit("Signal strength "), text, F.lit(" dBm cannot be positive")),
         ),
-        F.when(
+        (
             signal < WEAKEST,
             F.concat(F.lit("Signal strength "), text, F.lit(" dBm is too weak (< -100 dBm)")),
         ),
     ]
     warnings = [
-        F.when(
-            signal < WEAK_BELOW, F.concat(F.lit("Weak signal strength: "), text, F.lit(" dBm"))
-        )
+        (signal < WEAK_BELOW, F.concat(F.lit("Weak signal strength: "), text, F.lit(" dBm")))
     ]
     return errors, warnings
 
 
 def id_rules() -> tuple[Rules, Rules]:
     return [
-        F.when(F.length(c) > MAX_ID_LENGTH, f"{c} exceeds maximum length of {MAX_ID_LENGTH}")
+        (F.length(c) > MAX_ID_LENGTH, f"{c} exceeds maximum length of {MAX_ID_LENGTH}")
         for c in ID_FIELDS
     ], []
 
 
 def direction_rules() -> tuple[Rules, Rules]:
-    return [
-        F.when(
-            ~F.col("direction").rlike(DIRECTION_PATTERN), "direction must be ENTRY or EXIT"
-        )
-    ], []
+    return [(~F.col("direction").rlike(DIRECTION_PATTERN), "direction must be ENTRY or EXIT")], []
 
 
 def _check(events: DataFrame, groups: list[tuple[Rules, Rules]], strict: bool) -> DataFrame:
     errors = [rule for group in groups for rule in group[0]]
     warnings = [rule for group in groups for rule in group[1]]
-    checked = events.withColumns({"errors": _messages(errors), "warnings": _messages(warnings)})
+    checked = with_computed(
+        events, {"errors": messages(errors), "warnings": messages(warnings)}
+    )
     valid = F.size("errors") == 0
     if strict:
         valid = valid & (F.size("warnings") == 0)

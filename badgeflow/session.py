@@ -17,9 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # Above 8000 bytes the JVM leaves a generated method uncompiled; Spark then
-    # does better with smaller methods.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Call sites for error messages cost several driver calls per expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
