@@ -4,9 +4,10 @@ import check_oracle
 import pytest
 
 import __spark_entry__ as entry
+from badgeflow.plans import oracles, registry
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLE = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
