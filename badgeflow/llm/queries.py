@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from badgeflow.llm.decontaminate import op7_decontaminate
+from badgeflow.llm.fingerprint import op1_order_minhash
+from badgeflow.llm.line_dedup import op10_line_dedup
 from badgeflow.llm.mixing import op3_mix
 from badgeflow.llm.packing import op8_pack
 from badgeflow.llm.sharding import op2_jump_shards
+from badgeflow.llm.warc import op6_warc
 
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_jump_shards": op2_jump_shards,
     "op3_mix": op3_mix,
+    "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_pack": op8_pack,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 # None of these can be held against SQL in reasonable time: tests/llm has brute-force versions.
