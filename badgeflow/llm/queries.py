@@ -7,6 +7,7 @@ from badgeflow.llm.fingerprint import op1_order_minhash
 from badgeflow.llm.line_dedup import op10_line_dedup
 from badgeflow.llm.mixing import op3_mix
 from badgeflow.llm.packing import op8_pack
+from badgeflow.llm.quality import op4_quality
 from badgeflow.llm.sharding import op2_jump_shards
 from badgeflow.llm.warc import op6_warc
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_jump_shards": op2_jump_shards,
     "op3_mix": op3_mix,
+    "op4_quality": op4_quality,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_pack": op8_pack,
