@@ -6,6 +6,7 @@ from badgeflow.llm.decontaminate import op7_decontaminate
 from badgeflow.llm.fingerprint import op1_order_minhash
 from badgeflow.llm.line_dedup import op10_line_dedup
 from badgeflow.llm.mixing import op3_mix
+from badgeflow.llm.ngram_join import op9_ngram_join
 from badgeflow.llm.packing import op8_pack
 from badgeflow.llm.quality import op4_quality
 from badgeflow.llm.sharding import op2_jump_shards
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_pack": op8_pack,
+    "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
 }
 
