@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -369,11 +368,12 @@ def _joined(groups: DataFrame) -> DataFrame:
         nodes = rows["node"].to_pylist()
         sets = [grams for chunk in rows["text"].chunks for grams in shingle_sets(chunk)]
         found = join_group(sets, rows["label"].to_pylist())
-        lowest: dict[int, int] = defaultdict(lambda: max(nodes))
+        lowest: dict[int, int] = {}
         for number, node in enumerate(nodes):
             root = found.root(number)
-            lowest[root] = min(lowest[root], node)
-        return pa.table({"node": nodes, "root": [lowest[found.root(i)] for i in range(len(nodes))]}, pa.schema([("node", pa.int64()), ("root", pa.int64())]))
+            lowest[root] = min(lowest.get(root, node), node)
+        roots = [lowest[found.root(number)] for number in range(len(nodes))]
+        return pa.table({"node": pa.array(nodes, pa.int64()), "root": pa.array(roots, pa.int64())})
 
     return groups.select("group", "node", "label", "text").groupBy("group").applyInArrow(run, "node bigint, root bigint")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from badgeflow.llm.decontaminate import op7_decontaminate
 from badgeflow.llm.fingerprint import op1_order_minhash
+from badgeflow.llm.html_extract import op5_html_text
 from badgeflow.llm.line_dedup import op10_line_dedup
 from badgeflow.llm.mixing import op3_mix
 from badgeflow.llm.ngram_join import op9_ngram_join
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_jump_shards": op2_jump_shards,
     "op3_mix": op3_mix,
     "op4_quality": op4_quality,
+    "op5_html_text": op5_html_text,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_pack": op8_pack,

@@ -10,11 +10,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from badgeflow.llm.common import stored, table
+from badgeflow.llm.common import DOCUMENT_COLUMNS, stored, table
 from badgeflow.llm.decontaminate import clean_documents
 from badgeflow.llm.mixing import mix_documents
+from badgeflow.llm.ngram_join import one_of_each
 from badgeflow.llm.packing import pack
-from badgeflow.llm.common import DOCUMENT_COLUMNS
+from badgeflow.llm.quality import good_documents, train
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts, trained on those with labels."""
+    return good_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates."""
+    return one_of_each(docs.select(*DOCUMENT_COLUMNS)).select(*DOCUMENT_COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +46,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("good", good),
+    ("distinct", distinct),
     ("decontaminated", decontaminated),
     ("mixed", mixed),
     ("packed", packed),
