@@ -437,10 +437,15 @@ def join_documents(docs: DataFrame, group_shingles: int = GROUP_SHINGLES) -> Dat
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of each component the document with the smallest doc_id, with all its columns.
 
-    Rows without a doc_id stay; of repeated rows of one doc_id all stay.
+    Of rows repeated with doc_id and text, one stays. Rows without a doc_id all stay.
     """
-    found = join_documents(docs).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    found = stored(join_documents(docs), "ngram-components")
+    kept = docs.join(found.where("doc_id != component_id").select("doc_id").distinct(), "doc_id", "left_anti")
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
 
 
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:
