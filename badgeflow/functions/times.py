@@ -65,7 +65,11 @@ def time_text(ts: Column | str, always_micros: bool = False) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` with six digits of microseconds, if any or always."""
     text = _col(ts).cast("string")
     plain = F.concat(text, F.lit(".000000")) if always_micros else text
-    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(plain)
+    # Years may have more than four digits, so only the fraction has a fixed length.
+    fraction = F.rpad(F.substring_index(text, ".", -1), 6, "0")
+    return F.when(
+        F.contains(text, F.lit(".")), F.concat(F.substring_index(text, ".", 1), F.lit("."), fraction)
+    ).otherwise(plain)
 
 
 def ntz(text: str) -> Column:

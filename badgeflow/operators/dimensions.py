@@ -161,11 +161,14 @@ def orphaned_users(events: DataFrame, users: DataFrame) -> DataFrame:
 def scd2_apply(users: DataFrame, changes: DataFrame, as_of, tracked=TRACKED) -> DataFrame:
     """Close changed current rows at ``as_of`` and add their new versions.
 
-    ``changes`` holds one row per user_id with the tracked attributes. Rows equal
-    to the current version (NULLs equal) add nothing; unknown ids are inserted.
+    Of several rows of one user_id in ``changes`` the one with the greatest attributes
+    counts, so there is one new version at most. Rows equal to the current version
+    (NULLs equal) add nothing; unknown ids are inserted.
     """
     stamp = as_time(as_of)
-    incoming = changes.select("user_id", *tracked)
+    incoming = (
+        changes.groupBy("user_id").agg(F.max(F.struct(*tracked)).alias("_new")).select("user_id", "_new.*")
+    )
     now_current = users_current(users).select(
         "user_id", F.struct(*tracked).alias("_now"), F.col("created_timestamp").alias("_created")
     )

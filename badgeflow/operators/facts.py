@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.times import as_time, now
 from ..schemas import FACT_COLUMNS
@@ -15,8 +15,8 @@ DAY_STARTS_AT = 6
 DAY_ENDS_AT = 22
 SUNDAY, SATURDAY = 0, 6
 
-# Beyond this many days a batch is pruned by date only.
-MAX_RANGES = 60
+# Ranges of the fact that a load names; days in excess are merged where they lie closest.
+RANGES = 32
 
 
 def calendar(ts: Column) -> dict[str, Column]:
@@ -44,12 +44,26 @@ def not_loaded(staged: DataFrame, facts: DataFrame) -> DataFrame:
     return staged.join(facts.select(*DEDUP_KEY), list(DEDUP_KEY), "left_anti")
 
 
-def time_spans(staged: DataFrame) -> list[tuple]:
-    """(date, first, last event time) per calendar day of a batch."""
-    rows = staged.groupBy(F.to_date("event_timestamp").alias("day")).agg(
+def time_spans(staged: DataFrame, ranges: int = RANGES) -> list[tuple]:
+    """At most ``ranges`` (first, last) event times that hold a batch, in order.
+
+    One per calendar day; of more days those with the least time between them share
+    a range. So bad clocks cost a wider read, and never more than this many rows here.
+    """
+    days = staged.groupBy(F.to_date("event_timestamp").alias("day")).agg(
         F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
+    ).filter("day IS NOT NULL")
+    in_order = Window.orderBy("day")  # one row per calendar day
+    gaps = days.withColumn("before", F.lag("last").over(in_order)).withColumn(
+        "gap", F.timestamp_diff("SECOND", F.col("before"), F.col("first"))
     )
-    return [tuple(r) for r in rows.collect()]
+    widest = gaps.orderBy(F.col("gap").desc_nulls_first(), "day").limit(ranges)
+    cuts = sorted((r.first_, r.before) for r in widest.withColumnRenamed("first", "first_").collect())
+    if not cuts:
+        return []
+    last = days.agg(F.max("last")).first()[0]
+    ends = [before for _, before in cuts[1:]] + [last]
+    return [(first, end) for (first, _), end in zip(cuts, ends)]
 
 
 def touching(facts: DataFrame, spans: list[tuple]) -> DataFrame:
@@ -59,13 +73,12 @@ def touching(facts: DataFrame, spans: list[tuple]) -> DataFrame:
     the files and row groups outside them, as they are sorted by time. A batch of
     the last minute so reads minutes of the fact, not all of today.
     """
-    pruned = facts.filter(F.col("event_date").isin([day for day, _, _ in spans]))
-    if len(spans) > MAX_RANGES:
-        return pruned
-    ts, inside = F.col("event_timestamp"), F.lit(False)
-    for _, first, last in spans:
-        inside = inside | ts.between(as_time(first), as_time(last))
-    return pruned.filter(inside)
+    day, ts = F.col("event_date"), F.col("event_timestamp")
+    dates, times = F.lit(False), F.lit(False)
+    for first, last in spans:
+        dates = dates | day.between(F.lit(first.date()), F.lit(last.date()))
+        times = times | ts.between(as_time(first), as_time(last))
+    return facts.filter(dates).filter(times)
 
 
 def fact_load(

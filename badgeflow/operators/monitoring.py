@@ -190,9 +190,9 @@ def pipe_volume(ingest_log: DataFrame, as_of) -> DataFrame:
 
 
 def task_history(
-    run_log: DataFrame, as_of, hours: int = 24, limit: int | None = 1000
+    run_log: DataFrame, as_of, hours: int = 24, limit: int | None = None
 ) -> DataFrame:
-    """The latest runs with duration and mapped status."""
+    """The runs of the last hours, newest first, with duration and mapped status."""
     state = F.col("state")
     rows = (
         since(run_log, "scheduled_time", as_of, hours=hours)
@@ -217,7 +217,7 @@ def task_history(
 def task_durations(run_log: DataFrame, as_of, hours: int = 24) -> DataFrame:
     """Runs and mean seconds per task, successful runs only."""
     return (
-        task_history(run_log, as_of, hours, limit=None)
+        task_history(run_log, as_of, hours)
         .filter(F.col("execution_status") == "SUCCESS")
         .groupBy("task_name")
         .agg(

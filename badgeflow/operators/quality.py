@@ -125,6 +125,15 @@ def register_metric(name: str, metric: Callable, grouped: bool = False) -> None:
     (GROUPED_METRICS if grouped else ROW_METRICS)[name] = metric
 
 
+COMPARATORS: dict[str, Callable[[Column, Column], Column]] = {
+    "=": lambda value, limit: value == limit,
+    "<>": lambda value, limit: value != limit,
+    "<": lambda value, limit: value < limit,
+    "<=": lambda value, limit: value <= limit,
+    ">": lambda value, limit: value > limit,
+    ">=": lambda value, limit: value >= limit,
+}
+
 # -- expectations -------------------------------------------------------------
 
 
@@ -138,6 +147,10 @@ class Check:
     op: str | None = None
     threshold: int | None = None
 
+    def __post_init__(self):
+        if self.expectation is not None and (self.op not in COMPARATORS or self.threshold is None):
+            raise ValueError(f"{self.expectation} cannot be judged: {self.op!r} {self.threshold!r}")
+
 
 RAW_CHECKS = [
     *[Check("NULL_COUNT", (c,), "no_nulls", "=", 0)
@@ -208,20 +221,18 @@ def evaluate(measures: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """Add ``expectation_violations``: the names of the expectations that failed.
 
     ``rules`` (data_metric_name, column_names, expectation, op, threshold) replaces
-    the expectations the measures carry.
+    the expectations the measures carry. What cannot be judged does not pass: a NULL
+    value or threshold violates its expectation, and an unknown comparator stops the job.
     """
     if rules is not None:
         bare = measures.drop("expectation", "op", "threshold")
         measures = bare.join(rules, ["data_metric_name", "column_names"], "left")
-    value, limit, op = F.col("value"), F.col("threshold"), F.col("op")
-    holds = (
-        F.when(op == "=", value == limit)
-        .when(op == "<", value < limit)
-        .when(op == "<=", value <= limit)
-        .when(op == ">", value > limit)
-        .when(op == ">=", value >= limit)
-    )
-    broken = F.when(F.col("expectation").isNotNull() & ~holds, F.array("expectation"))
+    op = F.coalesce("op", F.lit("none"))
+    holds = F.raise_error(F.concat(F.lit("unknown comparator: "), op)).cast("boolean")
+    for name, compare in COMPARATORS.items():
+        holds = F.when(op == name, compare(F.col("value"), F.col("threshold"))).otherwise(holds)
+    passed = F.when(F.col("expectation").isNull(), True).otherwise(F.coalesce(holds, F.lit(False)))
+    broken = F.when(~passed, F.array("expectation"))
     none = F.array().cast("array<string>")
     return measures.withColumn("expectation_violations", F.coalesce(broken, none)).drop(
         "expectation", "op", "threshold"
@@ -369,3 +380,30 @@ def alert_rows(results: DataFrame, database: str, as_of, minutes: int = 5) -> Da
             "expectation_violations",
         )
     )
+
+
+ALERT_KEY = ("measurement_time", "table_name", "data_metric_name", "column_names")
+
+
+def append_alerts(results: DataFrame, database: str, path: str, as_of, minutes: int = 5) -> None:
+    """Append the alerts of the last minutes that the log at ``path`` does not hold yet.
+
+    A run that is repeated, or whose window overlaps the one before, raises no alert
+    twice: an alert is known by its measurement.
+    """
+    at = as_time(as_of)
+    fresh = (
+        violations(results, database)
+        .filter(F.col("measurement_time") >= ago(at, minutes=minutes))
+        .select(
+            at.alias("alert_time"),
+            *ALERT_KEY,
+            F.col("measurement_value").alias("value"),
+            "expectation_violations",
+        )
+    )
+    spark = results.sparkSession
+    empty = spark.createDataFrame([], fresh.schema)
+    empty.write.mode("append").parquet(path)  # so that a first run finds a log
+    known = spark.read.schema(fresh.schema).parquet(path).select(*ALERT_KEY)
+    fresh.join(known, list(ALERT_KEY), "left_anti").write.mode("append").parquet(path)

@@ -13,12 +13,15 @@ DEDUP_KEY = ("badge_id", "event_timestamp")
 TIE_BREAK = ("reader_id", "zone_id", "user_id", "signal_strength", "direction")
 
 
-def with_feed_metadata(rows: DataFrame) -> DataFrame:
-    """Change-feed columns of an append-only table."""
+def with_feed_metadata(rows: DataFrame, action: str = "INSERT", is_update=False) -> DataFrame:
+    """Change-feed columns; an append-only table has inserts only.
+
+    An update is a DELETE of the old row and an INSERT of the new one, both marked.
+    """
     return rows.select(
         "*",
-        F.lit("INSERT").alias("_action"),
-        F.lit(False).alias("_is_update"),
+        F.lit(action).alias("_action"),
+        F.lit(is_update).alias("_is_update"),
         F.xxhash64(*rows.columns).alias("_row_id"),
     )
 

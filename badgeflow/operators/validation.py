@@ -27,12 +27,41 @@ def required_rules() -> tuple[Rules, Rules]:
     return errors, []
 
 
+def tenths_of_hours(micros: Column) -> Column:
+    """Hours as a double, rounded to tenths by its exact binary value, ties to even.
+
+    A tie is a multiple of 1/20, so the double times 20 is compared with an odd number;
+    times 16 and times 4 are exact, and what their sum rounds off is kept in ``rest``.
+    """
+    hours = micros.cast("double") / F.lit(1e6) / F.lit(3600.0)
+    large, small = hours * F.lit(16.0), hours * F.lit(4.0)
+    total = large + small
+    rest = small - (total - large)
+    below = F.floor(total / F.lit(2.0))
+    tie = below * 2 + 1
+    up = (total > tie) | ((total == tie) & ((rest > 0) | ((rest == 0) & (below % 2 == 1))))
+    return below + F.when(up, 1).otherwise(0)
+
+
+def number_text(number: Column) -> Column:
+    """A double as text: positional from 0.0001 on, below that with a two-digit exponent."""
+    text = number.cast("string")
+    digits = F.regexp_replace(F.substring_index(F.abs(number).cast("string"), "E", 1), r"\.0$", "")
+    sign = F.when(number < 0, "-").otherwise("")
+    tiny = F.abs(number) < 1e-4
+    exponent = F.lpad(F.substring_index(text, "E-", -1), 2, "0")
+    return (
+        F.when((number == 0) | (F.abs(number) >= 1e-3), text)
+        .when(tiny, F.concat(sign, digits, F.lit("e-"), exponent))
+        .otherwise(F.concat(sign, F.lit("0.000"), F.replace(digits, F.lit("."), F.lit(""))))
+    )
+
+
 def timestamp_rules(as_of: Column) -> tuple[Rules, Rules]:
     ts = F.col("event_timestamp")
     text = time_text(ts)
     age = F.timestamp_diff("MICROSECOND", ts, as_of)
-    # Hours to one decimal, in whole tenths (of 360 seconds).
-    tenths = F.floor((age + 180_000_000) / 360_000_000)
+    tenths = tenths_of_hours(age)
     hours = F.concat(
         F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string")
     )
@@ -56,7 +85,7 @@ def timestamp_rules(as_of: Column) -> tuple[Rules, Rules]:
 
 def signal_rules() -> tuple[Rules, Rules]:
     signal = F.col("signal_strength").cast("double")
-    text = signal.cast("string")
+    text = number_text(signal)
     errors = [
         (
             signal > STRONGEST,

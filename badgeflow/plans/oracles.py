@@ -31,6 +31,11 @@ CALENDAR = """CAST(event_timestamp AS DATE) AS event_date,
     hour(event_timestamp) < 6 OR hour(event_timestamp) >= 22 AS is_after_hours,
     dayofweek(event_timestamp) IN (0, 6) AS is_weekend"""
 
+HIST = """
+  SELECT name AS task_name, state, scheduled_time, completed_time,
+    date_diff('second', scheduled_time, completed_time) AS duration_seconds, error_code, error_message,
+    CASE state WHEN 'SUCCEEDED' THEN 'SUCCESS' WHEN 'FAILED' THEN 'FAILED' WHEN 'SKIPPED' THEN 'SKIPPED' ELSE 'UNKNOWN' END AS execution_status"""
+
 CTES: dict[str, str] = {
     "ev": "SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events",
     "sent": f"""
@@ -67,7 +72,7 @@ CTES: dict[str, str] = {
     CAST(NULL AS TIMESTAMP) AS effective_end_date, TRUE AS is_current,
     TIMESTAMP '2024-01-01' AS created_timestamp, TIMESTAMP '2024-01-01' AS updated_timestamp
   FROM customer WHERE c_acctbal >= 0""",
-    "missing": "SELECT DISTINCT user_id FROM raw WHERE user_id NOT IN (SELECT user_id FROM enrolled)",
+    "missing": "SELECT DISTINCT user_id FROM stg WHERE user_id NOT IN (SELECT user_id FROM enrolled)",
     "newm": """
   SELECT (SELECT max(user_key) FROM enrolled) + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key,
     user_id, 'UNKNOWN' AS user_name, 'UNKNOWN' AS user_type, 'UNKNOWN' AS department,
@@ -295,10 +300,7 @@ CTES: dict[str, str] = {
     UNION ALL SELECT 'NULL_COUNT', 'user_key', 'valid_user_key', count(*) FILTER (WHERE user_key IS NULL) AS v, v = 0 FROM fct
     UNION ALL SELECT 'NULL_COUNT', 'zone_key', 'valid_zone_key', count(*) FILTER (WHERE zone_key IS NULL) AS v, v = 0 FROM fct
     UNION ALL SELECT 'FRESHNESS', 'event_timestamp', 'recent_data', date_diff('second', max(event_timestamp), any_value(as_of)) AS v, v <= 3600 FROM fct, clock)""",
-    "hist": """
-  SELECT name AS task_name, state, scheduled_time, completed_time,
-    date_diff('second', scheduled_time, completed_time) AS duration_seconds, error_code, error_message,
-    CASE state WHEN 'SUCCEEDED' THEN 'SUCCESS' WHEN 'FAILED' THEN 'FAILED' WHEN 'SKIPPED' THEN 'SKIPPED' ELSE 'UNKNOWN' END AS execution_status
+    "hist": HIST + """
   FROM rlog WHERE scheduled_time >= (SELECT as_of FROM newest) - INTERVAL 24 HOUR""",
 }
 
@@ -403,7 +405,7 @@ FROM (SELECT count(*) FILTER (WHERE errors = '') AS events_sent, count(*) FILTER
     "split_valid": """
 SELECT event_id, CASE WHEN errors = '' THEN 'accepted' ELSE 'rejected' END AS verdict,
   CASE WHEN errors = '' THEN '' ELSE concat_ws('; ', errors, nullif(warnings, '')) END AS reasons FROM checked""",
-    "cdc_insert_filter": f"SELECT {RAW_OUT}, 'INSERT' AS _action, FALSE AS _is_update FROM raw",
+    "cdc_insert_filter": f"SELECT {RAW_OUT}, 'INSERT' AS _action, reader_id = 'RDR-999' AS _is_update FROM raw",
     "dedup_latest": f"SELECT {RAW_OUT} FROM stg",
     "raw_to_staging": f"SELECT {RAW_OUT}, staging_time FROM stg",
     "pending_count": """
@@ -439,9 +441,7 @@ SELECT {FACT_OUT} FROM ({_fact_join('users', '''(
   SELECT (SELECT max(zone_key) FROM zones) + row_number() OVER (ORDER BY substr(md5(zone_id), 1, 3), zone_id) AS zone_key,
     zone_id, FALSE AS is_restricted
   FROM (SELECT DISTINCT zone_id FROM stg WHERE zone_id NOT IN (SELECT zone_id FROM zones)))''')})""",
-    "fact_compact": """
-SELECT CAST(event_date AS VARCHAR) AS event_date, count(*) AS event_count, min(event_timestamp) AS first_event,
-  max(event_timestamp) AS last_event, CAST(sum(signal_strength) AS DOUBLE) AS signal_total FROM fct GROUP BY 1""",
+    "fact_compact": f"SELECT {FACT_OUT} FROM fct",
     "ingest_stream": """
 SELECT *, CAST(NULL AS VARCHAR) AS reject_reasons FROM landed
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, raw_json, reject_reasons FROM judged WHERE reject_reasons <> ''""",
@@ -501,6 +501,11 @@ SELECT date_trunc('hour', ingestion_time) AS ingestion_hour, count(*) AS event_c
   round(CAST(100.0 * count(*) FILTER (WHERE signal_quality = 'WEAK') AS DOUBLE) / count(*), 2) AS weak_signal_pct,
   count(*) FILTER (WHERE direction = 'ENTRY') - count(*) FILTER (WHERE direction = 'EXIT') AS net_occupancy_change
 FROM raw WHERE ingestion_time >= (SELECT as_of FROM clock) - INTERVAL 1 DAY GROUP BY 1""",
+    "hourly_rollup": """
+SELECT date_trunc('hour', ingestion_time) AS ingestion_hour, count(*) AS event_count, count(DISTINCT badge_id) AS unique_badges,
+  count(DISTINCT zone_id) AS unique_zones, round(CAST(sum(signal_strength) AS DOUBLE) / count(signal_strength), 2) AS avg_signal_strength,
+  count(*) FILTER (WHERE signal_quality = 'WEAK') AS weak_signal_count, count(*) FILTER (WHERE direction = 'ENTRY') AS entry_count,
+  count(*) FILTER (WHERE direction = 'EXIT') AS exit_count FROM raw GROUP BY 1""",
     "pipeline_latency": """
 SELECT *, CASE WHEN seconds_since_update > 300 THEN 'STALE' WHEN seconds_since_update > 120 THEN 'WARNING' ELSE 'HEALTHY' END AS health_status
 FROM (SELECT layer, last_update, row_count, date_diff('second', last_update, (SELECT as_of FROM clock)) AS seconds_since_update FROM (
@@ -538,7 +543,7 @@ SELECT *, coalesce(error_pct < 0.1, TRUE) AS within_target FROM (
     "pipe_volume": f"""
 SELECT pipe_name, CAST(sum(bytes_inserted) AS DOUBLE) / {GIB} AS gb_ingested, CAST(sum(rows_inserted) AS BIGINT) AS total_rows
 FROM ilog WHERE server_timestamp >= (SELECT as_of FROM newest) - INTERVAL 7 DAY GROUP BY 1""",
-    "task_history": "SELECT * FROM hist ORDER BY scheduled_time DESC, task_name LIMIT 1000",
+    "task_history": HIST + " FROM rlog WHERE scheduled_time >= (SELECT as_of FROM newest) - INTERVAL 72 HOUR",
     "task_durations": """
 SELECT task_name, count(*) AS executions, round(CAST(sum(duration_seconds) AS DOUBLE) / count(*), 6) AS avg_duration
 FROM hist WHERE execution_status = 'SUCCESS' GROUP BY 1""",
@@ -603,9 +608,10 @@ SELECT 'Ingestion Latency' AS metric, min(s) AS min_latency_sec, max(s) AS max_l
 FROM (SELECT date_diff('second', ingestion_time, fact_load_time) AS s FROM fct)""",
     "pipeline_verdict": """
 SELECT *, counts_match AND stream_empty AND no_failed_tasks AND latency_ok AS pipeline_ok FROM (
-  SELECT (SELECT count(*) FROM raw) = (SELECT count(*) FROM stg) AND (SELECT count(*) FROM stg) = (SELECT count(*) FROM fct) AS counts_match,
-    TRUE AS stream_empty, (SELECT count(*) FROM rlog WHERE state = 'FAILED') = 0 AS no_failed_tasks,
-    (SELECT max(date_diff('second', ingestion_time, fact_load_time)) FROM fct) < 120 AS latency_ok)""",
+  SELECT staged_until, (SELECT count(*) FROM raw) = (SELECT count(*) FROM stg) AND (SELECT count(*) FROM stg) = (SELECT count(*) FROM fct) AS counts_match,
+    (SELECT count(*) FROM raw WHERE ingestion_time >= until) = 0 AS stream_empty, (SELECT count(*) FROM rlog WHERE state = 'FAILED') = 0 AS no_failed_tasks,
+    (SELECT max(date_diff('second', ingestion_time, fact_load_time)) FROM fct) < 120 AS latency_ok
+  FROM (SELECT 'now' AS staged_until, as_of AS until FROM clock UNION ALL SELECT 'yesterday', as_of - INTERVAL 24 HOUR FROM clock))""",
     "events_in_range": f"SELECT {FACT_OUT} FROM fct WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'",
     "user_access_history": f"""
 SELECT {FACT_OUT}, user_name, zone_name FROM (SELECT f.*, u.user_name, z.zone_name FROM fct f JOIN users u ON u.user_key = f.user_key

@@ -7,10 +7,11 @@ on the stored layers built from them (``warehouse``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.times import ago, ntz, time_text
+from ..functions.times import ago, as_time, ntz, time_text
 from ..operators import (
     analytics,
     dimensions,
@@ -22,10 +23,10 @@ from ..operators import (
     transform,
     validation,
 )
-from ..schemas import ZONE_SCHEMA
+from ..schemas import RAW_COLUMNS, ZONE_SCHEMA
 from ..session import work_dir
 from ..sources import derived, landing
-from ..streaming import consume, ingest, pipeline
+from ..streaming import consume, ingest, pipeline, rollup
 from .warehouse import loaded_facts, staged_rows, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,8 +194,17 @@ def _(spark, d):
 
 @query("cdc_insert_filter")
 def _(spark, d):
-    feed = staging.with_feed_metadata(derived.raw_rows(spark, d))
-    return staging.inserts_only(feed).drop("_row_id")
+    """A feed in which a scan sent again came as an update, and purchases were deleted later."""
+    raw = derived.raw_rows(spark, d)
+    again = F.col("reader_id") == derived.RESEND_READER
+    feed = [
+        staging.with_feed_metadata(raw.filter(~again)),
+        staging.with_feed_metadata(raw.filter(again), is_update=True),
+        staging.with_feed_metadata(raw.filter(again), "DELETE", is_update=True),
+        staging.with_feed_metadata(raw.filter(F.col("direction") == "EXIT"), "DELETE"),
+    ]
+    whole = feed[0].unionByName(feed[1]).unionByName(feed[2]).unionByName(feed[3])
+    return staging.inserts_only(whole).drop("_row_id")
 
 
 @query("dedup_latest")
@@ -240,7 +250,8 @@ def _(spark, d):
 
 @query("unknown_users")
 def _(spark, d):
-    return dimensions.unknown_users(derived.raw_rows(spark, d), derived.users(spark, d))
+    staged = staging.dedup_latest(derived.raw_rows(spark, d))
+    return dimensions.unknown_users(staged, derived.users(spark, d))
 
 
 @query("orphaned_users")
@@ -251,9 +262,8 @@ def _(spark, d):
 
 @query("dim_users_upsert")
 def _(spark, d):
-    return dimensions.upsert_unknown_users(
-        derived.raw_rows(spark, d), derived.users(spark, d), VERSIONED_AT
-    )
+    staged = staging.dedup_latest(derived.raw_rows(spark, d))
+    return dimensions.upsert_unknown_users(staged, derived.users(spark, d), VERSIONED_AT)
 
 
 def _versioned(spark: SparkSession, d: str) -> DataFrame:
@@ -285,7 +295,8 @@ def _(spark, d):
 @query("fact_as_of_users")
 def _(spark, d):
     staged = staging.dedup_latest(derived.raw_rows(spark, d))
-    return dimensions.events_with_user_version(staged, _versioned(spark, d)).select(
+    hot = joins.heavy_keys(derived.raw_rows(spark, d), "user_id")
+    return dimensions.events_with_user_version(staged, _versioned(spark, d), hot).select(
         "badge_id", "event_timestamp", "user_key", "user_name", "clearance_level"
     )
 
@@ -301,30 +312,38 @@ def _(spark, d):
 
 
 def _load_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    raw = derived.raw_rows(spark, d)
-    users = dimensions.upsert_unknown_users(raw, derived.users(spark, d), VERSIONED_AT)
-    return staged_rows(raw), users, derived.zones(spark, d)
+    staged = staged_rows(derived.raw_rows(spark, d))
+    users = dimensions.upsert_unknown_users(staged, derived.users(spark, d), VERSIONED_AT)
+    return staged, users, derived.zones(spark, d)
+
+
+def _hot_users(spark: SparkSession, d: str) -> DataFrame:
+    return joins.heavy_keys(derived.raw_rows(spark, d), "user_id")
 
 
 @query("fact_load")
 def _(spark, d):
     staged = staged_rows(derived.raw_rows(spark, d))
-    return loaded_facts(staged, derived.users(spark, d), derived.zones(spark, d))
+    return loaded_facts(
+        staged, derived.users(spark, d), derived.zones(spark, d), hot_users=_hot_users(spark, d)
+    )
 
 
 @query("process_badge_events")
 def _(spark, d):
     """Unknown members, then facts; users holding very many events are spread."""
-    hot = joins.heavy_keys(derived.raw_rows(spark, d), "user_id")
-    return loaded_facts(*_load_inputs(spark, d), hot_users=hot)
+    return loaded_facts(*_load_inputs(spark, d), hot_users=_hot_users(spark, d))
 
 
 @query("fact_idempotent_load")
 def _(spark, d):
     """A second load over the same staging: only what the first did not have."""
     staged, users, zones = _load_inputs(spark, d)
-    first = loaded_facts(staged.filter(F.col("event_timestamp") < ntz(SPLIT_AT)), users, zones)
-    return loaded_facts(staged, users, zones, facts=first)
+    hot = _hot_users(spark, d)
+    early = staged.filter(F.col("event_timestamp") < ntz(SPLIT_AT))
+    first = loaded_facts(early, users, zones, hot_users=hot)
+    known = facts.touching(first, facts.time_spans(staged))
+    return loaded_facts(staged, users, zones, facts=known, hot_users=hot)
 
 
 @query("late_dimension_replay")
@@ -334,23 +353,17 @@ def _(spark, d):
     members = derived.late_zones(wh.staged, wh.zones)
     members = dimensions.conform(members, ZONE_SCHEMA)
     grown = dimensions.add_missing_members(wh.zones, members, "zone_id", "zone_key")
-    return loaded_facts(wh.staged, wh.users, grown, facts=wh.facts)
+    waiting = facts.unplaced(wh.staged, wh.zones)
+    known = facts.touching(wh.facts, facts.time_spans(waiting))
+    hot = joins.heavy_keys(waiting, "user_id")
+    return loaded_facts(waiting, wh.users, grown, facts=known, hot_users=hot)
 
 
 @query("fact_compact")
 def _(spark, d):
     target = work_dir(spark, "compacted")
     facts.compact(warehouse(spark, d).facts, target)
-    return (
-        spark.read.parquet(target)
-        .groupBy("event_date")
-        .agg(
-            F.count(F.lit(1)).alias("event_count"),
-            F.min("event_timestamp").alias("first_event"),
-            F.max("event_timestamp").alias("last_event"),
-            F.sum("signal_strength").alias("signal_total"),
-        )
-    )
+    return spark.read.parquet(target).drop("event_key")
 
 
 # -- streaming -----------------------------------------------------------------------------------
@@ -413,6 +426,19 @@ def _(spark, d):
     )
 
 
+@query("hourly_rollup")
+def _(spark, d):
+    """The hourly report from the state that a stream keeps, in several batches."""
+    root = work_dir(spark, "rollup")
+    raw = derived.raw_rows(spark, d).select(*RAW_COLUMNS)
+    early = F.col("ingestion_time") < ntz(SPLIT_AT)
+    for part in (~early, early):  # the older half comes late
+        raw.filter(part).write.mode("append").parquet(f"{root}/raw")
+        stream = spark.readStream.schema(raw.schema).parquet(f"{root}/raw")
+        rollup.write_rollup(stream, f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return rollup.hourly_report(spark.read.parquet(f"{root}/state"))
+
+
 @query("pipeline_end_to_end")
 def _(spark, d):
     """Lines in two deliveries through the whole chain, then facts with names."""
@@ -590,8 +616,11 @@ def _(spark, d):
 
 @query("dq_alert_log")
 def _(spark, d):
-    log = _dq_log(spark, d)
-    return quality.alert_rows(log, derived.DATABASE, _latest(log, "measurement_time"))
+    """The alert log after two runs over the newest measurements."""
+    log, path = _dq_log(spark, d), f"{work_dir(spark, 'alerts')}/log"
+    for _ in range(2):
+        quality.append_alerts(log, derived.DATABASE, path, _latest(log, "measurement_time"))
+    return spark.read.parquet(path).drop("measurement_time")
 
 
 # -- monitoring ----------------------------------------------------------------------------------------
@@ -667,7 +696,8 @@ def _run_log(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
 
 @query("task_history")
 def _(spark, d):
-    return monitoring.task_history(*_run_log(spark, d))
+    """All runs of three days."""
+    return monitoring.task_history(*_run_log(spark, d), hours=72)
 
 
 @query("task_durations")
@@ -781,11 +811,16 @@ def _(spark, d):
 
 @query("pipeline_verdict")
 def _(spark, d):
+    """With staging up to now, and with staging a day behind."""
     wh = warehouse(spark, d)
-    stage_log = derived.stage_log(wh.raw, wh.as_of())
-    return analytics.pipeline_verdict(
-        wh.layers, wh.raw, stage_log, derived.run_log(spark, d), wh.facts
-    )
+    now = wh.raw.agg(F.max("ingestion_time")).first()[0] + timedelta(minutes=5)
+    verdicts = [
+        analytics.pipeline_verdict(
+            wh.layers, wh.raw, derived.stage_log(wh.raw, until), derived.run_log(spark, d), wh.facts
+        ).withColumn("staged_until", F.lit(name))
+        for name, until in (("now", as_time(now)), ("yesterday", as_time(now - timedelta(days=1))))
+    ]
+    return verdicts[0].unionByName(verdicts[1])
 
 
 @query("events_in_range")

@@ -6,13 +6,15 @@ and only the needed columns are read.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import trunc_minute
 from ..operators import dimensions, facts, staging
-from ..session import work_dir
+from ..session import shared_dir
 from ..sources import derived
 
 
@@ -90,13 +92,25 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     return made
 
 
-_built: dict[tuple[str, str], Warehouse] = {}
+BUILT_FROM = ("events", "customer", "orders", "nation", "region")
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of ``sf_dir`` for this application, built on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        _built[key] = build(spark, sf_dir, work_dir(spark, "warehouse"))
-    found = _built[key]
-    return Warehouse(spark, found.root)
+    """The warehouse of ``sf_dir``: one for all applications that share a folder.
+
+    It is known by its input, so a changed table leads to a new one, and by an entry
+    written when it is complete, so a half-built one is never read. Of two built at the
+    same time the one with the smaller name serves.
+    """
+    known = hashlib.sha1(
+        repr([derived.stamp(spark, f"{sf_dir}/{name}.parquet") for name in BUILT_FROM]).encode()
+    ).hexdigest()
+    home = f"{shared_dir(spark)}/badgeflow/warehouse-{known}"
+    complete = f"{home}/complete"
+    if not derived.exists(spark, f"{complete}/_SUCCESS"):
+        root = f"{home}/{uuid.uuid4().hex}"
+        build(spark, sf_dir, root)
+        entry = spark.createDataFrame([(root,)], "root string")
+        entry.coalesce(1).write.mode("append").parquet(complete)
+    found = spark.read.schema("root string").parquet(complete).agg(F.min("root")).first()[0]
+    return Warehouse(spark, found)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,11 +43,21 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, **extra:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names storage every executor reaches. Only where it
-    is unset, as on a laptop, is a temporary folder chosen instead.
+    ``spark.checkpoint.dir`` names storage every executor reaches, and a cluster must
+    set it. Where all threads share one machine, a temporary folder does instead.
     """
+    return f"{shared_dir(spark)}/badgeflow/{label}-{uuid.uuid4().hex}"
+
+
+def shared_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(
+                f"set spark.checkpoint.dir to storage all executors of {master} reach:"
+                " a folder of this machine would not do"
+            )
         shared = tempfile.mkdtemp(prefix="badgeflow-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/badgeflow/{label}-{uuid.uuid4().hex}"
+    return shared.rstrip("/")

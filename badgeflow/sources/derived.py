@@ -22,13 +22,31 @@ RESEND_READER = "RDR-999"
 ORIGINAL, RESENT, FAULTY = 0, 1, 2
 
 
-_tables: dict[tuple[str, str], DataFrame] = {}
+_tables: dict[tuple, DataFrame] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The store that holds a path, through Spark's own client."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, name = _file_system(spark, path)
+    return store.exists(name)
+
+
+def stamp(spark: SparkSession, path: str) -> tuple:
+    """What changes when a table does: path, files, bytes and time of change."""
+    store, name = _file_system(spark, path)
+    found, summary = store.getFileStatus(name), store.getContentSummary(name)
+    return path, summary.getFileCount(), summary.getLength(), found.getModificationTime()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its files are listed and its schema read once per session."""
+    """A given table; its files are listed and its schema read once, until it changes."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, stamp(spark, path))
     if key not in _tables:
         _tables[key] = spark.read.parquet(path)
     return _tables[key]

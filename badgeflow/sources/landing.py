@@ -8,7 +8,7 @@ from ..operators.staging import with_feed_metadata
 from ..schemas import LANDING_SCHEMA, RAW_COLUMNS
 
 ACCEPTED, REJECTED = "accepted", "rejected"
-_LANDED = LANDING_SCHEMA.rstrip() + ", ingest_date date"
+LANDED = LANDING_SCHEMA.rstrip() + ", ingest_date date"
 
 
 def read_events(
@@ -25,12 +25,12 @@ def read_events(
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Accepted landing rows."""
-    landed = spark.read.schema(_LANDED).parquet(path)
+    landed = spark.read.schema(LANDED).parquet(path)
     return landed.filter(F.col("status") == ACCEPTED).select(*RAW_COLUMNS, "raw_json", "ingest_date")
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    landed = spark.read.schema(_LANDED).parquet(path)
+    landed = spark.read.schema(LANDED).parquet(path)
     return landed.filter(F.col("status") == REJECTED).select(
         "raw_json", "reject_reasons", "ingestion_time"
     )
@@ -38,7 +38,7 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 def changes(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Change feed: accepted rows landed since the consumer's checkpoint."""
-    reader = spark.readStream.schema(_LANDED)
+    reader = spark.readStream.schema(LANDED)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(path).filter(F.col("status") == ACCEPTED)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.times import as_time
 from ..operators.transform import pipe_transform
-from ..sources.landing import ACCEPTED, REJECTED
-
-INGEST_METRICS = "ingest"
+from ..sources.landing import ACCEPTED, LANDED, REJECTED
 
 
 def land_raw(
@@ -32,14 +31,6 @@ def land_raw(
             "status": F.when(bad, REJECTED).otherwise(ACCEPTED),
             "ingest_date": F.to_date("ingestion_time"),
         }
-    ).observe(
-        INGEST_METRICS,
-        F.count(F.lit(1)).alias("rows_parsed"),
-        F.coalesce(F.count_if(bad), F.lit(0)).alias("rows_error_count"),
-        F.coalesce(F.sum(F.when(~bad, F.octet_length("raw_json"))), F.lit(0))
-        .cast("long")
-        .alias("bytes_inserted"),
-        F.max(F.when(bad, F.col("reject_reasons")[0])).alias("last_error_message"),
     )
     writer = (
         landing.writeStream.format("parquet")
@@ -53,23 +44,28 @@ def land_raw(
     return writer.start(path)
 
 
-def ingest_log_rows(query: StreamingQuery, channel: str, pipe: str) -> list[tuple]:
-    """One log row per micro-batch that read lines, from the query's progress."""
-    rows = []
-    for progress in query.recentProgress:
-        seen = (progress.observedMetrics or {}).get(INGEST_METRICS)
-        if not seen or not seen["rows_parsed"]:
-            continue
-        rows.append(
-            (
-                channel,
-                pipe,
-                progress.timestamp.rstrip("Z"),
-                seen["rows_parsed"],
-                seen["rows_parsed"] - seen["rows_error_count"],
-                seen["rows_error_count"],
-                seen["bytes_inserted"],
-                seen["last_error_message"],
-            )
+def ingest_log_rows(
+    spark: SparkSession, path: str, log: DataFrame, channel: str, pipe: str
+) -> DataFrame:
+    """A log row for each arrival time of the landing table that ``log`` does not hold.
+
+    All rows of a micro-batch share their arrival time. Times before the newest logged
+    one are skipped by partition and row group, so a run reads what landed since.
+    """
+    landed = spark.read.schema(LANDED).parquet(path)
+    last = log.agg(F.max("server_timestamp")).first()[0]
+    if last is not None:
+        landed = landed.filter(F.col("ingest_date") >= F.lit(last.date())).filter(
+            F.col("ingestion_time") > as_time(last)
         )
-    return rows
+    bad = F.col("status") == REJECTED
+    return landed.groupBy(F.col("ingestion_time").alias("server_timestamp")).agg(
+        F.count(F.lit(1)).alias("rows_parsed"),
+        F.count_if(~bad).alias("rows_inserted"),
+        F.count_if(bad).alias("rows_error_count"),
+        F.coalesce(F.sum(F.when(~bad, F.octet_length("raw_json"))), F.lit(0)).cast("long").alias("bytes_inserted"),
+        F.max(F.when(bad, F.col("reject_reasons")[0])).alias("last_error_message"),
+    ).select(
+        F.lit(channel).alias("channel_name"), F.lit(pipe).alias("pipe_name"), "server_timestamp",
+        "rows_parsed", "rows_inserted", "rows_error_count", "bytes_inserted", "last_error_message",
+    )

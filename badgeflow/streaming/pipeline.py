@@ -28,7 +28,8 @@ from .ingest import ingest_log_rows, land_raw
 
 PIPE = "BADGE_EVENTS_PIPE"
 LOAD_LOG_SCHEMA = (
-    "load_id long, last_batch_id long, rows_loaded long, max_event_key long, loaded_at timestamp_ntz"
+    "load_id long, last_batch_id long, max_zone_key long, rows_loaded long, max_event_key long,"
+    " loaded_at timestamp_ntz"
 )
 _WAITING_SCHEMA = STAGING_SCHEMA.replace("_batch_id long", "load_id long")
 _TABLES = [
@@ -65,6 +66,19 @@ class Store:
     def staged(self) -> DataFrame:
         return self._table("stg", STAGING_SCHEMA)
 
+    def staged_batches(self, batches: list[int]) -> DataFrame:
+        """Only these batches, read by their folders: no other is listed."""
+        folders = [f"{self.path('stg')}/_batch_id={b}" for b in batches]
+        if not folders:
+            return self.spark.createDataFrame([], STAGING_SCHEMA)
+        reader = self.spark.read.schema(STAGING_SCHEMA).option("basePath", self.path("stg"))
+        return reader.parquet(*folders)
+
+    def unread(self) -> int:
+        """Landed rows that staging has not read, from the two logs."""
+        landed = self.ingest_log().agg(F.coalesce(F.sum("rows_inserted"), F.lit(0))).first()[0]
+        return landed - self.stage_log().agg(F.coalesce(F.sum("rows_read"), F.lit(0))).first()[0]
+
     def users(self) -> DataFrame:
         return self._table("dim_users", USER_SCHEMA)
 
@@ -121,17 +135,16 @@ def add_zones(store: Store, members: DataFrame) -> None:
 def ingest(
     store: Store, source: str, channel: str = "CH-0", max_files: int | None = None, ingestion_time=None
 ) -> None:
-    """Land every file not read before and log each micro-batch."""
-    # Progress of every micro-batch of the run is kept for the log.
-    store.spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+    """Land every file not read before and log each micro-batch.
+
+    The log is made from the landing table, for the arrival times it does not hold: what
+    a crash kept from being logged is logged by the next run, and nothing twice.
+    """
     lines = read_events(store.spark, source, max_files=max_files)
     query = land_raw(lines, store.path("raw"), store.path("checkpoint/ingest"), ingestion_time)
     query.awaitTermination()
-    rows = [
-        (*r[:2], datetime.fromisoformat(r[2]), *r[3:])
-        for r in ingest_log_rows(query, channel, PIPE)
-    ]
-    store.append("log/ingest", rows, INGEST_LOG_SCHEMA)
+    rows = ingest_log_rows(store.spark, store.path("raw"), store.ingest_log(), channel, PIPE)
+    rows.coalesce(1).write.mode("append").parquet(store.path("log/ingest"))
 
 
 def stage(store: Store, max_files: int | None = None, staging_time=None) -> None:
@@ -149,53 +162,56 @@ def stage(store: Store, max_files: int | None = None, staging_time=None) -> None
 def process_badge_events(store: Store, load_time=None) -> int:
     """Unknown members first, then facts, for what staging gained; rows loaded.
 
-    Reads only batches after the last finished load and the rows that waited for
-    their zone, and only the parts of the fact that their times overlap.
+    Reads the batches after the last finished load, the rows that waited for a zone
+    added since then, and the parts of the fact that these can overlap. A row of an
+    unknown zone is stored once, by the load that first met it, and is read again only
+    when its zone has come. Without either there is nothing to read or write.
     """
     done = store.load_log().agg(
         F.coalesce(F.max("load_id"), F.lit(0)).alias("load_id"),
         F.coalesce(F.max("last_batch_id"), F.lit(-1)).alias("batch"),
+        F.coalesce(F.max("max_zone_key"), F.lit(0)).alias("zone"),
         F.coalesce(F.max("max_event_key"), F.lit(0)).alias("key"),
     ).first()
-    staged = store.staged()
-    newest = staged.agg(F.coalesce(F.max("_batch_id"), F.lit(-1))).first()[0]
-    fresh = staged.filter(F.col("_batch_id").between(done["batch"] + 1, newest)).drop("_batch_id")
-    waiting = store.waiting().filter(F.col("load_id") == done["load_id"]).drop("load_id")
-    batch = fresh.unionByName(waiting)
-    spans = facts.time_spans(batch)  # one row per calendar day
-    if not spans:
+    entries = store.stage_log().filter((F.col("_batch_id") > done["batch"]) & (F.col("rows_read") > 0))
+    batches = sorted(r["_batch_id"] for r in entries.select("_batch_id").distinct().collect())
+    zones = store.zones()
+    last_zone = zones.agg(F.coalesce(F.max("zone_key"), F.lit(0))).first()[0]
+    if not batches and last_zone <= done["zone"]:
         return 0
+    fresh = store.staged_batches(batches).drop("_batch_id")
+    came = zones.filter(F.col("zone_key") > done["zone"]).select("zone_id")
+    released = store.waiting().drop("load_id").join(came, "zone_id", "left_semi")
     load_id = done["load_id"] + 1
 
-    members = dimensions.new_members(batch, store.users(), load_time)
+    members = dimensions.new_members(fresh, store.users(), load_time)
     members.write.mode("append").parquet(store.path("dim_users"))
 
-    loaded = facts.touching(store.facts(), spans)
-    # Keys of an unfinished earlier attempt lie in the same spans.
-    taken = loaded.agg(F.coalesce(F.max("event_key"), F.lit(0))).first()[0]
-    new = facts.fact_load(
-        batch,
-        store.users(),
-        store.zones(),
-        loaded,
-        load_time,
-        hot_users=heavy_keys(batch, "user_id"),
-    )
-    written = Observation()
-    first_key = max(done["key"], taken) + 1
-    facts.write_facts(new, store.path("fct"), first_key, written=written)
-    (
-        facts.unplaced(batch, store.zones())
-        .withColumn("load_id", F.lit(load_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
-        .parquet(store.path("stg_waiting"))
-    )
-    top = max(done["key"], taken, written.get["key"])
-    row = (load_id, newest, written.get["rows"], top, _utc_now())
+    placed = fresh.join(zones.select("zone_id"), "zone_id", "left_semi").unionByName(released)
+    spans = facts.time_spans(placed)
+    rows, top = 0, done["key"]
+    if spans:
+        loaded = facts.touching(store.facts(), spans)
+        # Keys of an unfinished earlier attempt lie in the same spans.
+        taken = loaded.agg(F.coalesce(F.max("event_key"), F.lit(0))).first()[0]
+        hot = heavy_keys(placed, "user_id")
+        new = facts.fact_load(placed, store.users(), zones, loaded, load_time, hot_users=hot)
+        written = Observation()
+        facts.write_facts(new, store.path("fct"), max(top, taken) + 1, written=written)
+        rows, top = written.get["rows"], max(top, taken, written.get["key"])
+    if batches:
+        (
+            facts.unplaced(fresh, zones)
+            .withColumn("load_id", F.lit(load_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("load_id")
+            .parquet(store.path("stg_waiting"))
+        )
+    newest = batches[-1] if batches else done["batch"]
+    row = (load_id, newest, last_zone, rows, top, _utc_now())
     store.append("log/load", [row], LOAD_LOG_SCHEMA)
-    return written.get["rows"]
+    return rows
 
 
 def logged(store: Store, name: str, job) -> object:
@@ -204,7 +220,7 @@ def logged(store: Store, name: str, job) -> object:
     try:
         result = job()
     except Exception as error:
-        row = (name, "FAILED", started, _utc_now(), type(error).__name__, str(error)[:500])
+        row = (name, "FAILED", started, _utc_now(), type(error).__name__, str(error))
         store.append("log/run", [row], RUN_LOG_SCHEMA)
         raise
     store.append("log/run", [(name, "SUCCEEDED", started, _utc_now(), None, None)], RUN_LOG_SCHEMA)
@@ -212,7 +228,8 @@ def logged(store: Store, name: str, job) -> object:
 
 
 def run_once(store: Store, source: str, max_files: int | None = None) -> int:
-    """One incremental run of the whole chain."""
+    """One incremental run of the whole chain; staging runs only if rows are unread."""
     ingest(store, source, max_files=max_files)
-    logged(store, "raw_to_staging_task", lambda: stage(store))
+    if store.unread():
+        logged(store, "raw_to_staging_task", lambda: stage(store))
     return logged(store, "staging_to_analytics_task", lambda: process_badge_events(store))

@@ -1,48 +1,53 @@
-"""The hourly volume report as a running stream."""
+"""The hourly volume report kept up to date by a stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.numbers import mean
-from ..functions.times import instant, utc_clock
+from ..functions.numbers import ratio
+from ..functions.times import trunc_hour
+from .consume import write_batch
 
+STATE_KEY = ("ingestion_hour", "badge_id", "zone_id")
 
-def hourly_rollup(rows: DataFrame, late: str = "2 hours") -> DataFrame:
-    """Events, signal and directions per clock hour of a stream of landing rows.
 
-    The watermark bounds the state to the open hours; an hour is final, and emitted
-    in append mode, once the newest arrival is ``late`` past its end. Badge and zone
-    counts are approximate, as exact ones would keep every badge in the state.
-    """
-    return (
-        rows.withColumn("arrived", instant("ingestion_time"))
-        .withWatermark("arrived", late)
-        .groupBy(F.window("arrived", "1 hour"))
-        .agg(
-            F.count(F.lit(1)).alias("event_count"),
-            F.approx_count_distinct("badge_id").alias("unique_badges"),
-            F.approx_count_distinct("zone_id").alias("unique_zones"),
-            F.round(mean(F.col("signal_strength")), 2).alias("avg_signal_strength"),
-            F.count_if(F.col("signal_quality") == "WEAK").alias("weak_signal_count"),
-            F.count_if(F.col("direction") == "ENTRY").alias("entry_count"),
-            F.count_if(F.col("direction") == "EXIT").alias("exit_count"),
-        )
-        .select(utc_clock(F.unix_micros("window.start")).alias("ingestion_hour"), "*")
-        .drop("window")
+def hourly_state(rows: DataFrame) -> DataFrame:
+    """Counts and exact sums per clock hour, badge and zone: what adds up over batches."""
+    return rows.groupBy(trunc_hour("ingestion_time").alias("ingestion_hour"), "badge_id", "zone_id").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.sum("signal_strength").alias("signal_sum"),
+        F.count("signal_strength").alias("signal_count"),
+        F.count_if(F.col("signal_quality") == "WEAK").alias("weak_signal_count"),
+        F.count_if(F.col("direction") == "ENTRY").alias("entry_count"),
+        F.count_if(F.col("direction") == "EXIT").alias("exit_count"),
     )
 
 
-def write_rollup(
-    rows: DataFrame, path: str, checkpoint: str, late: str = "2 hours"
-) -> StreamingQuery:
-    """Append every hour that became final to a Parquet table."""
+def write_rollup(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Add the state of every micro-batch of landing rows to the table at ``path``.
+
+    Nothing is held in the stream: a late row adds to its hour whenever it comes, and
+    open hours are there as far as they go. A replayed batch replaces its partition.
+    """
     return (
-        hourly_rollup(rows, late)
-        .writeStream.format("parquet")
-        .outputMode("append")
+        rows.writeStream.foreachBatch(
+            lambda batch, batch_id: write_batch(hourly_state(batch), path, batch_id)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(path)
+        .start()
+    )
+
+
+def hourly_report(state: DataFrame) -> DataFrame:
+    """One row per clock hour with exact distinct counts, from the stored state."""
+    return state.groupBy("ingestion_hour").agg(
+        F.sum("event_count").alias("event_count"),
+        F.countDistinct("badge_id").alias("unique_badges"),
+        F.countDistinct("zone_id").alias("unique_zones"),
+        F.round(ratio(F.sum("signal_sum"), F.sum("signal_count")), 2).alias("avg_signal_strength"),
+        F.sum("weak_signal_count").alias("weak_signal_count"),
+        F.sum("entry_count").alias("entry_count"),
+        F.sum("exit_count").alias("exit_count"),
     )

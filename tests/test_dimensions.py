@@ -109,3 +109,15 @@ def test_masking(spark):
     assert dims.mask_pii(dim, "ADMIN").first().email == "ann@example.com"
     both = dims.mask_pii(dim, "ANALYST", columns=("email", "user_name")).first()
     assert both.user_name == "***@***"
+
+
+def test_two_changes_of_one_user_make_one_version(spark):
+    users = dims.conform(
+        spark.createDataFrame([(1, "U1", "PUBLIC", True)], "user_key long, user_id string, clearance_level string, is_current boolean"),
+        USER_SCHEMA,
+    )
+    rows = [("U1", level, *[None] * (len(dims.TRACKED) - 1)) for level in ("SECRET", "CONFIDENTIAL")]
+    order = ["clearance_level", *[c for c in dims.TRACKED if c != "clearance_level"]]
+    changes = spark.createDataFrame(rows, "user_id string, " + ", ".join(f"{c} string" for c in order))
+    got = dims.scd2_apply(users, changes, "2024-01-16 00:00:00")
+    assert sorted(r.is_current for r in got.collect()) == [False, True]

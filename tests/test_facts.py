@@ -103,8 +103,8 @@ def test_write_prunes_and_compacts(spark, users, zones, tmp_path):
     assert stored.count() == 100
     assert stored.select("event_key").distinct().count() == 100
     batch = staged(spark, ("B3", "U1", "Z1", 3), ("B5", "U1", "Z1", 5), ("B30", "U1", "Z1", 30))
-    spans = sorted(facts.time_spans(batch))
-    assert [str(day) for day, _, _ in spans] == ["2024-01-05", "2024-01-06"]
+    spans = facts.time_spans(batch)
+    assert [str(first.date()) for first, _ in spans] == ["2024-01-05", "2024-01-06"]
     touched = facts.touching(stored, spans)
     assert {r.badge_id for r in touched.collect()} == {"B3", "B4", "B5", "B30"}
     plan = touched._jdf.queryExecution().executedPlan().toString()
@@ -146,3 +146,17 @@ def test_a_date_with_most_rows_is_split_over_files(spark, users, zones, tmp_path
     )
     assert stored.count() == stored.select("event_key").distinct().count() == 40000
     assert max(r.n for r in files) > 1
+
+
+def test_days_without_number_make_few_ranges(spark, users, zones, tmp_path):
+    """A batch with bad clocks names few ranges, and none of its own rows is outside."""
+    rows = staged(spark, *[(f"B{i}", "U1", "Z1", 24 * 60 * (i * i)) for i in range(90)])
+    spans = facts.time_spans(rows, ranges=8)
+    assert len(spans) == 8 and spans == sorted(spans)
+    loaded = facts.fact_load(rows, users, zones, load_time=T0)
+    assert facts.touching(loaded, spans).count() == 90
+    assert len(facts.time_spans(rows)) == facts.RANGES
+    assert facts.time_spans(rows.limit(0)) == []
+    # Of far apart days, what lies between is not read.
+    between = facts.touching(loaded, facts.time_spans(rows.filter("badge_id IN ('B0', 'B89')")))
+    assert between.count() == 2

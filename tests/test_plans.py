@@ -2,13 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from badgeflow.operators import analytics, monitoring
+from badgeflow.plans.registry import QUERIES
 from badgeflow.plans.warehouse import warehouse
 
-QUERIES = entry.queries()
 # These run whole jobs (streams, rewrites) while the frame is built.
-EAGER = {"ingest_stream", "stream_dedup", "cdc_incremental", "pipeline_end_to_end", "fact_compact", "dq_run"}
+EAGER = {"ingest_stream", "stream_dedup", "cdc_incremental", "pipeline_end_to_end", "fact_compact", "hourly_rollup", "dq_run", "dq_alert_log"}
 
 
 def plan_of(df) -> str:

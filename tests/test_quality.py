@@ -110,3 +110,28 @@ def test_views(spark):
     trend = {r.measurement_hour: r.violation_count for r in quality.violation_trends(log, "D", T0).collect()}
     assert trend == {T0: 1, T0 - timedelta(hours=1): 1}
     assert quality.alert_rows(log, "D", T0).count() == 1
+
+
+def test_what_cannot_be_judged_does_not_pass(spark):
+    with pytest.raises(ValueError):
+        quality.Check("ROW_COUNT", (), "x", "!!", 0)
+    with pytest.raises(ValueError):
+        quality.Check("ROW_COUNT", (), "x", "=", None)
+    columns = "data_metric_name string, column_names string, value long, expectation string, op string, threshold long"
+    rows = [("a", "", None, "null value", "<=", 300), ("b", "", 5, "differs", "<>", 5), ("c", "", 5, None, None, None), ("d", "", 4, "ok", "<>", 5)]
+    judged = quality.evaluate(spark.createDataFrame(rows, columns))
+    got = {r.data_metric_name: list(r.expectation_violations) for r in judged.collect()}
+    assert got == {"a": ["null value"], "b": ["differs"], "c": [], "d": []}
+    with pytest.raises(Exception, match="unknown comparator"):
+        quality.evaluate(spark.createDataFrame([("e", "", 5, "typo", "=<", 5)], columns)).collect()
+
+
+def test_alerts_are_appended_once(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    empty = spark.createDataFrame([], "ingestion_time timestamp_ntz")
+    checks = [quality.Check("FRESHNESS", ("ingestion_time",), "fresh_data", "<=", 300)]
+    log = quality.run_suite(empty, checks, T0, "D", "S", "T")
+    for minutes in (0, 2, 4):
+        quality.append_alerts(log, "D", path, T0 + timedelta(minutes=minutes))
+    rows = spark.read.parquet(path).collect()
+    assert [(r.table_name, r.value, list(r.expectation_violations)) for r in rows] == [("T", None, ["fresh_data"])]

@@ -2,6 +2,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from badgeflow.operators import validation
 
 NOW = datetime(2024, 3, 1, 12, 0, 0)
@@ -121,3 +123,23 @@ def test_totals(spark):
     row = validation.ingest_totals(validation.validate_events(df, NOW)).first()
     assert (row.events_sent, row.events_rejected, row.duration_seconds) == (2, 1, 60.0)
     assert row.events_per_second == round(2 / 60, 6)
+
+
+@pytest.mark.parametrize(
+    "seconds, text", [(4500, "1.2"), (4140, "1.1"), (8100, "2.2"), (6300, "1.8"), (4860, "1.4"), (3601, "1.0"), (13500, "3.8"), (36900, "10.2")]
+)
+def test_hours_round_as_a_double_does(spark, seconds, text):
+    assert f"{seconds / 3600:.1f}" == text
+    tenths = spark.range(1).select(validation.tenths_of_hours(F.lit(seconds * 1_000_000))).first()[0]
+    assert f"{tenths // 10}.{tenths % 10}" == text
+
+
+def test_hours_agree_for_every_minute(spark):
+    micros = spark.range(0, 40_000).select((F.col("id") * 60_000_000).alias("m"))
+    rows = micros.select("m", validation.tenths_of_hours(F.col("m")).alias("t")).collect()
+    assert all(f"{r.t // 10}.{r.t % 10}" == f"{r.m / 1e6 / 3600:.1f}" for r in rows)
+
+
+@pytest.mark.parametrize("number", [0.0, 0.0005, -0.0005, 0.00025, 1e-5, -2.5e-7, 0.001, -80.25, 5.0, 123.0])
+def test_small_numbers_as_text(spark, number):
+    assert spark.range(1).select(validation.number_text(F.lit(number))).first()[0] == str(number)
