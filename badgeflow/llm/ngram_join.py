@@ -34,11 +34,14 @@ from badgeflow.llm.components import components
 SHINGLE = 4
 # Link: 100 * intersection >= 85 * union.
 NUMERATOR, DENOMINATOR = 85, 100
-SKETCH = 1 << 16
+SKETCH = 1 << 20
+SKETCH_CHUNK = 1 << 12
 PAIRED = 64
 GROUP_SHINGLES = 2_000_000
 BLOCK = 64
 SALTS = 32
+# Sides of at most so many rows (40 bytes each) are sent to all tasks.
+BROADCAST_ROWS = 500_000
 PIECE_BYTES = 2 << 20
 
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint64) + np.uint64(1)
@@ -226,16 +229,30 @@ def join_group(sets: list[np.ndarray], known: list[int] | None = None) -> Groups
     return groups
 
 
+def _summed(chunks: DataFrame, *by: str) -> DataFrame:
+    """Chunks of counts (chunk, part, counts) added up over ``by``."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_py(), np.uint32).astype(np.int64) for c in rows["counts"])
+        head = rows.slice(0, 1)
+        counts = pa.array([total.clip(0, 0xFFFFFFFF).astype(np.uint32).tobytes()], pa.binary())
+        return head.set_column(head.schema.get_field_index("counts"), "counts", counts)
+
+    return chunks.groupBy(*by).applyInArrow(run, chunks.schema)
+
+
 def _classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, rep) of every row, and the order of the sketch's cells.
+    """(doc_id, n_shingles, rep) of every row, and the counts of the sketch's cells.
 
     rep is the smallest doc_id with the same set. The sketch counts all shingles of all
-    documents in a fixed number of cells; the cells' order by count is the global order.
+    documents in a fixed number of cells; rare cells come first in the global order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         cells = np.zeros(SKETCH, np.int64)
-        names = ["doc_id", "n_shingles", "key", "cell", "times"]
+        names = ["doc_id", "n_shingles", "key", "chunk", "part", "counts"]
         for batch in batches:
             sizes, keys = [], []
             for grams in shingle_sets(batch[1]):
@@ -244,20 +261,32 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 keys.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
             none = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch[0], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), none, pa.nulls(len(sizes), pa.int64())], names
+                [batch[0], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), none, none, pa.nulls(len(sizes), pa.binary())],
+                names,
             )
-        used = np.flatnonzero(cells)
+        chunks = cells.clip(0, 0xFFFFFFFF).astype(np.uint32).reshape(-1, SKETCH_CHUNK)
+        used = np.flatnonzero(chunks.any(axis=1))
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, pa.nulls(len(used), pa.binary()), pa.array(used.astype(np.int32)), pa.array(cells[used])], names
+            [
+                none,
+                none,
+                pa.nulls(len(used), pa.binary()),
+                pa.array(used.astype(np.int32)),
+                pa.array(np.full(len(used), TaskContext.get().partitionId() % 64, np.int32)),
+                pa.array([chunks[i].tobytes() for i in used], pa.binary()),
+            ],
+            names,
         )
 
-    schema = "doc_id bigint, n_shingles bigint, key binary, cell int, times bigint"
+    schema = "doc_id bigint, n_shingles bigint, key binary, chunk int, part int, counts binary"
     seen = stored(docs.mapInArrow(run, schema), "ngram-sets")
-    order = np.zeros(SKETCH, np.int64)
-    for row in seen.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("times").alias("times")).collect():
-        order[row.cell] = row.times
-    members = seen.where("cell IS NULL").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    # Two levels, so that no task adds up the chunks of all tasks.
+    chunks = seen.where("chunk IS NOT NULL").select("chunk", "part", "counts")
+    cells = np.zeros((SKETCH // SKETCH_CHUNK, SKETCH_CHUNK), np.int64)
+    for row in _summed(_summed(chunks, "chunk", "part"), "chunk").collect():
+        cells[row.chunk] = np.frombuffer(row.counts, np.uint32)
+    members = seen.where("chunk IS NULL").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     repeated = (
         members.where("key IS NOT NULL")
         .groupBy("key")
@@ -266,11 +295,14 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         .select("key", "rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     reps = members.join(repeated, ["key", "salt"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
-    return stored(reps, "ngram-classes"), order
+    return stored(reps, "ngram-classes"), cells.ravel().clip(0, 0xFFFFFFFF).astype(np.uint32)
 
 
 def _prefixes(docs: DataFrame, order: np.ndarray) -> DataFrame:
-    """(token, doc_id, size): the prefix of each set; of equal sets in a task, one."""
+    """(token, doc_id, size): the prefix of each set; of equal sets in a task, one.
+
+    ``order`` (4 MB) goes to all tasks; its size is that of the sketch.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,9 +457,13 @@ def join_documents(docs: DataFrame, group_shingles: int = GROUP_SHINGLES) -> Dat
     sizes = lists.groupBy("node").agg(F.max("size").alias("size"))
     nodes = groups.withColumnRenamed("root", "group").join(sizes, "node")
     total = nodes.groupBy("group").agg(F.ceil(F.sum("size") / F.lit(group_shingles)).cast("int").alias("blocks"))
-    texts = nodes.join(total, "group").join(rows.select(F.col("doc_id").alias("node"), "text"), "node")
+    nodes = stored(nodes.join(total, "group"), "ngram-nodes")
+    # Few of all documents have a neighbour: where their number is small, the texts
+    # need no shuffle to be found; else they are joined by a shuffle.
+    wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
+    texts = rows.select(F.col("doc_id").alias("node"), "text").join(wanted, "node")
     found = _joined(texts.where("blocks = 1").withColumn("label", F.col("node")))
-    if not total.where("blocks > 1").isEmpty():
+    if not nodes.where("blocks > 1").isEmpty():
         found = found.unionByName(_in_blocks(texts.where("blocks > 1").select("group", "node", "size", "blocks", "text")))
     return members.join(found, members["rep"] == found["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id")
