@@ -50,9 +50,17 @@ def time_spans(staged: DataFrame, ranges: int = RANGES) -> list[tuple]:
     One per calendar day; of more days those with the least time between them share
     a range. So bad clocks cost a wider read, and never more than this many rows here.
     """
-    days = staged.groupBy(F.to_date("event_timestamp").alias("day")).agg(
-        F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
-    ).filter("day IS NOT NULL")
+    return spans_of_days(
+        staged.groupBy(F.to_date("event_timestamp").alias("day")).agg(
+            F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
+        ),
+        ranges,
+    )
+
+
+def spans_of_days(days: DataFrame, ranges: int = RANGES) -> list[tuple]:
+    """The same from (day, first, last)."""
+    days = days.filter("day IS NOT NULL")
     in_order = Window.orderBy("day")  # one row per calendar day
     gaps = days.withColumn("before", F.lag("last").over(in_order)).withColumn(
         "gap", F.timestamp_diff("SECOND", F.col("before"), F.col("first"))
@@ -66,6 +74,25 @@ def time_spans(staged: DataFrame, ranges: int = RANGES) -> list[tuple]:
     return [(first, end) for (first, _), end in zip(cuts, ends)]
 
 
+def profile(batch: DataFrame, zones: DataFrame) -> DataFrame:
+    """(day, user_id, placed, first, last, n): what a load must know of its batch, in one
+    pass. ``placed`` rows have a known zone and can load now."""
+    known = zones.select("zone_id", F.lit(True).alias("placed")).distinct()
+    return (
+        batch.join(known, "zone_id", "left")
+        .groupBy(
+            F.to_date("event_timestamp").alias("day"),
+            "user_id",
+            F.coalesce("placed", F.lit(False)).alias("placed"),
+        )
+        .agg(
+            F.min("event_timestamp").alias("first"),
+            F.max("event_timestamp").alias("last"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+
+
 def touching(facts: DataFrame, spans: list[tuple]) -> DataFrame:
     """The part of the fact that a batch with these spans can overlap.
 

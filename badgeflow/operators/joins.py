@@ -15,8 +15,12 @@ HOT_SHARE = 200
 
 
 def heavy_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding at least 1/share of all rows, so at most ``share`` of them."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    """Keys holding at least 1/share of all rows, so at most ``share`` of them.
+
+    Rows that are counts already say so in a column ``n``.
+    """
+    size = F.sum("n") if "n" in rows.columns else F.count(F.lit(1))
+    counts = rows.groupBy(key).agg(size.alias("n"))
     total = counts.agg(F.sum("n")).scalar()
     return counts.filter(F.col("n") * share >= total).select(key)
 

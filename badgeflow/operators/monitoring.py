@@ -112,7 +112,7 @@ def channel_status(ingest_log: DataFrame, as_of) -> DataFrame:
     """Channel health over the last hour."""
     at = as_time(as_of)
     return (
-        since(ingest_log, "server_timestamp", at, hours=1)
+        since(ingest_log, "server_timestamp", at, "log_date", hours=1)
         .groupBy("channel_name", "pipe_name")
         .agg(
             F.max("server_timestamp").alias("last_ingestion_time"),
@@ -131,7 +131,7 @@ def channel_status(ingest_log: DataFrame, as_of) -> DataFrame:
 def streaming_costs(ingest_log: DataFrame, as_of) -> DataFrame:
     """Daily volume and estimated credits over 30 days."""
     return (
-        since(ingest_log, "server_timestamp", as_of, days=30)
+        since(ingest_log, "server_timestamp", as_of, "log_date", days=30)
         .groupBy(F.to_date("server_timestamp").alias("ingestion_date"))
         .agg(
             gib(F.sum("bytes_inserted")).alias("gb_ingested_uncompressed"),
@@ -150,7 +150,7 @@ def streaming_costs(ingest_log: DataFrame, as_of) -> DataFrame:
 
 def streaming_cost_total(ingest_log: DataFrame, as_of) -> DataFrame:
     """Credits over 30 days; bytes are summed exactly, priced once."""
-    return since(ingest_log, "server_timestamp", as_of, days=30).agg(
+    return since(ingest_log, "server_timestamp", as_of, "log_date", days=30).agg(
         (gib(F.sum("bytes_inserted")) * F.lit(CREDITS_PER_GB)).alias("total_credits_last_30_days")
     )
 
@@ -158,7 +158,7 @@ def streaming_cost_total(ingest_log: DataFrame, as_of) -> DataFrame:
 def ingest_error_rate(ingest_log: DataFrame, as_of) -> DataFrame:
     """Parsed, inserted and rejected lines per channel over 24 hours."""
     return (
-        since(ingest_log, "server_timestamp", as_of, days=1)
+        since(ingest_log, "server_timestamp", as_of, "log_date", days=1)
         .groupBy("channel_name")
         .agg(
             F.sum("rows_parsed").alias("rows_parsed"),
@@ -177,7 +177,7 @@ def ingest_error_rate(ingest_log: DataFrame, as_of) -> DataFrame:
 def pipe_volume(ingest_log: DataFrame, as_of) -> DataFrame:
     """Volume per pipe over seven days."""
     return (
-        since(ingest_log, "server_timestamp", as_of, days=7)
+        since(ingest_log, "server_timestamp", as_of, "log_date", days=7)
         .groupBy("pipe_name")
         .agg(
             gib(F.sum("bytes_inserted")).alias("gb_ingested"),
@@ -195,7 +195,7 @@ def task_history(
     """The runs of the last hours, newest first, with duration and mapped status."""
     state = F.col("state")
     rows = (
-        since(run_log, "scheduled_time", as_of, hours=hours)
+        since(run_log, "scheduled_time", as_of, "log_date", hours=hours)
         .select(
             F.col("name").alias("task_name"),
             "state",
@@ -230,7 +230,7 @@ def task_durations(run_log: DataFrame, as_of, hours: int = 24) -> DataFrame:
 def task_success_rate(run_log: DataFrame, as_of) -> DataFrame:
     succeeded = F.count_if(F.col("state") == SUCCEEDED)
     return (
-        since(run_log, "scheduled_time", as_of, days=1)
+        since(run_log, "scheduled_time", as_of, "log_date", days=1)
         .groupBy("name")
         .agg(
             _n().alias("total_runs"),

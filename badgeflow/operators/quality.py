@@ -328,12 +328,16 @@ def violations(results: DataFrame, database: str) -> DataFrame:
     )
 
 
+def _since(results: DataFrame, database: str, as_of, **units: int) -> DataFrame:
+    """Measurements of one database in a window, pruned by ``log_date`` if there is one."""
+    start = ago(as_time(as_of), **units)
+    rows = results.filter((F.col("table_database") == database) & (F.col("measurement_time") >= start))
+    return rows.filter(F.col("log_date") >= F.to_date(start)) if "log_date" in results.columns else rows
+
+
 def quality_scores(results: DataFrame, database: str, as_of) -> DataFrame:
     """Share of passed checks per table over seven days, worst first."""
-    recent = results.filter(
-        (F.col("table_database") == database)
-        & (F.col("measurement_time") >= ago(as_time(as_of), days=7))
-    )
+    recent = _since(results, database, as_of, days=7)
     passed = F.count_if(~_violated())
     return (
         recent.groupBy(_full_name().alias("full_table_name"))
@@ -350,11 +354,8 @@ def quality_scores(results: DataFrame, database: str, as_of) -> DataFrame:
 def violation_trends(results: DataFrame, database: str, as_of) -> DataFrame:
     """Violations per hour, table and metric over 24 hours."""
     return (
-        results.filter(
-            (F.col("table_database") == database)
-            & _violated()
-            & (F.col("measurement_time") >= ago(as_time(as_of), days=1))
-        )
+        _since(results, database, as_of, days=1)
+        .filter(_violated())
         .groupBy(
             trunc_hour("measurement_time").alias("measurement_hour"),
             "table_name",
@@ -369,8 +370,7 @@ def alert_rows(results: DataFrame, database: str, as_of, minutes: int = 5) -> Da
     """Violations measured in the last minutes, stamped for the alert log."""
     at = as_time(as_of)
     return (
-        violations(results, database)
-        .filter(F.col("measurement_time") >= ago(at, minutes=minutes))
+        violations(_since(results, database, at, minutes=minutes), database)
         .select(
             at.alias("alert_time"),
             "table_name",
@@ -393,8 +393,7 @@ def append_alerts(results: DataFrame, database: str, path: str, as_of, minutes:
     """
     at = as_time(as_of)
     fresh = (
-        violations(results, database)
-        .filter(F.col("measurement_time") >= ago(at, minutes=minutes))
+        violations(_since(results, database, at, minutes=minutes), database)
         .select(
             at.alias("alert_time"),
             *ALERT_KEY,

@@ -75,11 +75,16 @@ def pipe_transform(
     signal_scale: int = 0,
     trim_direction: bool = False,
     value: str = "value",
+    strict_time: bool = False,
+    apply_offset: bool = False,
 ) -> DataFrame:
     """JSON lines to landing rows plus ``reject_reasons`` (empty when accepted).
 
-    A bad line never fails the job: it is kept with the reasons it was refused.
-    ``signal_scale=0`` rounds the signal to whole dBm, 2 keeps the fraction.
+    A bad line never fails the job: it is kept with the reasons it was refused. Only
+    with ``strict_time`` does text that is no time stop it. ``apply_offset`` is for lines
+    straight from devices: their times are taken to UTC and cut to milliseconds, else an
+    offset is left out. ``signal_scale=0`` rounds the signal to whole dBm, 2 keeps the
+    fraction.
     """
     p = parse_payload(events, value)
     signal = F.col("signal_strength").try_cast(f"decimal(38,{signal_scale})")
@@ -87,7 +92,11 @@ def pipe_transform(
     direction = F.upper(F.col("direction"))
     if trim_direction:
         direction = F.trim(direction)
-    event_time = F.col("event_timestamp").try_cast("timestamp_ntz")
+    text = F.col("event_timestamp")
+    event_time = normalize_event_time(text) if apply_offset else text.try_cast("timestamp_ntz")
+    if strict_time:
+        refused = F.raise_error(F.concat(F.lit("event_timestamp is not a time: "), text))
+        event_time = F.when(text.isNotNull() & event_time.isNull(), refused.cast("timestamp_ntz")).otherwise(event_time)
     bad_line = F.col(_BAD_LINE).isNotNull() | F.col("raw_json").isNull()
     no_time, no_signal = F.col("event_timestamp").isNull(), F.col("signal_strength").isNull()
     reasons = messages(

@@ -573,7 +573,7 @@ def _(spark, d):
 @query("dq_expectations")
 def _(spark, d):
     """Expectations of every comparator on the hourly metrics of landing."""
-    return _dq_log(spark, d).select(
+    return _dq_log(spark, d)[0].select(
         "measurement_time", "table_name", "data_metric_name", "value", "expectation_violations"
     )
 
@@ -587,39 +587,39 @@ def _(spark, d):
     return spark.read.parquet(path).select(*_SUITE_COLUMNS)
 
 
-def _dq_log(spark: SparkSession, d: str) -> DataFrame:
+def _dq_log(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
     wh = warehouse(spark, d)
-    return derived.dq_results(wh.raw, wh.staged)
+    return wh.log("dq"), wh.mark("measurement")
 
 
 @query("dq_dashboard")
 def _(spark, d):
-    return quality.dashboard(_dq_log(spark, d), derived.DATABASE)
+    return quality.dashboard(_dq_log(spark, d)[0], derived.DATABASE)
 
 
 @query("dq_violations")
 def _(spark, d):
-    return quality.violations(_dq_log(spark, d), derived.DATABASE)
+    return quality.violations(_dq_log(spark, d)[0], derived.DATABASE)
 
 
 @query("dq_quality_scores")
 def _(spark, d):
-    log = _dq_log(spark, d)
-    return quality.quality_scores(log, derived.DATABASE, _latest(log, "measurement_time"))
+    log, newest = _dq_log(spark, d)
+    return quality.quality_scores(log, derived.DATABASE, newest)
 
 
 @query("dq_violation_trends")
 def _(spark, d):
-    log = _dq_log(spark, d)
-    return quality.violation_trends(log, derived.DATABASE, _latest(log, "measurement_time"))
+    log, newest = _dq_log(spark, d)
+    return quality.violation_trends(log, derived.DATABASE, newest)
 
 
 @query("dq_alert_log")
 def _(spark, d):
     """The alert log after two runs over the newest measurements."""
-    log, path = _dq_log(spark, d), f"{work_dir(spark, 'alerts')}/log"
+    (log, newest), path = _dq_log(spark, d), f"{work_dir(spark, 'alerts')}/log"
     for _ in range(2):
-        quality.append_alerts(log, derived.DATABASE, path, _latest(log, "measurement_time"))
+        quality.append_alerts(log, derived.DATABASE, path, newest)
     return spark.read.parquet(path).drop("measurement_time")
 
 
@@ -658,10 +658,8 @@ def _(spark, d):
 
 
 def _ingest_log(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
-    log = derived.ingest_log(spark, d)
-    # The newest log row is in the newest minute with lines.
-    newest = _latest(derived.lines(spark, d), "received_at")
-    return log, newest
+    wh = warehouse(spark, d)
+    return wh.log("ingest"), wh.mark("line")
 
 
 @query("channel_status")
@@ -690,8 +688,8 @@ def _(spark, d):
 
 
 def _run_log(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
-    newest = _latest(derived.lines(spark, d), "received_at")
-    return derived.run_log(spark, d), newest
+    wh = warehouse(spark, d)
+    return wh.log("run"), wh.mark("line")
 
 
 @query("task_history")
@@ -816,7 +814,7 @@ def _(spark, d):
     now = wh.raw.agg(F.max("ingestion_time")).first()[0] + timedelta(minutes=5)
     verdicts = [
         analytics.pipeline_verdict(
-            wh.layers, wh.raw, derived.stage_log(wh.raw, until), derived.run_log(spark, d), wh.facts
+            wh.layers, wh.raw, derived.stage_log(wh.raw, until), wh.log("run"), wh.facts
         ).withColumn("staged_until", F.lit(name))
         for name, until in (("now", as_time(now)), ("yesterday", as_time(now - timedelta(days=1))))
     ]

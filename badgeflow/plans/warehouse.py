@@ -69,13 +69,20 @@ class Warehouse:
             "FCT_ACCESS_EVENTS": self.facts,
         }
 
+    def log(self, name: str) -> DataFrame:
+        """An operational log (ingest, run or dq) by ``log_date``."""
+        return self._read(f"log/{name}")
+
+    def mark(self, name: str) -> Column:
+        """A newest time, noted when the layers were written."""
+        return self._read("marks").select(name).scalar()
+
     def as_of(self) -> Column:
         """Five minutes after the last arrival."""
-        latest = self.raw.agg(F.max("ingestion_time")).scalar()
-        return latest + F.expr("INTERVAL 5 MINUTES")
+        return self.mark("arrival") + F.expr("INTERVAL 5 MINUTES")
 
     def last_event(self) -> Column:
-        return self.facts.agg(F.max("event_timestamp")).scalar()
+        return self.mark("event")
 
 
 def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
@@ -89,9 +96,27 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     dimensions.upsert_unknown_users(made.staged, enrolled, last).write.parquet(f"{root}/dim_users")
     rows = loaded_facts(made.staged, made.users, made.zones)
     facts.write_facts(rows, f"{root}/fct")
+    logs = {
+        "ingest": (derived.ingest_log(spark, sf_dir), "server_timestamp"),
+        "run": (derived.run_log(spark, sf_dir), "scheduled_time"),
+        "dq": (derived.dq_results(made.raw, made.staged), "measurement_time"),
+    }
+    for name, (log, ts) in logs.items():
+        dated = log.withColumn("log_date", F.to_date(ts)).hint("rebalance", "log_date")
+        dated.write.partitionBy("log_date").parquet(f"{root}/log/{name}")
+    marks = {
+        "arrival": (made.raw, "ingestion_time"),
+        "event": (made.facts, "event_timestamp"),
+        "line": (derived.lines(spark, sf_dir), "received_at"),
+        "measurement": (made.log("dq"), "measurement_time"),
+    }
+    newest = [df.agg(F.max(ts)).scalar().alias(name) for name, (df, ts) in marks.items()]
+    spark.range(1).select(*newest).write.parquet(f"{root}/marks")
     return made
 
 
+# To be raised with every change of what is stored, so that older layers are left alone.
+LAYOUT = 2
 BUILT_FROM = ("events", "customer", "orders", "nation", "region")
 
 
@@ -103,7 +128,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     same time the one with the smaller name serves.
     """
     known = hashlib.sha1(
-        repr([derived.stamp(spark, f"{sf_dir}/{name}.parquet") for name in BUILT_FROM]).encode()
+        repr([LAYOUT] + [derived.stamp(spark, f"{sf_dir}/{name}.parquet") for name in BUILT_FROM]).encode()
     ).hexdigest()
     home = f"{shared_dir(spark)}/badgeflow/warehouse-{known}"
     complete = f"{home}/complete"

@@ -7,6 +7,7 @@ missing, so a half-finished append is completed, not repeated.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -22,6 +23,7 @@ from ..schemas import (
     USER_SCHEMA,
     ZONE_SCHEMA,
 )
+from ..session import work_dir
 from ..sources.landing import read_events, read_landed
 from .consume import STAGE_LOG_SCHEMA, stage_changes
 from .ingest import ingest_log_rows, land_raw
@@ -32,6 +34,8 @@ LOAD_LOG_SCHEMA = (
     " loaded_at timestamp_ntz"
 )
 _WAITING_SCHEMA = STAGING_SCHEMA.replace("_batch_id long", "load_id long")
+_POINTER_SCHEMA = "name string, version long, folder string"
+_SWAPPED = ("dim_users", "dim_zones", "fct")
 _TABLES = [
     ("stg", STAGING_SCHEMA, "_batch_id"),
     ("stg_waiting", _WAITING_SCHEMA, "load_id"),
@@ -40,6 +44,7 @@ _TABLES = [
     ("log/load", LOAD_LOG_SCHEMA, None),
     ("log/ingest", INGEST_LOG_SCHEMA, None),
     ("log/run", RUN_LOG_SCHEMA, None),
+    ("log/current", _POINTER_SCHEMA, None),
 ]
 
 
@@ -58,7 +63,29 @@ class Store:
         return f"{self.root}/{name}"
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        return self.spark.read.schema(schema).parquet(self.folder(name))
+
+    def folder(self, name: str) -> str:
+        """Where a table's rows are now: as the newest pointer says, if there is one."""
+        if name not in _SWAPPED:
+            return self.path(name)
+        now = self._pointers(name).agg(F.max_by("folder", "version")).first()[0]
+        return self.path(now or name)
+
+    def _pointers(self, name: str) -> DataFrame:
+        pointers = self.spark.read.schema(_POINTER_SCHEMA).parquet(self.path("log/current"))
+        return pointers.filter(F.col("name") == name)
+
+    def swap(self, name: str, write) -> None:
+        """Write a table to a new folder, then point to it.
+
+        Readers see the old rows until the pointer is there. A crash before that leaves a
+        folder that nothing points to, and the job may be run again.
+        """
+        version = self._pointers(name).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
+        folder = f"{name}-{version}-{uuid.uuid4().hex}"
+        write(self.path(folder))
+        self.append("log/current", [(name, version, folder)], _POINTER_SCHEMA)
 
     def raw(self) -> DataFrame:
         return read_landed(self.spark, self.path("raw"))
@@ -129,7 +156,19 @@ def add_zones(store: Store, members: DataFrame) -> None:
         known, dimensions.conform(members, ZONE_SCHEMA), "zone_id", "zone_key"
     )
     last = dimensions.max_key(known, "zone_key")
-    grown.filter(F.col("zone_key") > last).write.mode("append").parquet(store.path("dim_zones"))
+    grown.filter(F.col("zone_key") > last).write.mode("append").parquet(store.folder("dim_zones"))
+
+
+def apply_user_changes(store: Store, changes: DataFrame, as_of=None) -> None:
+    """New versions of changed users, in a new folder that then takes the old one's place."""
+    stamp = _utc_now() if as_of is None else as_of
+    versions = dimensions.scd2_apply(store.users(), changes, stamp)
+    store.swap("dim_users", lambda path: versions.write.parquet(path))
+
+
+def compact_facts(store: Store, rows_per_file: int = 1_000_000) -> None:
+    """The fact in as few files as its rows need, in a new folder that takes its place."""
+    store.swap("fct", lambda path: facts.compact(store.facts(), path, rows_per_file))
 
 
 def ingest(
@@ -184,20 +223,26 @@ def process_badge_events(store: Store, load_time=None) -> int:
     released = store.waiting().drop("load_id").join(came, "zone_id", "left_semi")
     load_id = done["load_id"] + 1
 
-    members = dimensions.new_members(fresh, store.users(), load_time)
-    members.write.mode("append").parquet(store.path("dim_users"))
+    # One pass over the batch tells its users, its days and who holds very many rows.
+    scratch = work_dir(store.spark, "profile")
+    facts.profile(fresh.unionByName(released), zones).write.parquet(scratch)
+    profile = store.spark.read.parquet(scratch)
+    members = dimensions.new_members(profile, store.users(), load_time)
+    members.write.mode("append").parquet(store.folder("dim_users"))
 
     placed = fresh.join(zones.select("zone_id"), "zone_id", "left_semi").unionByName(released)
-    spans = facts.time_spans(placed)
+    can_load = profile.filter("placed")
+    days = can_load.groupBy("day").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = facts.spans_of_days(days)
     rows, top = 0, done["key"]
     if spans:
         loaded = facts.touching(store.facts(), spans)
         # Keys of an unfinished earlier attempt lie in the same spans.
         taken = loaded.agg(F.coalesce(F.max("event_key"), F.lit(0))).first()[0]
-        hot = heavy_keys(placed, "user_id")
+        hot = heavy_keys(can_load, "user_id")
         new = facts.fact_load(placed, store.users(), zones, loaded, load_time, hot_users=hot)
         written = Observation()
-        facts.write_facts(new, store.path("fct"), max(top, taken) + 1, written=written)
+        facts.write_facts(new, store.folder("fct"), max(top, taken) + 1, written=written)
         rows, top = written.get["rows"], max(top, taken, written.get["key"])
     if batches:
         (

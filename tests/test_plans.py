@@ -45,3 +45,9 @@ def test_zone_counts_are_aggregated_before_the_join(spark, sf_dir):
     scan = plan.index("ReadSchema: struct<zone_key:bigint>")
     join = plan.index("Join [zone_key")
     assert "partial_count(1)" in plan[join:scan]
+
+
+def test_log_windows_read_the_days_they_need(spark, sf_dir):
+    for name in ("channel_status", "ingest_error_rate", "task_success_rate", "dq_violation_trends"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        assert any("log_date" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]), name

@@ -230,3 +230,39 @@ def test_waiting_rows_are_stored_once(store, spark):
     assert pipeline.run_once(store, store.path("lines")) == 0
     assert store.waiting().count() == 100 and len(set(badges(store))) == len(badges(store)) == 101
     assert store.facts().select("event_key").distinct().count() == 101
+
+
+def test_user_versions_are_swapped_in(store, spark, monkeypatch):
+    """A crash between writing and pointing leaves the old rows in force."""
+    changes = store.users().select("user_id", *dimensions.TRACKED).withColumn("clearance_level", F.lit("SECRET"))
+    keep = pipeline.Store.append
+
+    def die(self, name, rows, schema):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(pipeline.Store, "append", die)
+    with pytest.raises(RuntimeError):
+        pipeline.apply_user_changes(store, changes, T0)
+    assert store.users().count() == 1
+    monkeypatch.setattr(pipeline.Store, "append", keep)
+    pipeline.apply_user_changes(store, changes, T0)
+    pipeline.apply_user_changes(store, changes, T0)
+    assert {(r.clearance_level, r.is_current) for r in store.users().collect()} == {(None, False), ("SECRET", True)}
+    assert store.users().count() == 2
+    deliver(store, line("B1", "U1", "Z1"), line("B2", "U2", "Z1"))
+    assert pipeline.run_once(store, store.path("lines")) == 2
+    current = {r.user_id: r.user_key for r in store.users().collect() if r.is_current}
+    assert {r.badge_id: r.user_key for r in store.facts().collect()} == {"B1": current["U1"], "B2": current["U2"]}
+
+
+def test_compacted_facts_take_their_place(store):
+    for i in range(3):
+        deliver(store, line(f"B{i}", "U1", "Z1"))
+        pipeline.run_once(store, store.path("lines"))
+    before, files = sorted(map(str, store.facts().collect())), len(store.facts().inputFiles())
+    pipeline.compact_facts(store)
+    assert sorted(map(str, store.facts().collect())) == before
+    assert len(store.facts().inputFiles()) == 1 < files
+    deliver(store, line("B9", "U1", "Z1"), line("B1", "U1", "Z1"))
+    assert pipeline.run_once(store, store.path("lines")) == 1
+    assert badges(store) == ["B0", "B1", "B2", "B9"]

@@ -127,3 +127,18 @@ def test_each_line_is_parsed_once(spark):
     rows = run(spark, GOOD)
     plan = transform.split_rejects(rows)[0]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_strict_times_and_offsets(spark):
+    def landed(time, **options):
+        text = json.dumps({"badge_id": "B", "user_id": "U", "zone_id": "Z", "reader_id": "R", "event_timestamp": time})
+        df = spark.createDataFrame([(text,)], "value string")
+        return transform.pipe_transform(df, "2024-02-01 00:00:00", **options).first()
+
+    assert landed("soon").reject_reasons == ["event_timestamp is not a time"]
+    with pytest.raises(Exception, match="not a time: soon"):
+        landed("soon", strict_time=True)
+    assert landed(None, strict_time=True).reject_reasons == ["event_timestamp is missing"]
+    late = "2024-01-05T23:30:00.1239+02:00"
+    assert str(landed(late).event_timestamp) == "2024-01-05 23:30:00.123900"
+    assert str(landed(late, apply_offset=True, strict_time=True).event_timestamp) == "2024-01-05 21:30:00.123000"
