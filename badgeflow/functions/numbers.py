@@ -25,20 +25,29 @@ def mean(value: Column) -> Column:
     return ratio(F.sum(value), F.count(value))
 
 
+def value_counts(df: DataFrame, value: str) -> DataFrame:
+    """(v, n): how often each value occurs, NULL left out."""
+    return (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(F.col(value).alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def median_of_longs(df: DataFrame, value: str, bucket: int = 3600) -> DataFrame:
-    """Exact, interpolated median of an integer column as one row ``median``.
+    """Exact, interpolated median of an integer column as one row ``median``."""
+    return median_of_counts(value_counts(df, value), bucket)
+
+
+def median_of_counts(counts: DataFrame, bucket: int = 3600) -> DataFrame:
+    """The same from ``value_counts``.
 
     Values are counted first (map-side combined), then ranked in two steps:
     over coarse buckets of ``bucket`` values, and inside the one or two buckets
     that hold the middle ranks. Neither ranked set grows with the row count:
     the first is bounded by value range / bucket, the second by 2 x bucket.
     """
-    hist = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("b", F.floor(F.col("v") / F.lit(bucket)).cast("long"))
-    )
+    hist = counts.withColumn("b", F.floor(F.col("v") / F.lit(bucket)).cast("long"))
     up_to = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     coarse = (

@@ -15,6 +15,7 @@ DAY_STARTS_AT = 6
 DAY_ENDS_AT = 22
 SUNDAY, SATURDAY = 0, 6
 
+PART_BITS = 17
 # Ranges of the fact that a load names; days in excess are merged where they lie closest.
 RANGES = 32
 
@@ -150,12 +151,18 @@ def unplaced(staged: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def with_event_key(facts: DataFrame, first_key: int = 1) -> DataFrame:
-    """Unique increasing keys; gaps are allowed.
+    """Unique keys from ``first_key`` on; gaps are allowed.
 
     Keys number the rows of a partition, so they belong after the last shuffle: a
-    task that runs again then renumbers only its own, uncommitted file.
+    task that runs again then renumbers only its own, uncommitted file. The row number
+    stands above the partition's, so a load uses up 131,072 keys for each row of its
+    largest task, and bigint lasts for tens of millions of loads of a million rows a task.
     """
-    return facts.withColumn("event_key", F.lit(first_key) + F.monotonically_increasing_id())
+    spark_id = F.monotonically_increasing_id()  # the partition above 33 bits of row number
+    part, row = F.shiftright(spark_id, 33), spark_id.bitwiseAND(F.lit((1 << 33) - 1))
+    too_many = F.raise_error(F.lit("a load writes with at most 131072 tasks")).cast("long")
+    key = F.lit(first_key) + F.shiftleft(row, PART_BITS) + part
+    return facts.withColumn("event_key", F.when(part < 1 << PART_BITS, key).otherwise(too_many))
 
 
 def write_facts(
