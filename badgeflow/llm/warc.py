@@ -105,19 +105,18 @@ class Reader:
 
     def _member(self) -> Iterator[bytes]:
         """The decompressed bytes of the next gzip member, as they come."""
-        stream = zlib.decompressobj(GZIP)
+        stream, piece, self.left = zlib.decompressobj(GZIP), self.left, b""
         while not stream.eof:
-            piece = self.left or next(self.pieces, b"")
-            self.left = b""
-            if not piece:
-                raise WarcError("the archive ends within a record")
+            piece = piece or next(self.pieces, b"")
             try:
                 data = stream.decompress(piece, PIECE)
-                while data or stream.unconsumed_tail:
-                    yield data
-                    data = stream.decompress(stream.unconsumed_tail, PIECE)
             except zlib.error as error:
                 raise WarcError(f"damaged gzip member: {error}") from error
+            if not piece and not data:
+                raise WarcError("the archive ends within a record")
+            piece = stream.unconsumed_tail
+            if data:
+                yield data
         self.left = stream.unused_data
 
     def __iter__(self) -> Iterator[Record]:
