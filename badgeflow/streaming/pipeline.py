@@ -35,7 +35,8 @@ LOAD_LOG_SCHEMA = (
 )
 _WAITING_SCHEMA = STAGING_SCHEMA.replace("_batch_id long", "load_id long")
 _POINTER_SCHEMA = "name string, version long, folder string"
-_SWAPPED = ("dim_users", "dim_zones", "fct")
+_LOGS = ("log/ingest", "log/load", "log/run")
+_SWAPPED = ("dim_users", "dim_zones", "fct", *_LOGS)
 _TABLES = [
     ("stg", STAGING_SCHEMA, "_batch_id"),
     ("stg_waiting", _WAITING_SCHEMA, "load_id"),
@@ -134,7 +135,7 @@ class Store:
         """Append a few log rows as one file."""
         if rows:
             self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(
-                self.path(name)
+                self.folder(name)
             )
 
 
@@ -171,6 +172,14 @@ def compact_facts(store: Store, rows_per_file: int = 1_000_000) -> None:
     store.swap("fct", lambda path: facts.compact(store.facts(), path, rows_per_file))
 
 
+def compact_logs(store: Store) -> None:
+    """Each log as one file; a run adds one, so they are many after a month of minutes."""
+    for name, schema, _ in _TABLES:
+        if name in _LOGS:
+            rows = store._table(name, schema)
+            store.swap(name, lambda path: rows.coalesce(1).write.parquet(path))
+
+
 def ingest(
     store: Store, source: str, channel: str = "CH-0", max_files: int | None = None, ingestion_time=None
 ) -> None:
@@ -183,7 +192,7 @@ def ingest(
     query = land_raw(lines, store.path("raw"), store.path("checkpoint/ingest"), ingestion_time)
     query.awaitTermination()
     rows = ingest_log_rows(store.spark, store.path("raw"), store.ingest_log(), channel, PIPE)
-    rows.coalesce(1).write.mode("append").parquet(store.path("log/ingest"))
+    rows.coalesce(1).write.mode("append").parquet(store.folder("log/ingest"))
 
 
 def stage(store: Store, max_files: int | None = None, staging_time=None) -> None:

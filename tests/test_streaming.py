@@ -266,3 +266,17 @@ def test_compacted_facts_take_their_place(store):
     deliver(store, line("B9", "U1", "Z1"), line("B1", "U1", "Z1"))
     assert pipeline.run_once(store, store.path("lines")) == 1
     assert badges(store) == ["B0", "B1", "B2", "B9"]
+
+
+def test_compacted_logs_go_on(store):
+    for i in range(2):
+        deliver(store, line(f"B{i}", "U1", "Z1"))
+        pipeline.run_once(store, store.path("lines"))
+    logs = lambda: [store.ingest_log(), store.load_log(), store.run_log()]
+    before = [sorted(map(str, log.collect())) for log in logs()]
+    pipeline.compact_logs(store)
+    assert [sorted(map(str, log.collect())) for log in logs()] == before
+    assert [len(log.inputFiles()) for log in logs()] == [1, 1, 1]
+    deliver(store, line("B9", "U1", "Z1"))
+    assert pipeline.run_once(store, store.path("lines")) == 1
+    assert [log.count() for log in logs()] == [3, 3, 6]
