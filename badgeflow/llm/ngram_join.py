@@ -476,7 +476,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Of rows repeated with doc_id and text, one stays. Rows without a doc_id all stay.
     """
     found = stored(join_documents(docs), "ngram-components")
-    kept = docs.join(found.where("doc_id != component_id").select("doc_id").distinct(), "doc_id", "left_anti")
+    gone = found.where("doc_id != component_id").select("doc_id").distinct()
+    # As above: where few go, the texts that stay need no shuffle.
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    kept = docs.join(gone, "doc_id", "left_anti")
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
