@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from badgeflow.llm import oracles
 from badgeflow.llm.decontaminate import op7_decontaminate
 from badgeflow.llm.fingerprint import op1_order_minhash
 from badgeflow.llm.html_extract import op5_html_text
@@ -26,5 +27,6 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-# None of these can be held against SQL in reasonable time: tests/llm has brute-force versions.
-ORACLES: dict[str, str] = {}
+# The others cannot be held against SQL: tests/llm has brute-force versions, exact round
+# trips and held-out accuracy.
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
