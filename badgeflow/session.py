@@ -23,6 +23,9 @@ SETTINGS = {
 }
 
 
+_scratch: set[str] = set()
+
+
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
     """A local session for tests and the bench; a cluster job brings its own."""
     builder = (
@@ -44,9 +47,22 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names storage every executor reaches, and a cluster must
-    set it. Where all threads share one machine, a temporary folder does instead.
+    set it. Where all threads share one machine, a temporary folder does instead. The
+    application's scratch is deleted when it ends; what is to last is kept elsewhere.
     """
-    return f"{shared_dir(spark)}/badgeflow/{label}-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/badgeflow/{spark.sparkContext.applicationId}"
+    if root not in _scratch:
+        store, name = file_system(spark, root)
+        store.mkdirs(name)
+        store.deleteOnExit(name)
+        _scratch.add(root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The store that holds a path, through Spark's own client, and the path's name there."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
 
 
 def shared_dir(spark: SparkSession) -> str:

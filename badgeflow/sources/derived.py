@@ -12,6 +12,7 @@ from ..operators import quality
 from ..operators.dimensions import conform
 from ..operators.transform import standardize
 from ..schemas import USER_SCHEMA, ZONE_SCHEMA
+from ..session import file_system
 
 PIPE = "BADGE_EVENTS_PIPE"
 STAGE_TASK, LOAD_TASK = "raw_to_staging_task", "staging_to_analytics_task"
@@ -25,20 +26,14 @@ ORIGINAL, RESENT, FAULTY = 0, 1, 2
 _tables: dict[tuple, DataFrame] = {}
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The store that holds a path, through Spark's own client."""
-    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    store, name = _file_system(spark, path)
+    store, name = file_system(spark, path)
     return store.exists(name)
 
 
 def stamp(spark: SparkSession, path: str) -> tuple:
     """What changes when a table does: path, files, bytes and time of change."""
-    store, name = _file_system(spark, path)
+    store, name = file_system(spark, path)
     found, summary = store.getFileStatus(name), store.getContentSummary(name)
     return path, summary.getFileCount(), summary.getLength(), found.getModificationTime()
 

@@ -58,3 +58,23 @@ def test_times_of_long_years_are_whole(spark):
         time_text(F.expr("timestamp_ntz'2024-01-01 00:00:00.1234'")), time_text(F.expr("timestamp_ntz'+12024-01-01 00:00:00.123456'"))
     ).first()
     assert tuple(row) == ("2024-01-01 00:00:00.123400", "+12024-01-01 00:00:00.123456")
+
+
+def test_scratch_goes_with_its_application(tmp_path):
+    """A job of its own leaves the layers it shares, and no scratch."""
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "from badgeflow.session import local_session, work_dir\n"
+        f"spark = local_session(1, **{{'spark.checkpoint.dir': {str(tmp_path)!r}}})\n"
+        "path = work_dir(spark, 'x')\n"
+        "spark.range(3).write.parquet(path)\n"
+        "print('ROWS', spark.read.parquet(path).count())\n"
+        "spark.stop()\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert "ROWS 3" in done.stdout
+    assert not [f for _, _, files in os.walk(tmp_path) for f in files if f.startswith("part-")]
