@@ -42,7 +42,7 @@ BLOCK = 64
 SALTS = 32
 # Sides of at most so many rows (40 bytes each) are sent to all tasks.
 BROADCAST_ROWS = 500_000
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 256 << 10
 
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint64) + np.uint64(1)
 SOLID = np.array([b != 0x20 and not 0x09 <= b <= 0x0D for b in range(256)])
