@@ -66,10 +66,8 @@ def time_text(ts: Column | str, always_micros: bool = False) -> Column:
     text = _col(ts).cast("string")
     plain = F.concat(text, F.lit(".000000")) if always_micros else text
     # Years may have more than four digits, so only the fraction has a fixed length.
-    fraction = F.rpad(F.substring_index(text, ".", -1), 6, "0")
-    return F.when(
-        F.contains(text, F.lit(".")), F.concat(F.substring_index(text, ".", 1), F.lit("."), fraction)
-    ).otherwise(plain)
+    point = F.instr(text, ".")
+    return F.when(point > 0, F.rpad(text, point + 6, F.lit("0"))).otherwise(plain)
 
 
 def ntz(text: str) -> Column:

@@ -30,17 +30,15 @@ def required_rules() -> tuple[Rules, Rules]:
 def tenths_of_hours(micros: Column) -> Column:
     """Hours as a double, rounded to tenths by its exact binary value, ties to even.
 
-    A tie is a multiple of 1/20, so the double times 20 is compared with an odd number;
-    times 16 and times 4 are exact, and what their sum rounds off is kept in ``rest``.
+    Away from ties, odd multiples of 180 seconds, whole microseconds decide. At a tie the
+    double nearest n / 20 may lie above or below it: ``rest`` is by how much, times 20,
+    without rounding, as times 4 and times 16 are exact.
     """
-    hours = micros.cast("double") / F.lit(1e6) / F.lit(3600.0)
-    large, small = hours * F.lit(16.0), hours * F.lit(4.0)
-    total = large + small
-    rest = small - (total - large)
-    below = F.floor(total / F.lit(2.0))
-    tie = below * 2 + 1
-    up = (total > tie) | ((total == tie) & ((rest > 0) | ((rest == 0) & (below % 2 == 1))))
-    return below + F.when(up, 1).otherwise(0)
+    n = micros / F.lit(180e6)
+    rest = n / F.lit(20.0) * F.lit(4.0) - (n - n / F.lit(20.0) * F.lit(16.0))
+    down = F.when((rest < 0) | ((rest == 0) & (n % F.lit(4.0) == F.lit(1.0))), 1).otherwise(0)
+    tie = F.when(micros % 360_000_000 == 180_000_000, down).otherwise(0)
+    return F.floor((micros + 180_000_000) / 360_000_000) - tie
 
 
 def number_text(number: Column) -> Column:
@@ -62,9 +60,7 @@ def timestamp_rules(as_of: Column) -> tuple[Rules, Rules]:
     text = time_text(ts)
     age = F.timestamp_diff("MICROSECOND", ts, as_of)
     tenths = tenths_of_hours(age)
-    hours = F.concat(
-        F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string")
-    )
+    hours = (tenths / F.lit(10.0)).cast("decimal(18,1)").cast("string")
     errors = [
         (ts > as_of, F.concat(F.lit("Event timestamp "), text, F.lit(" is in the future")))
     ]
@@ -85,11 +81,11 @@ def timestamp_rules(as_of: Column) -> tuple[Rules, Rules]:
 
 def signal_rules() -> tuple[Rules, Rules]:
     signal = F.col("signal_strength").cast("double")
-    text = number_text(signal)
+    text = signal.cast("string")  # only positive signals can be tiny
     errors = [
         (
             signal > STRONGEST,
-            F.concat(F.lit("Signal strength "), text, F.lit(" dBm cannot be positive")),
+            F.concat(F.lit("Signal strength "), number_text(signal), F.lit(" dBm cannot be positive")),
         ),
         (
             signal < WEAKEST,
