@@ -6,6 +6,7 @@ from badgeflow.llm import oracles
 from badgeflow.llm.decontaminate import op7_decontaminate
 from badgeflow.llm.fingerprint import op1_order_minhash
 from badgeflow.llm.html_extract import op5_html_text
+from badgeflow.llm.licences import op11_licences
 from badgeflow.llm.line_dedup import op10_line_dedup
 from badgeflow.llm.mixing import op3_mix
 from badgeflow.llm.ngram_join import op9_ngram_join
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_pack": op8_pack,
     "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
+    "op11_licences": op11_licences,
 }
 
 # The others cannot be held against SQL: tests/llm has brute-force versions, exact round
