@@ -83,9 +83,56 @@ SELECT h.page_id, h.payload_bytes, c.payload_digest,
   CASE WHEN h.page_id > f.first THEN f.first END AS refers_to
 FROM hashed h JOIN codes c ON c.hex = h.hex JOIN firsts f ON f.hex = h.hex"""
 
+# CRC-32: the table by its rule, then a byte after another. ``tab`` is a column in reach.
+CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab"""
+
+
+def crc32(text: str) -> str:
+    octets = f"""list_transform(range(octet_length(encode({text}))),
+      lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"""
+    steps = f"list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))"
+    return f"xor({steps}, 4294967295)"
+
+
+CONVERSATION_TRIE = f"""
+WITH crc AS ({CRC_TABLE}),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 5 AS base, {crc32('CAST(c AS VARCHAR)')} % 9 AS h
+  FROM (SELECT DISTINCT conv_id AS c FROM turns), crc),
+rebuilt AS (
+  SELECT c, 0 AS own, n, role, text FROM convs JOIN turns ON conv_id = base AND n <= h
+  UNION ALL SELECT c, 1, n, role, text FROM convs JOIN turns ON conv_id = c AND n > h),
+hashed AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, n) AS d, strlen(text) AS bytes,
+    sha256(length(role) || ':' || role || text) AS id FROM rebuilt),
+prefixes AS (
+  SELECT c, 0 AS d, '' AS path, 0 AS bytes FROM convs
+  UNION ALL SELECT c, d, string_agg(id, '') OVER (PARTITION BY c ORDER BY d), bytes FROM hashed),
+nodes AS (
+  SELECT path, d, min(c) AS c, count(*) AS n, (count(*) - 1) * max(bytes) AS own, left(path, greatest(d - 1, 0) * 64) AS parent
+  FROM prefixes GROUP BY path, d),
+children AS (SELECT parent, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+sums AS (
+  SELECT p.path, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves, sum(v.own) AS saved
+  FROM nodes v LEFT JOIN children k ON k.parent = v.path JOIN prefixes p ON p.c = v.c AND p.d <= v.d GROUP BY p.path),
+ends AS (
+  SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest
+  FROM (SELECT c, arg_max(path, d) AS path FROM prefixes GROUP BY c) GROUP BY path)
+SELECT v.c AS conv_id, CAST(v.d AS BIGINT) AS depth, CASE WHEN v.d > 0 THEN u.c END AS parent_conv_id, v.n AS n_convs,
+  coalesce(k.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+  coalesce(e.digest, sha256('')) AS ends_sha256
+FROM nodes v LEFT JOIN nodes u ON u.path = v.parent AND u.d = v.d - 1 LEFT JOIN children k ON k.parent = v.path
+JOIN sums s ON s.path = v.path LEFT JOIN ends e ON e.path = v.path"""
+
 ORACLES = {
     "op6_warc": WARC,
     "op7_decontaminate": DECONTAMINATE,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_line_dedup": LINE_DEDUP,
+    "op12_conversation_trie": CONVERSATION_TRIE,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from badgeflow.llm import oracles
+from badgeflow.llm.conversations import op12_conversation_trie
 from badgeflow.llm.decontaminate import op7_decontaminate
 from badgeflow.llm.fingerprint import op1_order_minhash
 from badgeflow.llm.html_extract import op5_html_text
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_line_dedup": op10_line_dedup,
     "op11_licences": op11_licences,
+    "op12_conversation_trie": op12_conversation_trie,
 }
 
 # The others cannot be held against SQL: tests/llm has brute-force versions, exact round
