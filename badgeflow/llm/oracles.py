@@ -129,10 +129,43 @@ SELECT v.c AS conv_id, CAST(v.d AS BIGINT) AS depth, CASE WHEN v.d > 0 THEN u.c
 FROM nodes v LEFT JOIN nodes u ON u.path = v.parent AND u.d = v.d - 1 LEFT JOIN children k ON k.parent = v.path
 JOIN sums s ON s.path = v.path LEFT JOIN ends e ON e.path = v.path"""
 
+# Near words share what is left without one letter: at the same place, or as a whole word.
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+found AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({ascii_lower("coalesce(text, '')")}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+marked AS (SELECT run, n, {crc32("concat(doc_id, ':', run)")} AS h FROM found, crc),
+worn AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM marked),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM worn WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b ON b.rest = a.rest AND b.i = a.i AND b.word <> a.word
+  UNION SELECT l.word, w.word FROM less l JOIN words w ON w.word = l.rest
+  UNION SELECT w.word, l.word FROM less l JOIN words w ON w.word = l.rest),
+ranked AS (
+  SELECT a.word, a.other, w.n AS other_n, count(*) OVER (PARTITION BY a.word) AS n_near,
+    row_number() OVER (PARTITION BY a.word ORDER BY w.n DESC, a.other) AS place
+  FROM near a JOIN words w ON w.word = a.other),
+formed AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.other_n >= 5 * w.n THEN r.other END AS form,
+    CASE WHEN r.other_n >= 5 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1),
+ways AS (
+  SELECT word, word AS end_word, 0 AS steps FROM words
+  UNION ALL SELECT w.word, f.form, w.steps + 1 FROM ways w JOIN formed f ON f.word = w.end_word WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(end_word, steps) AS root FROM ways GROUP BY word)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e ON e.word = f.word"""
+
 ORACLES = {
     "op6_warc": WARC,
     "op7_decontaminate": DECONTAMINATE,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_line_dedup": LINE_DEDUP,
     "op12_conversation_trie": CONVERSATION_TRIE,
+    "op13_spelling_variants": SPELLING_VARIANTS,
 }

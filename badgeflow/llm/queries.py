@@ -14,6 +14,7 @@ from badgeflow.llm.ngram_join import op9_ngram_join
 from badgeflow.llm.packing import op8_pack
 from badgeflow.llm.quality import op4_quality
 from badgeflow.llm.sharding import op2_jump_shards
+from badgeflow.llm.spelling import op13_spelling_variants
 from badgeflow.llm.warc import op6_warc
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_licences": op11_licences,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # The others cannot be held against SQL: tests/llm has brute-force versions, exact round
