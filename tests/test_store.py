@@ -22,14 +22,14 @@ def test_changed_input_is_noticed(spark, tmp_path):
     copy = tmp_path / "data"
     copy.mkdir()
     for name in stored.BUILT_FROM:
-        shutil.copy(f"{SMALL}/{name}.parquet", copy / f"{name}.parquet")
+        shutil.copyfile(f"{SMALL}/{name}.parquet", copy / f"{name}.parquet")
     before = stored.warehouse(spark, str(copy))
     assert stored.warehouse(spark, str(copy)).root == before.root
     rows = before.raw.count()
     half = spark.read.parquet(str(copy / "events.parquet")).limit(100)
     half.coalesce(1).write.parquet(str(tmp_path / "half"))
     (part,) = (tmp_path / "half").glob("part-*.parquet")
-    shutil.copy(part, copy / "events.parquet")
+    shutil.copyfile(part, copy / "events.parquet")
     after = stored.warehouse(spark, str(copy))
     assert after.root != before.root and 0 < after.raw.count() < rows
 
