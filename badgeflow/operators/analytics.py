@@ -200,14 +200,24 @@ def fact_completeness(facts: DataFrame) -> DataFrame:
     )
 
 
+def latency_counts(facts: DataFrame) -> DataFrame:
+    """(v, n): how often each number of seconds from landing to fact occurs.
+
+    Counts add up: those of every load, stored, give the latencies of the whole fact.
+    """
+    latency = facts.filter(F.col("fact_load_time").isNotNull()).select(
+        seconds_between("ingestion_time", "fact_load_time").alias("latency")
+    )
+    return value_counts(latency, "latency")
+
+
 def ingestion_latency(facts: DataFrame) -> DataFrame:
     """Min, max, mean and exact median seconds from landing to fact."""
-    latency = (
-        facts.filter(F.col("fact_load_time").isNotNull())
-        .select(seconds_between("ingestion_time", "fact_load_time").alias("latency"))
-    )
-    # Everything follows from how often each latency occurs, so the fact is read once.
-    counts = value_counts(latency, "latency")
+    return latency_report(latency_counts(facts))
+
+
+def latency_report(counts: DataFrame) -> DataFrame:
+    """The same from ``latency_counts``, or from the stored ones of all loads."""
     return counts.agg(
         F.lit("Ingestion Latency").alias("metric"),
         F.min("v").alias("min_latency_sec"),

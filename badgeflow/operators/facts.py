@@ -51,14 +51,21 @@ def time_spans(staged: DataFrame, ranges: int = RANGES) -> list[tuple]:
     One per calendar day; of more days those with the least time between them share
     a range. So bad clocks cost a wider read, and never more than this many rows here.
     """
-    return spans_of_days(
-        staged.groupBy(F.to_date("event_timestamp").alias("day")).agg(
-            F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
-        ),
-        ranges,
+    return spans_of_days(days_between(staged), ranges)
+
+
+def days_between(events: DataFrame) -> DataFrame:
+    """(day, first, last): the days of event times, with the first and last of each."""
+    return events.groupBy(F.to_date("event_timestamp").alias("day")).agg(
+        F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
     )
 
 
+def days_of(profile: DataFrame) -> DataFrame:
+    """The same from a ``profile``."""
+    return profile.groupBy("day").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
 def spans_of_days(days: DataFrame, ranges: int = RANGES) -> list[tuple]:
     """The same from (day, first, last)."""
     days = days.filter("day IS NOT NULL")
@@ -101,12 +108,22 @@ def touching(facts: DataFrame, spans: list[tuple]) -> DataFrame:
     the files and row groups outside them, as they are sorted by time. A batch of
     the last minute so reads minutes of the fact, not all of today.
     """
-    day, ts = F.col("event_date"), F.col("event_timestamp")
-    dates, times = F.lit(False), F.lit(False)
+    times = F.lit(False)
     for first, last in spans:
-        dates = dates | day.between(F.lit(first.date()), F.lit(last.date()))
-        times = times | ts.between(as_time(first), as_time(last))
-    return facts.filter(dates).filter(times)
+        times = times | F.col("event_timestamp").between(as_time(first), as_time(last))
+    return facts.filter(dates_within(F.col("event_date"), spans)).filter(times)
+
+
+def dates_within(day: Column, spans: list[tuple]) -> Column:
+    within = F.lit(False)
+    for first, last in spans:
+        within = within | day.between(F.lit(first.date()), F.lit(last.date()))
+    return within
+
+
+def keys_of(events: DataFrame) -> DataFrame:
+    """The natural keys of events, each once."""
+    return events.select(*DEDUP_KEY).distinct()
 
 
 def fact_load(

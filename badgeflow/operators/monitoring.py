@@ -62,7 +62,6 @@ def pipeline_latency(layers: dict[str, tuple[DataFrame, str, str | None]], as_of
     A layer without updates in the last hour has no age and counts as HEALTHY.
     """
     at = as_time(as_of)
-    age = seconds_between("last_update", at)
     frames = [
         since(df, ts, at, day, hours=1)
         .agg(F.max(ts).alias("last_update"), _n().alias("row_count"))
@@ -72,8 +71,36 @@ def pipeline_latency(layers: dict[str, tuple[DataFrame, str, str | None]], as_of
     rows = frames[0]
     for frame in frames[1:]:
         rows = rows.unionByName(frame)
+    return _health(rows, at)
+
+
+def write_marks(rows: DataFrame, layer: str, ts: str) -> DataFrame:
+    """(layer, written_at, n, mark_date): how many rows each write brought to a layer.
+
+    A run writes its rows at one time, so a mark is a row a run, whatever it wrote.
+    """
+    return rows.groupBy(F.col(ts).alias("written_at")).agg(_n().alias("n")).select(
+        F.lit(layer).alias("layer"), "written_at", "n", F.to_date("written_at").alias("mark_date")
+    )
+
+
+def latency_of_marks(marks: DataFrame, layers: tuple[str, ...], as_of) -> DataFrame:
+    """``pipeline_latency`` of these layers, in order, from what their runs noted: no
+    layer is read, and of the marks the last hour's days."""
+    at = as_time(as_of)
+    recent = (
+        since(marks, "written_at", at, "mark_date", hours=1)
+        .groupBy("layer")
+        .agg(F.max("written_at").alias("last_update"), F.sum("n").alias("n"))
+    )
+    named = F.array(*[F.struct(F.lit(i).alias("_order"), F.lit(name).alias("layer")) for i, name in enumerate(layers)])
+    rows = marks.sparkSession.range(1).select(F.inline(named)).join(F.broadcast(recent), "layer", "left")  # a row a layer
+    return _health(rows.select("_order", "layer", "last_update", F.coalesce("n", F.lit(0)).alias("row_count")), at)
+
+
+def _health(rows: DataFrame, at: Column) -> DataFrame:
     return (
-        rows.withColumn("seconds_since_update", age)
+        rows.withColumn("seconds_since_update", seconds_between("last_update", at))
         .withColumn(
             "health_status",
             F.when(F.col("seconds_since_update") > STALE_AFTER, "STALE")

@@ -57,8 +57,17 @@ def raw_to_staging(changes: DataFrame, staging_time=None) -> DataFrame:
 
 def pending_count(raw: DataFrame, stage_log: DataFrame) -> DataFrame:
     """Landing rows not yet consumed: rows landed minus rows read so far."""
+    return _pending(raw.agg(F.count(F.lit(1)).alias("landed")), stage_log)
+
+
+def pending_of_logs(ingest_log: DataFrame, stage_log: DataFrame) -> DataFrame:
+    """The same from what the landing runs noted: the landing table is not read."""
+    return _pending(ingest_log.agg(F.coalesce(F.sum("rows_inserted"), F.lit(0)).alias("landed")), stage_log)
+
+
+def _pending(landed: DataFrame, stage_log: DataFrame) -> DataFrame:
     read = stage_log.agg(F.coalesce(F.sum("rows_read"), F.lit(0))).scalar()
-    return raw.agg(F.count(F.lit(1)).alias("landed")).select(
+    return landed.select(
         F.lit("Stream Pending Records").alias("check_type"),
         (F.col("landed") - read).cast("long").alias("pending_count"),
     )
@@ -66,7 +75,12 @@ def pending_count(raw: DataFrame, stage_log: DataFrame) -> DataFrame:
 
 def pending_status(raw: DataFrame, stage_log: DataFrame) -> DataFrame:
     """Does the change feed hold unread rows?"""
-    return pending_count(raw, stage_log).select(
+    return feed_status(pending_count(raw, stage_log))
+
+
+def feed_status(pending: DataFrame) -> DataFrame:
+    """The answer from a pending count."""
+    return pending.select(
         F.lit("raw_badge_events_stream").alias("stream_name"),
         (F.col("pending_count") > 0).alias("has_data"),
     )

@@ -217,19 +217,20 @@ def _(spark, d):
     return staged_rows(staging.with_feed_metadata(derived.raw_rows(spark, d)))
 
 
-def _raw_and_stage_log(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    raw = derived.raw_rows(spark, d)
-    return raw, derived.stage_log(raw, ago(_latest(raw, "ingestion_time"), days=1))
+def _pending(spark: SparkSession, d: str) -> DataFrame:
+    """What staging, a day behind, has not read, from the logs of both."""
+    wh = warehouse(spark, d)
+    return staging.pending_of_logs(wh.log("ingest"), derived.stage_log(wh.raw, ago(wh.mark("arrival"), days=1)))
 
 
 @query("pending_count")
 def _(spark, d):
-    return staging.pending_count(*_raw_and_stage_log(spark, d))
+    return _pending(spark, d)
 
 
 @query("pending_status")
 def _(spark, d):
-    return staging.pending_status(*_raw_and_stage_log(spark, d))
+    return staging.feed_status(_pending(spark, d))
 
 
 # -- dimensions ---------------------------------------------------------------------------
@@ -335,15 +336,23 @@ def _(spark, d):
     return loaded_facts(*_load_inputs(spark, d), hot_users=_hot_users(spark, d))
 
 
+def _profiled(spark: SparkSession, d: str, rows: DataFrame, zones: DataFrame) -> tuple[list[tuple], DataFrame]:
+    """The spans and hot users of a batch, from one pass over it."""
+    path = work_dir(spark, "profile")
+    facts.profile(rows, zones).write.parquet(path)
+    can_load = spark.read.parquet(path).filter("placed")
+    return facts.spans_of_days(facts.days_of(can_load)), joins.heavy_keys(can_load, "user_id")
+
+
 @query("fact_idempotent_load")
 def _(spark, d):
     """A second load over the same staging: only what the first did not have."""
-    staged, users, zones = _load_inputs(spark, d)
-    hot = _hot_users(spark, d)
-    early = staged.filter(F.col("event_timestamp") < ntz(SPLIT_AT))
-    first = loaded_facts(early, users, zones, hot_users=hot)
-    known = facts.touching(first, facts.time_spans(staged))
-    return loaded_facts(staged, users, zones, facts=known, hot_users=hot)
+    wh = warehouse(spark, d)
+    spans, hot = _profiled(spark, d, wh.staged, wh.zones)
+    early = wh.staged.filter(F.col("event_timestamp") < ntz(SPLIT_AT))
+    first = loaded_facts(early, wh.users, wh.zones, hot_users=hot)
+    known = facts.touching(first, spans)
+    return loaded_facts(wh.staged, wh.users, wh.zones, facts=known, hot_users=hot)
 
 
 @query("late_dimension_replay")
@@ -353,9 +362,11 @@ def _(spark, d):
     members = derived.late_zones(wh.staged, wh.zones)
     members = dimensions.conform(members, ZONE_SCHEMA)
     grown = dimensions.add_missing_members(wh.zones, members, "zone_id", "zone_key")
-    waiting = facts.unplaced(wh.staged, wh.zones)
-    known = facts.touching(wh.facts, facts.time_spans(waiting))
-    hot = joins.heavy_keys(waiting, "user_id")
+    path = work_dir(spark, "waiting")
+    facts.unplaced(wh.staged, wh.zones).write.parquet(path)
+    waiting = spark.read.parquet(path)
+    spans, hot = _profiled(spark, d, waiting, grown)
+    known = facts.touching(wh.facts, spans)
     return loaded_facts(waiting, wh.users, grown, facts=known, hot_users=hot)
 
 
@@ -635,14 +646,7 @@ def _(spark, d):
 @query("pipeline_latency")
 def _(spark, d):
     wh = warehouse(spark, d)
-    return monitoring.pipeline_latency(
-        {
-            "RAW": (wh.raw, "ingestion_time", "ingest_date"),
-            "STAGING": (wh.staged, "staging_time", None),
-            "ANALYTICS": (wh.facts, "fact_load_time", None),
-        },
-        wh.as_of(),
-    )
+    return monitoring.latency_of_marks(wh.write_marks, ("RAW", "STAGING", "ANALYTICS"), wh.as_of())
 
 
 @query("data_freshness")
@@ -804,7 +808,7 @@ def _(spark, d):
 
 @query("ingestion_latency")
 def _(spark, d):
-    return analytics.ingestion_latency(warehouse(spark, d).facts)
+    return analytics.latency_report(warehouse(spark, d).latencies)
 
 
 @query("pipeline_verdict")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.times import trunc_minute
-from ..operators import dimensions, facts, staging
+from ..operators import analytics, dimensions, facts, monitoring, staging
 from ..session import shared_dir
 from ..sources import derived
 
@@ -73,6 +73,16 @@ class Warehouse:
         """An operational log (ingest, run or dq) by ``log_date``."""
         return self._read(f"log/{name}")
 
+    @property
+    def write_marks(self) -> DataFrame:
+        """What each run wrote to each layer, by ``layer`` and ``mark_date``."""
+        return self._read("write_marks")
+
+    @property
+    def latencies(self) -> DataFrame:
+        """How often each latency occurs in the fact."""
+        return self._read("latencies")
+
     def mark(self, name: str) -> Column:
         """A newest time, noted when the layers were written."""
         return self._read("marks").select(name).scalar()
@@ -96,6 +106,11 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     dimensions.upsert_unknown_users(made.staged, enrolled, last).write.parquet(f"{root}/dim_users")
     rows = loaded_facts(made.staged, made.users, made.zones)
     facts.write_facts(rows, f"{root}/fct")
+    analytics.latency_counts(made.facts).write.parquet(f"{root}/latencies")
+    written = [(made.raw, "RAW", "ingestion_time"), (made.staged, "STAGING", "staging_time")]
+    for rows, layer, ts in (*written, (made.facts, "ANALYTICS", "fact_load_time")):
+        noted = monitoring.write_marks(rows, layer, ts).hint("rebalance", "mark_date")
+        noted.write.mode("append").partitionBy("layer", "mark_date").parquet(f"{root}/write_marks")
     logs = {
         "ingest": (derived.ingest_log(spark, sf_dir), "server_timestamp"),
         "run": (derived.run_log(spark, sf_dir), "scheduled_time"),
@@ -116,7 +131,7 @@ def build(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
 
 
 # To be raised with every change of what is stored, so that older layers are left alone.
-LAYOUT = 2
+LAYOUT = 3
 BUILT_FROM = ("events", "customer", "orders", "nation", "region")
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.times import as_time
 from ..operators.transform import pipe_transform
+from ..schemas import INGEST_LOG_SCHEMA
 from ..sources.landing import ACCEPTED, LANDED, REJECTED
+from .consume import log_once
+
+INGEST_BATCH_LOG_SCHEMA = INGEST_LOG_SCHEMA.rstrip() + ", _batch_id long"
 
 
 def land_raw(
@@ -44,20 +47,8 @@ def land_raw(
     return writer.start(path)
 
 
-def ingest_log_rows(
-    spark: SparkSession, path: str, log: DataFrame, channel: str, pipe: str
-) -> DataFrame:
-    """A log row for each arrival time of the landing table that ``log`` does not hold.
-
-    All rows of a micro-batch share their arrival time. Times before the newest logged
-    one are skipped by partition and row group, so a run reads what landed since.
-    """
-    landed = spark.read.schema(LANDED).parquet(path)
-    last = log.agg(F.max("server_timestamp")).first()[0]
-    if last is not None:
-        landed = landed.filter(F.col("ingest_date") >= F.lit(last.date())).filter(
-            F.col("ingestion_time") > as_time(last)
-        )
+def ingest_log_rows(landed: DataFrame, channel: str, pipe: str) -> DataFrame:
+    """A log row for each arrival time of some landed rows (a micro-batch has one)."""
     bad = F.col("status") == REJECTED
     return landed.groupBy(F.col("ingestion_time").alias("server_timestamp")).agg(
         F.count(F.lit(1)).alias("rows_parsed"),
@@ -69,3 +60,25 @@ def ingest_log_rows(
         F.lit(channel).alias("channel_name"), F.lit(pipe).alias("pipe_name"), "server_timestamp",
         "rows_parsed", "rows_inserted", "rows_error_count", "bytes_inserted", "last_error_message",
     )
+
+
+def log_landed(spark: SparkSession, path: str, log: str, checkpoint: str, channel: str, pipe: str) -> None:
+    """Log what landed since the last run, whatever its arrival times.
+
+    The landing table is read by a stream of its own, so its checkpoint says what has
+    been logged: a clock that was set back, or one time for several deliveries, hides no
+    row, and each run reads the new files only.
+    """
+    query = (
+        spark.readStream.schema(LANDED)
+        .parquet(path)
+        .writeStream.foreachBatch(
+            lambda batch, batch_id: log_once(
+                ingest_log_rows(batch, channel, pipe), log, batch_id, INGEST_BATCH_LOG_SCHEMA
+            )
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

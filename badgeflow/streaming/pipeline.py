@@ -7,43 +7,49 @@ missing, so a half-finished append is completed, not repeated.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from ..operators import dimensions, facts
+from ..operators import analytics, dimensions, facts
 from ..operators.joins import heavy_keys
+from ..operators.key_filter import KEY_FILTER_SCHEMA, key_filter, merged, possibly_loaded
 from ..schemas import (
     FACT_SCHEMA,
-    INGEST_LOG_SCHEMA,
     RUN_LOG_SCHEMA,
     STAGING_SCHEMA,
     USER_SCHEMA,
     ZONE_SCHEMA,
 )
-from ..session import work_dir
+from ..session import file_system, work_dir
 from ..sources.landing import read_events, read_landed
 from .consume import STAGE_LOG_SCHEMA, stage_changes
-from .ingest import ingest_log_rows, land_raw
+from .ingest import INGEST_BATCH_LOG_SCHEMA, land_raw, log_landed
 
 PIPE = "BADGE_EVENTS_PIPE"
 LOAD_LOG_SCHEMA = (
     "load_id long, last_batch_id long, max_zone_key long, rows_loaded long, max_event_key long,"
     " loaded_at timestamp_ntz"
 )
-_WAITING_SCHEMA = STAGING_SCHEMA.replace("_batch_id long", "load_id long")
-_POINTER_SCHEMA = "name string, version long, folder string"
-_LOGS = ("log/ingest", "log/load", "log/run")
-_SWAPPED = ("dim_users", "dim_zones", "fct", *_LOGS)
+# Rows of zones that are not known yet lie in buckets by zone: a new zone reads its own.
+WAITING_BUCKETS = 64
+WAITING_SCHEMA = STAGING_SCHEMA.replace("_batch_id long", "load_id long")
+LATENCY_SCHEMA = "v long, n long"
+# A pointer says where a table's rows are. ``whole``: here and nowhere before; else these
+# are rows added by a load, of which the newest pointer counts (a load may be run again).
+_POINTER_SCHEMA = "name string, version long, folder string, whole boolean, load_id long"
+_LOGS = ("log/ingest", "log/stage", "log/load", "log/run")
+_SWAPPED = ("dim_users", "dim_zones", "fct", "fct_keys", *_LOGS)
 _TABLES = [
     ("stg", STAGING_SCHEMA, "_batch_id"),
-    ("stg_waiting", _WAITING_SCHEMA, "load_id"),
     ("fct", FACT_SCHEMA, "event_date"),
-    ("log/stage", STAGE_LOG_SCHEMA, "_batch_id"),
+    ("fct_keys", KEY_FILTER_SCHEMA, "event_date"),
+    ("log/stage", STAGE_LOG_SCHEMA, None),
     ("log/load", LOAD_LOG_SCHEMA, None),
-    ("log/ingest", INGEST_LOG_SCHEMA, None),
+    ("log/ingest", INGEST_BATCH_LOG_SCHEMA, None),
     ("log/run", RUN_LOG_SCHEMA, None),
     ("log/current", _POINTER_SCHEMA, None),
 ]
@@ -70,12 +76,32 @@ class Store:
         """Where a table's rows are now: as the newest pointer says, if there is one."""
         if name not in _SWAPPED:
             return self.path(name)
-        now = self._pointers(name).agg(F.max_by("folder", "version")).first()[0]
+        now = self._pointers().filter(F.col("name") == name).agg(F.max_by("folder", "version")).first()[0]
         return self.path(now or name)
 
-    def _pointers(self, name: str) -> DataFrame:
-        pointers = self.spark.read.schema(_POINTER_SCHEMA).parquet(self.path("log/current"))
-        return pointers.filter(F.col("name") == name)
+    def _pointers(self) -> DataFrame:
+        return self.spark.read.schema(_POINTER_SCHEMA).parquet(self.path("log/current"))
+
+    def folders(self, names: list[str]) -> list[str]:
+        """Where the rows of tables are that grow by added folders: those that the newest
+        whole pointer of each and the later added ones name, one for each load."""
+        found = []
+        rows = self._pointers().filter(F.col("name").isin(names)).collect()
+        for name in names:
+            own = [r for r in rows if r.name == name]
+            base = max((r for r in own if r.whole), key=lambda r: r.version, default=None)
+            added = {}
+            for r in sorted(own, key=lambda r: r.version):
+                if not r.whole and (base is None or r.version > base.version):
+                    added[r.load_id] = r.folder
+            found += [base.folder] if base and base.folder else []
+            found += added.values()
+        return [self.path(folder) for folder in found]
+
+    def point(self, pointers: list[tuple[str, str | None]], whole: bool, load_id: int = 0) -> None:
+        """Point to the folders of tables (name, folder), all at once: one file."""
+        version = self._pointers().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
+        self.append("log/current", [(name, version, folder, whole, load_id) for name, folder in pointers], _POINTER_SCHEMA)
 
     def swap(self, name: str, write) -> None:
         """Write a table to a new folder, then point to it.
@@ -83,10 +109,15 @@ class Store:
         Readers see the old rows until the pointer is there. A crash before that leaves a
         folder that nothing points to, and the job may be run again.
         """
-        version = self._pointers(name).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
-        folder = f"{name}-{version}-{uuid.uuid4().hex}"
+        folder = f"{name}-{uuid.uuid4().hex}"
         write(self.path(folder))
-        self.append("log/current", [(name, version, folder)], _POINTER_SCHEMA)
+        self.point([(name, folder)], whole=True)
+
+    def _read_folders(self, names: list[str], schema: str) -> DataFrame:
+        folders = self.folders(names)
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def raw(self) -> DataFrame:
         return read_landed(self.spark, self.path("raw"))
@@ -116,8 +147,30 @@ class Store:
     def facts(self) -> DataFrame:
         return self._table("fct", FACT_SCHEMA)
 
-    def waiting(self) -> DataFrame:
-        return self._table("stg_waiting", _WAITING_SCHEMA)
+    def waiting(self, buckets: list[int] | None = None) -> DataFrame:
+        """Rows of zones that were unknown when they came, of all buckets or some."""
+        names = [_bucket_name(b) for b in (range(WAITING_BUCKETS) if buckets is None else buckets)]
+        return self._read_folders(names, WAITING_SCHEMA)
+
+    def latencies(self) -> DataFrame:
+        """How often each latency (seconds from landing to fact) occurs: v, n."""
+        return self._read_folders(["latency"], LATENCY_SCHEMA).groupBy("v").agg(F.sum("n").alias("n"))
+
+    def key_filters(self) -> DataFrame:
+        return self._table("fct_keys", KEY_FILTER_SCHEMA)
+
+    def marks(self) -> DataFrame:
+        """(layer, written_at, n): what each run wrote to each layer, from the logs."""
+        written = [
+            ("RAW", self.ingest_log(), "server_timestamp", "rows_inserted"),
+            ("STAGING", self.stage_log(), "staged_at", "rows_staged"),
+            ("ANALYTICS", self.load_log(), "loaded_at", "rows_loaded"),
+        ]
+        rows = None
+        for layer, log, at, n in written:
+            own = log.filter(F.col(n) > 0).select(F.lit(layer).alias("layer"), F.col(at).alias("written_at"), F.col(n).alias("n"))
+            rows = own if rows is None else rows.unionByName(own)
+        return rows
 
     def stage_log(self) -> DataFrame:
         return self._table("log/stage", STAGE_LOG_SCHEMA)
@@ -126,7 +179,7 @@ class Store:
         return self._table("log/load", LOAD_LOG_SCHEMA)
 
     def ingest_log(self) -> DataFrame:
-        return self._table("log/ingest", INGEST_LOG_SCHEMA)
+        return self._table("log/ingest", INGEST_BATCH_LOG_SCHEMA)
 
     def run_log(self) -> DataFrame:
         return self._table("log/run", RUN_LOG_SCHEMA)
@@ -139,6 +192,14 @@ class Store:
             )
 
 
+def _bucket_name(bucket: int) -> str:
+    return f"stg_waiting/{bucket}"
+
+
+def _bucket(zone: Column) -> Column:
+    return F.pmod(F.xxhash64(zone), F.lit(WAITING_BUCKETS)).cast("int")
+
+
 def create(spark: SparkSession, root: str, users: DataFrame, zones: DataFrame) -> Store:
     """A new store with its first dimension members and all other tables empty."""
     store = Store(spark, root)
@@ -173,11 +234,66 @@ def compact_facts(store: Store, rows_per_file: int = 1_000_000) -> None:
 
 
 def compact_logs(store: Store) -> None:
-    """Each log as one file; a run adds one, so they are many after a month of minutes."""
+    """Each log as one file; a run adds one, so they are many after a month of minutes.
+
+    The filters of the fact's keys and the latencies are merged as well: a row a date and
+    block, and one a latency, instead of those of every load.
+    """
     for name, schema, _ in _TABLES:
         if name in _LOGS:
             rows = store._table(name, schema)
             store.swap(name, lambda path: rows.coalesce(1).write.parquet(path))
+    store.swap("fct_keys", lambda path: merged(store.key_filters()).write.partitionBy("event_date").parquet(path))
+    store.swap("latency", lambda path: store.latencies().coalesce(1).write.parquet(path))
+
+
+def compact_waiting(store: Store) -> None:
+    """All waiting rows in one folder, without those whose zone has come and been loaded."""
+    _rewrite_waiting(store, list(range(WAITING_BUCKETS)))
+
+
+def _rewrite_waiting(store: Store, buckets: list[int]) -> None:
+    """These buckets anew, without the rows of zones that the loads have seen."""
+    seen = store.load_log().agg(F.coalesce(F.max("max_zone_key"), F.lit(0))).first()[0]
+    known = store.zones().filter(F.col("zone_key") <= seen).select("zone_id")
+    rest = store.waiting(buckets).join(known, "zone_id", "left_anti")
+    _point_to_buckets(store, rest, buckets, whole=True)
+
+
+def _point_to_buckets(store: Store, rows: DataFrame, buckets: list[int] | None, whole: bool, load_id: int = 0) -> None:
+    """Write rows by bucket and point to those that got any; others of ``buckets`` are empty."""
+    folder = f"stg_waiting-{uuid.uuid4().hex}"
+    placed = rows.withColumn("zone_bucket", _bucket(F.col("zone_id")))
+    # Each bucket is one task's, however many rows of others the task holds.
+    placed.repartition("zone_bucket").write.partitionBy("zone_bucket").parquet(store.path(folder))
+    written = store.spark.read.schema(WAITING_SCHEMA + ", zone_bucket int").parquet(store.path(folder))
+    filled = {r.zone_bucket for r in written.select("zone_bucket").distinct().collect()}  # at most WAITING_BUCKETS
+    pointers = [(_bucket_name(b), f"{folder}/zone_bucket={b}") for b in sorted(filled)]
+    if whole:
+        pointers += [(_bucket_name(b), None) for b in buckets if b not in filled]
+    store.point(pointers, whole, load_id)
+
+
+def vacuum(store: Store, names: tuple[str, ...] = ("dim_users", "dim_zones", "fct", "fct_keys", "latency", "stg_waiting", *_LOGS)) -> list[str]:
+    """Delete the folders of swapped tables that no pointer needs any more; their names.
+
+    Only what has been pointed to and then replaced, or never was pointed to: not while
+    another job writes to or reads an old state of the store.
+    """
+    live = {store.folder(name) for name in _SWAPPED}
+    live |= set(store.folders(["latency", *map(_bucket_name, range(WAITING_BUCKETS))]))
+    deleted = []
+    for name in names:
+        files, parent = file_system(store.spark, store.path(name).rpartition("/")[0])
+        last = name.rpartition("/")[2]
+        for entry in files.listStatus(parent):
+            folder = entry.getPath().getName()
+            path = f"{store.path(name).rpartition('/')[0]}/{folder}"
+            made = folder == last or re.fullmatch(rf"{re.escape(last)}-[0-9a-f]{{32}}", folder)
+            if made and not any(at == path or at.startswith(f"{path}/") for at in live):
+                files.delete(entry.getPath(), True)
+                deleted.append(folder)
+    return deleted
 
 
 def ingest(
@@ -185,14 +301,15 @@ def ingest(
 ) -> None:
     """Land every file not read before and log each micro-batch.
 
-    The log is made from the landing table, for the arrival times it does not hold: what
-    a crash kept from being logged is logged by the next run, and nothing twice.
+    The log is made from the landing table by a stream of its own: what a crash kept from
+    being logged is logged by the next run, and nothing twice.
     """
     lines = read_events(store.spark, source, max_files=max_files)
     query = land_raw(lines, store.path("raw"), store.path("checkpoint/ingest"), ingestion_time)
     query.awaitTermination()
-    rows = ingest_log_rows(store.spark, store.path("raw"), store.ingest_log(), channel, PIPE)
-    rows.coalesce(1).write.mode("append").parquet(store.folder("log/ingest"))
+    log_landed(
+        store.spark, store.path("raw"), store.folder("log/ingest"), store.path("checkpoint/ingest_log"), channel, PIPE
+    )
 
 
 def stage(store: Store, max_files: int | None = None, staging_time=None) -> None:
@@ -200,7 +317,7 @@ def stage(store: Store, max_files: int | None = None, staging_time=None) -> None
         store.spark,
         store.path("raw"),
         store.path("stg"),
-        store.path("log/stage"),
+        store.folder("log/stage"),
         store.path("checkpoint/stage"),
         max_files,
         staging_time,
@@ -210,10 +327,11 @@ def stage(store: Store, max_files: int | None = None, staging_time=None) -> None
 def process_badge_events(store: Store, load_time=None) -> int:
     """Unknown members first, then facts, for what staging gained; rows loaded.
 
-    Reads the batches after the last finished load, the rows that waited for a zone
-    added since then, and the parts of the fact that these can overlap. A row of an
-    unknown zone is stored once, by the load that first met it, and is read again only
-    when its zone has come. Without either there is nothing to read or write.
+    Reads the batches after the last finished load, the buckets of rows that waited for a
+    zone added since then, and of the fact those times at which the key filters cannot
+    rule out a row that is there already. A row of an unknown zone is stored once, by the
+    load that first met it, and leaves when its zone has come. Without either there is
+    nothing to read or write.
     """
     done = store.load_log().agg(
         F.coalesce(F.max("load_id"), F.lit(0)).alias("load_id"),
@@ -229,7 +347,8 @@ def process_badge_events(store: Store, load_time=None) -> int:
         return 0
     fresh = store.staged_batches(batches).drop("_batch_id")
     came = zones.filter(F.col("zone_key") > done["zone"]).select("zone_id")
-    released = store.waiting().drop("load_id").join(came, "zone_id", "left_semi")
+    opened = [r.b for r in came.select(_bucket(F.col("zone_id")).alias("b")).distinct().collect()]
+    released = store.waiting(opened).drop("load_id").join(came, "zone_id", "left_semi")
     load_id = done["load_id"] + 1
 
     # One pass over the batch tells its users, its days and who holds very many rows.
@@ -241,33 +360,52 @@ def process_badge_events(store: Store, load_time=None) -> int:
 
     placed = fresh.join(zones.select("zone_id"), "zone_id", "left_semi").unionByName(released)
     can_load = profile.filter("placed")
-    days = can_load.groupBy("day").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    spans = facts.spans_of_days(days)
     rows, top = 0, done["key"]
+    spans = facts.spans_of_days(facts.days_of(can_load))
     if spans:
-        loaded = facts.touching(store.facts(), spans)
-        # Keys of an unfinished earlier attempt lie in the same spans.
-        taken = loaded.agg(F.coalesce(F.max("event_key"), F.lit(0))).first()[0]
+        loaded, taken = known_facts(store, placed, spans, load_id)
         hot = heavy_keys(can_load, "user_id")
         new = facts.fact_load(placed, store.users(), zones, loaded, load_time, hot_users=hot)
         written = Observation()
         facts.write_facts(new, store.folder("fct"), max(top, taken) + 1, written=written)
         rows, top = written.get["rows"], max(top, taken, written.get["key"])
-    if batches:
-        (
-            facts.unplaced(fresh, zones)
-            .withColumn("load_id", F.lit(load_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id")
-            .parquet(store.path("stg_waiting"))
-        )
+        # All keys after the last finished load: also what an unfinished one has written.
+        gained = facts.touching(store.facts(), spans).filter(F.col("event_key") > done["key"])
+        folder = f"latency-{uuid.uuid4().hex}"
+        analytics.latency_counts(gained).coalesce(1).write.parquet(store.path(folder))
+        store.point([("latency", folder)], whole=False, load_id=load_id)
+    if batches and not profile.filter("NOT placed").isEmpty():
+        waits = facts.unplaced(fresh, zones).withColumn("load_id", F.lit(load_id).cast("long"))
+        _point_to_buckets(store, waits, None, whole=False, load_id=load_id)
     newest = batches[-1] if batches else done["batch"]
     row = (load_id, newest, last_zone, rows, top, _utc_now())
     store.append("log/load", [row], LOAD_LOG_SCHEMA)
+    if opened and store.folders([_bucket_name(b) for b in opened]):
+        _rewrite_waiting(store, opened)
     return rows
 
 
+def known_facts(store: Store, placed: DataFrame, spans: list[tuple], load_id: int) -> tuple[DataFrame | None, int]:
+    """The part of the fact that may hold some of the batch already, if any, and its
+    highest key; then the batch's own keys go into the filters.
+
+    The filters come before the rows: whatever crashes, a row that is in the fact has its
+    key in a filter.
+    """
+    keys = facts.keys_of(placed)
+    dates = facts.dates_within(F.col("event_date"), spans)
+    scratch = work_dir(store.spark, "suspects")
+    possibly_loaded(keys, store.key_filters().filter(dates)).write.parquet(scratch)
+    suspects = store.spark.read.schema(keys.schema).parquet(scratch)
+    again = facts.spans_of_days(facts.days_between(suspects))
+    key_filter(keys, load_id).write.mode("append").partitionBy("event_date").parquet(store.folder("fct_keys"))
+    if not again:
+        return None, 0
+    loaded = facts.touching(store.facts(), again)
+    # Keys of an unfinished earlier attempt lie in the same spans.
+    return loaded, loaded.agg(F.coalesce(F.max("event_key"), F.lit(0))).first()[0]
+
+
 def logged(store: Store, name: str, job) -> object:
     """Run a job and append its outcome to the run log."""
     started = _utc_now()

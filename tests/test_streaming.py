@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from badgeflow.operators import dimensions
 from badgeflow.schemas import USER_SCHEMA, ZONE_SCHEMA
 from badgeflow.sources import landing
-from badgeflow.streaming import consume, pipeline
+from badgeflow.streaming import consume, ingest, pipeline
 
 T0 = datetime(2024, 1, 5, 10)
 
@@ -139,14 +139,11 @@ def test_crash_before_the_load_is_logged(store, monkeypatch):
 def test_crash_while_staging_replays_the_batch(store, monkeypatch):
     deliver(store, line("B1", "U1", "Z1"), line("B2", "U1", "Z1"))
     pipeline.ingest(store, store.path("lines"))
-    real = consume.write_batch
 
-    def die_on_log(rows, path, batch_id):
-        if path.endswith("log/stage"):
-            raise RuntimeError("lost driver")
-        real(rows, path, batch_id)
+    def die(*args):
+        raise RuntimeError("lost driver")
 
-    monkeypatch.setattr(consume, "write_batch", die_on_log)
+    monkeypatch.setattr(consume, "log_once", die)
     with pytest.raises(Exception):
         pipeline.stage(store)
     monkeypatch.undo()
@@ -188,9 +185,10 @@ def test_ingest_log_survives_a_crash(store, monkeypatch):
     def die(*args):
         raise RuntimeError("lost driver")
 
-    monkeypatch.setattr(pipeline, "ingest_log_rows", die)
-    with pytest.raises(RuntimeError):
+    monkeypatch.setattr(ingest, "ingest_log_rows", die)
+    with pytest.raises(Exception, match="lost driver"):
         pipeline.ingest(store, store.path("lines"))
+    assert store.raw().count() == 1 and store.ingest_log().isEmpty()
     monkeypatch.undo()
     deliver(store, line("B2", "U1", "Z1"))
     assert pipeline.run_once(store, store.path("lines")) == 2
@@ -228,7 +226,7 @@ def test_waiting_rows_are_stored_once(store, spark):
     pipeline.add_zones(store, spark.createDataFrame([("Z9", "Roof", "B")], "zone_id string, zone_name string, building_name string"))
     assert pipeline.run_once(store, store.path("lines")) == 100
     assert pipeline.run_once(store, store.path("lines")) == 0
-    assert store.waiting().count() == 100 and len(set(badges(store))) == len(badges(store)) == 101
+    assert store.waiting().count() == 0 and len(set(badges(store))) == len(badges(store)) == 101
     assert store.facts().select("event_key").distinct().count() == 101
 
 
@@ -272,11 +270,149 @@ def test_compacted_logs_go_on(store):
     for i in range(2):
         deliver(store, line(f"B{i}", "U1", "Z1"))
         pipeline.run_once(store, store.path("lines"))
-    logs = lambda: [store.ingest_log(), store.load_log(), store.run_log()]
+    logs = lambda: [store.ingest_log(), store.load_log(), store.run_log(), store.stage_log()]
     before = [sorted(map(str, log.collect())) for log in logs()]
     pipeline.compact_logs(store)
     assert [sorted(map(str, log.collect())) for log in logs()] == before
-    assert [len(log.inputFiles()) for log in logs()] == [1, 1, 1]
+    assert [len(log.inputFiles()) for log in logs()] == [1, 1, 1, 1]
     deliver(store, line("B9", "U1", "Z1"))
     assert pipeline.run_once(store, store.path("lines")) == 1
-    assert [log.count() for log in logs()] == [3, 3, 6]
+    assert [log.count() for log in logs()] == [3, 3, 6, 3]
+
+
+def zone(store, name):
+    row = store.spark.createDataFrame([(name, name, "B")], "zone_id string, zone_name string, building_name string")
+    pipeline.add_zones(store, row)
+
+
+def test_clock_set_back_between_deliveries(store):
+    """Rows whose arrival time is not after the newest logged one are logged and staged."""
+    source = store.path("lines")
+    for n, at in enumerate((T0, T0 - timedelta(minutes=1), T0, T0 + timedelta(minutes=1))):
+        deliver(store, line(f"B{n}", "U1", "Z1"), line(f"C{n}", "U1", "Z1"))
+        pipeline.ingest(store, source, ingestion_time=at)
+        assert store.ingest_log().agg(F.sum("rows_inserted")).first()[0] == store.raw().count() == 2 * n + 2
+        assert store.unread() == 2
+        assert pipeline.run_once(store, source) == 2
+        assert store.unread() == 0
+    assert store.stage_log().agg(F.sum("rows_read")).first()[0] == 8
+
+
+def test_a_new_zone_reads_its_bucket(store):
+    names = [f"X{i}" for i in range(12)]
+    deliver(store, *[line(f"W{i}", "U1", name) for i, name in enumerate(names)])
+    pipeline.run_once(store, store.path("lines"))
+    deliver(store, *[line(f"V{i}", "U1", name) for i, name in enumerate(names)])
+    pipeline.run_once(store, store.path("lines"))
+    assert store.waiting().count() == 24
+    first = store.spark.range(1).select(pipeline._bucket(F.lit("X3"))).first()[0]
+    files = store.waiting([first]).inputFiles()
+    assert 0 < len(files) < len(store.waiting().inputFiles()) and all(f"/zone_bucket={first}/" in f for f in files)
+    others = {f for f in store.waiting().inputFiles() if f"/zone_bucket={first}/" not in f}
+    zone(store, "X3")
+    assert pipeline.run_once(store, store.path("lines")) == 2
+    assert store.waiting().count() == 22 and store.waiting().filter("zone_id = 'X3'").isEmpty()
+    # The other buckets were not touched.
+    assert others <= set(store.waiting().inputFiles())
+    pipeline.compact_waiting(store)
+    assert store.waiting().count() == 22
+    for name in names:
+        zone(store, name)
+    assert pipeline.run_once(store, store.path("lines")) == 22
+    assert store.waiting().count() == 0 and len(badges(store)) == 24
+
+
+def test_crash_after_waiting_rows_are_written(store, monkeypatch):
+    """The rerun writes them again; they count once, and load once."""
+    deliver(store, line("W1", "U1", "Z9"), line("B1", "U1", "Z1"))
+    pipeline.ingest(store, store.path("lines"))
+    pipeline.stage(store)
+    keep = pipeline.Store.append
+
+    def die(self, name, rows, schema):
+        if name == "log/load":
+            raise RuntimeError("lost driver")
+        keep(self, name, rows, schema)
+
+    monkeypatch.setattr(pipeline.Store, "append", die)
+    with pytest.raises(RuntimeError):
+        pipeline.process_badge_events(store)
+    monkeypatch.undo()
+    assert pipeline.process_badge_events(store) == 0  # B1 is there already
+    assert store.waiting().count() == 1 and badges(store) == ["B1"]
+    assert store.latencies().agg(F.sum("n")).first()[0] == 1
+    zone(store, "Z9")
+    assert pipeline.process_badge_events(store) == 1
+    assert store.waiting().count() == 0 and badges(store) == ["B1", "W1"]
+    assert store.latencies().agg(F.sum("n")).first()[0] == 2
+
+
+def test_delivery_without_repeats_reads_no_facts(store, monkeypatch):
+    """The key filters rule out every row; with a repeat, its minutes are read."""
+    asked = []
+    real = pipeline.facts.fact_load
+
+    def watched(staged, users, zones, loaded, *args, **kwargs):
+        asked.append(loaded)
+        return real(staged, users, zones, loaded, *args, **kwargs)
+
+    monkeypatch.setattr(pipeline.facts, "fact_load", watched)
+    deliver(store, *[line(f"B{i}", "U1", "Z1", minute=i) for i in range(50)])
+    assert pipeline.run_once(store, store.path("lines")) == 50
+    deliver(store, *[line(f"C{i}", "U1", "Z1", minute=i) for i in range(50)])
+    assert pipeline.run_once(store, store.path("lines")) == 50
+    assert asked == [None, None]
+    deliver(store, line("D1", "U1", "Z1"), line("B7", "U1", "Z1", minute=7), line("C9", "U1", "Z1", minute=9))
+    assert pipeline.run_once(store, store.path("lines")) == 1
+    assert asked[2].count() == 6  # minutes 7 to 9, two badges each
+    pipeline.compact_logs(store)
+    deliver(store, line("B3", "U1", "Z1", minute=3))
+    assert pipeline.run_once(store, store.path("lines")) == 0
+    assert len(badges(store)) == 101
+
+
+def test_false_positives_are_looked_up(store, monkeypatch):
+    """Filters with all bits set rule nothing out, and the rows are right."""
+    from badgeflow.operators import key_filter
+
+    monkeypatch.setattr(key_filter, "BLOCK_BITS", 2)
+    monkeypatch.setattr(pipeline, "key_filter", lambda keys, load_id: key_filter.key_filter(keys, load_id, 1))
+    deliver(store, *[line(f"B{i}", "U1", "Z1", minute=i) for i in range(20)])
+    assert pipeline.run_once(store, store.path("lines")) == 20
+    keys = store.facts().select("badge_id", "event_timestamp")
+    others = keys.withColumn("badge_id", F.concat(F.lit("not "), "badge_id"))
+    assert key_filter.possibly_loaded(others, store.key_filters()).count() == 20
+    deliver(store, *[line(f"B{i}", "U1", "Z1", minute=i) for i in range(10, 30)])
+    assert pipeline.run_once(store, store.path("lines")) == 10
+    assert len(badges(store)) == 30
+
+
+def test_latencies_and_marks_add_up(store, monkeypatch):
+    from badgeflow.operators import analytics, monitoring
+
+    for n in range(3):
+        deliver(store, *[line(f"B{n}-{i}", "U1", "Z1") for i in range(n + 1)])
+        pipeline.run_once(store, store.path("lines"))
+    assert analytics.latency_report(store.latencies()).first() == analytics.ingestion_latency(store.facts()).first()
+    pipeline.compact_logs(store)
+    assert analytics.latency_report(store.latencies()).first() == analytics.ingestion_latency(store.facts()).first()
+    rows = {r.layer: r for r in monitoring.latency_of_marks(store.marks(), ("RAW", "STAGING", "ANALYTICS"), F.localtimestamp()).collect()}
+    assert {name: r.row_count for name, r in rows.items()} == {"RAW": 6, "STAGING": 6, "ANALYTICS": 6}
+    assert all(r.last_update is not None for r in rows.values())
+
+
+def test_vacuum_deletes_what_nothing_points_to(store):
+    for n in range(2):
+        deliver(store, line(f"B{n}", "U1", "Z1"), line(f"W{n}", "U1", f"X{n}"))
+        pipeline.run_once(store, store.path("lines"))
+        pipeline.compact_facts(store)
+        pipeline.compact_logs(store)
+        pipeline.compact_waiting(store)
+    tables = lambda: [sorted(map(str, t.collect())) for t in (store.facts(), store.users(), store.waiting(), store.load_log(), store.ingest_log(), store.key_filters(), store.latencies())]
+    before = tables()
+    gone = pipeline.vacuum(store)
+    assert "fct" in gone and any(name.startswith("fct-") for name in gone) and "load" in gone
+    assert any(name.startswith("stg_waiting-") for name in gone)
+    assert tables() == before and pipeline.vacuum(store) == []
+    zone(store, "X1")
+    assert pipeline.run_once(store, store.path("lines")) == 1
