@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from ..functions.times import as_time, now
 from ..schemas import SEED_USERS, SEED_ZONES, USER_SCHEMA, ZONE_SCHEMA
-from .joins import salted_join
 
 # Fixed values for members first seen in an event.
 UNKNOWN = "UNKNOWN"
@@ -219,25 +218,141 @@ def events_with_user_version(
 ) -> DataFrame:
     """Each event with the user version in force at its event time.
 
-    An equi-join on user_id; the date range only filters a user's few versions.
+    Events and version starts are put in one order per user, and each event takes the
+    last version before it: one sorted pass, whatever the number of versions. Users with
+    very many events (``hot_users``) are cut by calendar day, and the version in force
+    when a day begins is carried into it. The versions of a user do not overlap; events
+    without one in force are left out.
     """
-    versions = users.select(
+    carried, started, event = 0, 1, 2  # the order of rows of the same time
+    version = F.struct("user_key", "user_name", "clearance_level", "effective_end_date")
+    starts = users.filter(
+        F.col("effective_end_date").isNull() | (F.col("effective_end_date") > F.col("effective_start_date"))
+    ).select("user_id", F.col("effective_start_date").alias("_at"), version.alias("_version"))
+    rows = events.select(
+        "user_id", F.col("event_timestamp").alias("_at"), F.struct(*events.columns).alias("_event")
+    ).withColumn("_kind", F.lit(event))
+    points = starts.withColumn("_kind", F.lit(started))
+    if hot_users is None:
+        both = rows.unionByName(points, allowMissingColumns=True).withColumn("_day", F.lit(None).cast("date"))
+    else:
+        flagged = F.broadcast(hot_users.select("user_id", F.lit(True).alias("_hot")))  # bounded by its share
+        cut = F.when(F.col("_hot"), F.to_date("_at"))
+        rows = rows.join(flagged, "user_id", "left").withColumn("_day", cut).drop("_hot")
+        points = points.join(flagged, "user_id", "left").withColumn("_day", cut).drop("_hot")
+        both = rows.unionByName(points, allowMissingColumns=True).unionByName(
+            _carried_in(rows, points, carried), allowMissingColumns=True
+        )
+    before = (
+        Window.partitionBy("user_id", "_day")
+        .orderBy("_at", "_kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = both.withColumn("_found", F.last("_version", ignorenulls=True).over(before)).filter(F.col("_kind") == event)
+    end = F.col("_found.effective_end_date")
+    in_force = F.col("_found").isNotNull() & (end.isNull() | (end > F.col("_at")))
+    return found.filter(in_force).select(
+        "_event.*", *[F.col(f"_found.{c}").alias(c) for c in ("user_key", "user_name", "clearance_level")]
+    )
+
+
+def _carried_in(rows: DataFrame, points: DataFrame, kind: int) -> DataFrame:
+    """For each day of a user who is cut by days, the last version that began before it."""
+    days = rows.filter("_day IS NOT NULL").select("user_id", "_day").distinct()
+    last = points.filter("_day IS NOT NULL").groupBy("user_id", "_day").agg(F.max_by("_version", "_at").alias("_last"))
+    earlier = (
+        Window.partitionBy("user_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        days.join(last, ["user_id", "_day"], "full")
+        .withColumn("_version", F.last("_last", ignorenulls=True).over(earlier))
+        .filter("_version IS NOT NULL")
+        .select("user_id", "_day", F.col("_day").cast("timestamp_ntz").alias("_at"), "_version", F.lit(kind).alias("_kind"))
+    )
+
+
+# -- versions from dated changes ----------------------------------------------
+
+
+def change_points(users: DataFrame, tracked=TRACKED) -> DataFrame:
+    """(user_id, changed_at, tracked attributes): what the versions say was changed when.
+
+    Members that were only seen in events say nothing about the user.
+    """
+    return users.filter(~_placeholder()).select("user_id", F.col("effective_start_date").alias("changed_at"), *tracked)
+
+
+def _placeholder() -> Column:
+    return (F.col("user_name") == UNKNOWN) & (F.col("user_type") == UNKNOWN) & (F.col("department") == UNKNOWN)
+
+
+def versions_of_changes(changes: DataFrame, tracked=TRACKED) -> DataFrame:
+    """(user_id, tracked, effective_start_date, effective_end_date) from all changes of
+    some users: neighbours with equal attributes are one version, each lasts until the
+    next, and the order in which changes came does not matter.
+
+    Of changes of one user at one time the one with the greatest attributes counts.
+    """
+    order = Window.partitionBy("user_id").orderBy("changed_at")
+    picked = changes.filter("user_id IS NOT NULL AND changed_at IS NOT NULL").groupBy("user_id", "changed_at").agg(
+        F.max(F.struct(*tracked)).alias("_new")
+    )
+    before = F.lag("_new").over(order)
+    islands = picked.withColumn("_before", before).filter(F.col("_before").isNull() | ~F.col("_new").eqNullSafe(F.col("_before")))
+    return islands.withColumn("effective_end_date", F.lead("changed_at").over(order)).select(
+        "user_id", "_new.*", F.col("changed_at").alias("effective_start_date"), "effective_end_date"
+    )
+
+
+def scd2_rebuild(users: DataFrame, changes: DataFrame, as_of, log: DataFrame | None = None, tracked=TRACKED) -> DataFrame:
+    """The dimension after dated ``changes`` (user_id, changed_at, tracked), in any order.
+
+    The versions of the users concerned are made anew from all their changes: those of
+    ``log``, those that the dimension itself shows, and the new ones. A late change so
+    splits a version that was closed long ago. ``log`` is what was applied before, with the
+    ``change_points`` of the first versions; without it, changes that were merged into an
+    equal neighbour are forgotten, and a later one between the two would not end where
+    they did. A version that begins when one did before keeps its key; the key of an
+    unknown member goes to the version that was in force when it was added.
+    """
+    stamp = as_time(as_of)
+    ids = changes.select("user_id").distinct()
+    history = change_points(users, tracked).join(ids, "user_id", "left_semi")
+    if log is not None:
+        history = history.unionByName(log.select("user_id", "changed_at", *tracked).join(ids, "user_id", "left_semi"))
+    versions = versions_of_changes(history.unionByName(changes.select("user_id", "changed_at", *tracked)), tracked)
+    old = users.join(ids, "user_id", "left_semi")
+    own = old.filter(~_placeholder()).select(
         "user_id",
-        "user_key",
-        "user_name",
-        "clearance_level",
         "effective_start_date",
-        "effective_end_date",
+        F.struct("user_key", "created_timestamp", "effective_end_date", "updated_timestamp").alias("_own"),
     )
-    if hot_users is None:
-        joined = events.join(versions, "user_id")
-    else:
-        joined = salted_join(
-            events, versions, "user_id", hot_users, ("badge_id", "event_timestamp")
+    seen = old.filter(_placeholder()).select(
+        "user_id", F.col("effective_start_date").alias("_seen"), F.struct("user_key", "created_timestamp").alias("_first")
+    )
+    end = F.col("effective_end_date")
+    placed = versions.join(own, ["user_id", "effective_start_date"], "left").join(seen, "user_id", "left")
+    inside = (F.col("effective_start_date") <= F.col("_seen")) & (end.isNull() | (end > F.col("_seen")))
+    # An unknown member older than all that is known of the user becomes the first version.
+    oldest = F.col("effective_start_date") == F.min("effective_start_date").over(Window.partitionBy("user_id"))
+    takes = inside | (oldest & (F.col("_seen") < F.col("effective_start_date")))
+    unchanged = F.col("_own").isNotNull() & F.col("_own.effective_end_date").eqNullSafe(end)
+    made = (
+        placed.withColumn("_kept", F.coalesce("_own.user_key", F.when(takes, F.col("_first.user_key"))))
+        .withColumns(
+            {
+                "is_active": F.lit(True),
+                "is_current": end.isNull(),
+                "created_timestamp": F.coalesce("_own.created_timestamp", F.when(takes, F.col("_first.created_timestamp")), stamp),
+                "updated_timestamp": F.when(unchanged, F.col("_own.updated_timestamp")).otherwise(stamp),
+                "_version": F.concat_ws(" ", "user_id", F.col("effective_start_date").cast("string")),
+            }
         )
-    return joined.filter(valid_at(F.col("event_timestamp"))).drop(
-        "effective_start_date", "effective_end_date"
     )
+    keyed = made.filter("_kept IS NOT NULL").withColumn("user_key", F.col("_kept"))
+    fresh = dense_key(made.filter("_kept IS NULL"), "_version", "user_key", max_key(users, "user_key"))
+    rest = conform(users.join(ids, "user_id", "left_anti"), USER_SCHEMA)
+    return rest.unionByName(conform(keyed, USER_SCHEMA)).unionByName(conform(fresh, USER_SCHEMA))
 
 
 # -- masking -----------------------------------------------------------------

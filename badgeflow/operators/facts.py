@@ -74,12 +74,10 @@ def spans_of_days(days: DataFrame, ranges: int = RANGES) -> list[tuple]:
         "gap", F.timestamp_diff("SECOND", F.col("before"), F.col("first"))
     )
     widest = gaps.orderBy(F.col("gap").desc_nulls_first(), "day").limit(ranges)
-    cuts = sorted((r.first_, r.before) for r in widest.withColumnRenamed("first", "first_").collect())
-    if not cuts:
-        return []
-    last = days.agg(F.max("last")).first()[0]
-    ends = [before for _, before in cuts[1:]] + [last]
-    return [(first, end) for (first, _), end in zip(cuts, ends)]
+    end = days.agg(F.max("last")).scalar()
+    cuts = widest.select(F.col("first").alias("since"), "before", end.alias("end")).orderBy("since").collect()
+    ends = [cut.before for cut in cuts[1:]] + [cut.end for cut in cuts[:1]]
+    return [(cut.since, until) for cut, until in zip(cuts, ends)]
 
 
 def profile(batch: DataFrame, zones: DataFrame) -> DataFrame:

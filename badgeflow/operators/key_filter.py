@@ -13,14 +13,14 @@ from .staging import DEDUP_KEY
 
 BLOCK_BITS = 1 << 15
 BITS_PER_KEY = 4
-# Blocks per date: 64 hold a quarter of a million keys at eight bits each. A store with
-# more events a day takes more; each filter row says how many its date had then.
+# Blocks per date: 64 hold a quarter of a million keys at eight bits each. A store for
+# more events a day takes more, once and for all.
 BLOCKS = 64
 KEY_FILTER_SCHEMA = "event_date date, blocks int, block int, bits binary, load_id long"
 
 
-def _block(blocks: Column) -> Column:
-    return F.pmod(F.xxhash64(*DEDUP_KEY), blocks).cast("int")
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64(*DEDUP_KEY), F.lit(blocks)).cast("int")
 
 
 def _bits() -> Column:
@@ -34,7 +34,7 @@ def key_filter(rows: DataFrame, load_id: int, blocks: int = BLOCKS) -> DataFrame
         rows.select(
             F.to_date("event_timestamp").alias("event_date"),
             F.lit(blocks).alias("blocks"),
-            _block(F.lit(blocks)).alias("block"),
+            _block(blocks).alias("block"),
             F.explode(_bits()).alias("bit"),
         )
         .filter("event_date IS NOT NULL AND block IS NOT NULL")
@@ -57,21 +57,22 @@ def is_set(bits: Column, position: Column) -> Column:
     return F.call_function("shiftright", byte, position.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def possibly_loaded(rows: DataFrame, filters: DataFrame) -> DataFrame:
-    """The rows whose key a filter of their date holds: all that are in the fact, and few more.
+def possibly_loaded(rows: DataFrame, filters: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """The keys of ``rows`` that a filter of their date holds: all that are in the fact,
+    and few more.
 
     Rows meet the filters by date and block, a shuffle of keys only; ``filters`` is to be
-    pruned to the dates of the rows by the caller.
+    pruned to the dates of the rows by the caller. Filters made with another number of
+    blocks are an error, as they would answer wrongly.
     """
-    sizes = [r.blocks for r in filters.select("blocks").distinct().collect()]
-    if not sizes:
-        return rows.limit(0)
-    asked = rows.withColumn("_blocks", F.explode(F.array(*[F.lit(n) for n in sizes]))).withColumns(
-        {"_date": F.to_date("event_timestamp"), "_block": _block(F.col("_blocks")), "_at": _bits()}
+    asked = rows.select(*DEDUP_KEY).withColumns(
+        {"_date": F.to_date("event_timestamp"), "_block": _block(blocks), "_at": _bits()}
     )
+    other = F.raise_error(F.lit(f"a key filter was not made with {blocks} blocks a date")).cast("binary")
     held = merged(filters).select(
-        F.col("event_date").alias("_date"), F.col("blocks").alias("_blocks"), F.col("block").alias("_block"), "bits"
+        F.col("event_date").alias("_date"),
+        F.col("block").alias("_block"),
+        F.when(F.col("blocks") == blocks, F.col("bits")).otherwise(other).alias("bits"),
     )
-    found = asked.join(held, ["_date", "_blocks", "_block"])
     everywhere = F.forall("_at", lambda at: is_set(F.col("bits"), at))
-    return found.filter(everywhere).select(*rows.columns).distinct()
+    return asked.join(held, ["_date", "_block"]).filter(everywhere).select(*DEDUP_KEY)

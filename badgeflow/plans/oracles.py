@@ -339,6 +339,28 @@ def _fact_join(users: str, zones: str = "zones") -> str:
   FROM stg s JOIN {users} u ON u.user_id = s.user_id JOIN {zones} z ON z.zone_id = s.zone_id"""
 
 
+def _changed_users(which: str) -> str:
+    return f"SELECT {padded('USR-', 'o_custkey', 4)} FROM orders WHERE {which}"
+
+
+def _rebuilt(which: str, users: str = "") -> str:
+    """Versions of the enrolled users and of those with such orders: gaps and islands."""
+    user = padded("USR-", "c_custkey", 4)
+    return f"""
+  WITH dated AS (
+    SELECT {user} AS user_id, c_name AS user_name, CAST(o_orderdate AS TIMESTAMP) AS t,
+      CASE o_orderpriority WHEN '1-URGENT' THEN 'SECRET' WHEN '2-HIGH' THEN 'CONFIDENTIAL' ELSE 'PUBLIC' END AS clearance_level
+    FROM customer JOIN orders ON o_custkey = c_custkey WHERE {which}),
+  points AS (
+    SELECT user_id, user_name, t, max(clearance_level) AS clearance_level
+    FROM (SELECT * FROM dated UNION ALL SELECT user_id, user_name, effective_start_date, clearance_level FROM enrolled)
+    WHERE TRUE {users} GROUP BY ALL),
+  islands AS (
+    SELECT *, lag(clearance_level) OVER (PARTITION BY user_id ORDER BY t) AS before FROM points
+    QUALIFY before IS DISTINCT FROM clearance_level)
+  SELECT *, lead(t) OVER (PARTITION BY user_id ORDER BY t) AS until FROM islands"""
+
+
 def _seeded(table: str, key: str, natural: str, columns: str, values: list[str]) -> str:
     rows = ",\n    ".join(values)
     return f"""SELECT * FROM {table} UNION ALL
@@ -423,6 +445,23 @@ SELECT user_id, count(*) AS orphaned_records FROM stg WHERE user_id NOT IN (SELE
 SELECT * FROM enrolled UNION ALL SELECT * REPLACE (TIMESTAMP '2024-01-16' AS effective_start_date,
   TIMESTAMP '2024-01-16' AS created_timestamp, TIMESTAMP '2024-01-16' AS updated_timestamp) FROM newm""",
     "scd2_apply": "SELECT * FROM versions",
+    "scd2_rebuild": f"""
+SELECT user_id, user_name, clearance_level, t AS effective_start_date, until AS effective_end_date, until IS NULL AS is_current
+FROM ({_rebuilt('TRUE')})""",
+    "snapshot_changes": f"""
+SELECT * FROM (
+WITH later AS (
+  SELECT user_id, clearance_level, t AS effective_start_date, until AS effective_end_date, until IS NULL AS is_current
+  FROM ({_rebuilt('o_orderkey % 5 = 0', 'AND user_id IN (SELECT user_id FROM dated)')})
+  UNION ALL SELECT user_id, clearance_level, effective_start_date, effective_end_date, is_current FROM enrolled
+  WHERE user_id NOT IN ({_changed_users('o_orderkey % 5 = 0')})),
+was AS (SELECT user_id, clearance_level, effective_start_date, effective_end_date, is_current FROM enrolled),
+came AS (SELECT * FROM later EXCEPT ALL SELECT * FROM was),
+gone AS (SELECT * FROM was EXCEPT ALL SELECT * FROM later)
+SELECT c.*, 'INSERT' AS _action, g.user_id IS NOT NULL AS _is_update
+FROM came c LEFT JOIN gone g ON g.user_id = c.user_id AND g.effective_start_date = c.effective_start_date
+UNION ALL SELECT g.*, 'DELETE', c.user_id IS NOT NULL
+FROM gone g LEFT JOIN came c ON g.user_id = c.user_id AND g.effective_start_date = c.effective_start_date)""",
     "users_current": "SELECT * FROM versions WHERE is_current",
     "users_point_in_time": """
 SELECT looked_up, user_id, user_key, clearance_level, is_current FROM versions,

@@ -19,6 +19,7 @@ from ..operators import (
     joins,
     monitoring,
     quality,
+    snapshots,
     staging,
     transform,
     validation,
@@ -194,17 +195,27 @@ def _(spark, d):
 
 @query("cdc_insert_filter")
 def _(spark, d):
-    """A feed in which a scan sent again came as an update, and purchases were deleted later."""
+    """The feed of a table written twice: first all scans, then without purchases and with
+    those that were sent again in the place of their first copies."""
     raw = derived.raw_rows(spark, d)
     again = F.col("reader_id") == derived.RESEND_READER
-    feed = [
-        staging.with_feed_metadata(raw.filter(~again)),
-        staging.with_feed_metadata(raw.filter(again), is_update=True),
-        staging.with_feed_metadata(raw.filter(again), "DELETE", is_update=True),
-        staging.with_feed_metadata(raw.filter(F.col("direction") == "EXIT"), "DELETE"),
-    ]
-    whole = feed[0].unionByName(feed[1]).unionByName(feed[2]).unionByName(feed[3])
-    return staging.inserts_only(whole).drop("_row_id")
+    first = raw.filter(~again)
+    stays = first.filter(~F.coalesce(F.col("direction") == "EXIT", F.lit(False)))
+    second = raw.filter(again).unionByName(stays.join(raw.filter(again), list(staging.DEDUP_KEY), "left_anti").select(*raw.columns))
+    feed = snapshots.net_changes(raw.limit(0), first, staging.DEDUP_KEY).unionByName(
+        snapshots.net_changes(first, second, staging.DEDUP_KEY)
+    )
+    return staging.inserts_only(feed).drop("_row_id")
+
+
+@query("snapshot_changes")
+def _(spark, d):
+    """All changes of the user dimension that its dated changes brought."""
+    before = derived.users(spark, d)
+    changes = derived.dated_changes(spark, d).filter("arrival % 5 = 0")
+    after = dimensions.scd2_rebuild(before, changes, VERSIONED_AT)
+    shown = ("user_id", "clearance_level", "effective_start_date", "effective_end_date", "is_current")
+    return snapshots.net_changes(before.select(*shown), after.select(*shown), ("user_id", "effective_start_date")).drop("_row_id")
 
 
 @query("dedup_latest")
@@ -278,6 +289,22 @@ def _(spark, d):
     return _versioned(spark, d)
 
 
+@query("scd2_rebuild")
+def _(spark, d):
+    """Dated changes that came in three deliveries, in no order of time."""
+    history = derived.users(spark, d)
+    changes = derived.dated_changes(spark, d)
+    log = dimensions.change_points(history)
+    for part in (1, 2, 0):
+        came = changes.filter(F.col("arrival") % 3 == part).drop("arrival")
+        path = work_dir(spark, "versions")
+        dimensions.scd2_rebuild(history, came, VERSIONED_AT, log).write.parquet(path)
+        history, log = spark.read.parquet(path), log.unionByName(came)
+    return history.select(
+        "user_id", "user_name", "clearance_level", "effective_start_date", "effective_end_date", "is_current"
+    )
+
+
 @query("users_current")
 def _(spark, d):
     return dimensions.users_current(_versioned(spark, d))

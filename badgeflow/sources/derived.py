@@ -268,6 +268,29 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a change of its customer's clearance, at the order's time."""
+    priority = F.col("o_orderpriority")
+    clearance = F.when(priority == "1-URGENT", "SECRET").when(priority == "2-HIGH", "CONFIDENTIAL").otherwise("PUBLIC")
+    dated = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"),
+        F.col("o_orderkey").alias("arrival"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("changed_at"),
+        clearance.alias("clearance_level"),
+    )
+    return table(spark, sf_dir, "customer").join(dated, "c_custkey").select(
+        padded("USR-", F.col("c_custkey"), 4).alias("user_id"),
+        "changed_at",
+        "arrival",
+        F.col("c_name").alias("user_name"),
+        _user_type().alias("user_type"),
+        F.col("c_mktsegment").alias("department"),
+        _email().alias("email"),
+        _phone().alias("phone"),
+        "clearance_level",
+    )
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from ..functions.times import as_time
 from ..operators import analytics, dimensions, facts
 from ..operators.joins import heavy_keys
-from ..operators.key_filter import KEY_FILTER_SCHEMA, key_filter, merged, possibly_loaded
+from ..operators.key_filter import BLOCKS, KEY_FILTER_SCHEMA, key_filter, merged, possibly_loaded
 from ..schemas import (
     FACT_SCHEMA,
     RUN_LOG_SCHEMA,
@@ -41,6 +42,9 @@ LATENCY_SCHEMA = "v long, n long"
 # A pointer says where a table's rows are. ``whole``: here and nowhere before; else these
 # are rows added by a load, of which the newest pointer counts (a load may be run again).
 _POINTER_SCHEMA = "name string, version long, folder string, whole boolean, load_id long"
+USER_CHANGES_SCHEMA = "user_id string, changed_at timestamp_ntz, " + ", ".join(
+    f"{name} string" for name in dimensions.TRACKED
+)
 _LOGS = ("log/ingest", "log/stage", "log/load", "log/run")
 _SWAPPED = ("dim_users", "dim_zones", "fct", "fct_keys", *_LOGS)
 _TABLES = [
@@ -65,6 +69,14 @@ class Store:
 
     spark: SparkSession
     root: str
+    # Blocks of the key filters of a date; the same for the whole life of a store.
+    key_blocks: int = BLOCKS
+    # The pointers as they were, of a store that is pinned to a moment.
+    known: tuple | None = None
+
+    def pinned(self) -> Store:
+        """The store as it is now: what a job reads and appends to, looked up once."""
+        return replace(self, known=tuple(self._pointers().collect()))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -74,10 +86,8 @@ class Store:
 
     def folder(self, name: str) -> str:
         """Where a table's rows are now: as the newest pointer says, if there is one."""
-        if name not in _SWAPPED:
-            return self.path(name)
-        now = self._pointers().filter(F.col("name") == name).agg(F.max_by("folder", "version")).first()[0]
-        return self.path(now or name)
+        now = (self.folders([name]) if name in _SWAPPED else []) or [self.path(name)]
+        return now[-1]
 
     def _pointers(self) -> DataFrame:
         return self.spark.read.schema(_POINTER_SCHEMA).parquet(self.path("log/current"))
@@ -86,7 +96,7 @@ class Store:
         """Where the rows of tables are that grow by added folders: those that the newest
         whole pointer of each and the later added ones name, one for each load."""
         found = []
-        rows = self._pointers().filter(F.col("name").isin(names)).collect()
+        rows = self._pointers().filter(F.col("name").isin(names)).collect() if self.known is None else self.known
         for name in names:
             own = [r for r in rows if r.name == name]
             base = max((r for r in own if r.whole), key=lambda r: r.version, default=None)
@@ -100,6 +110,8 @@ class Store:
 
     def point(self, pointers: list[tuple[str, str | None]], whole: bool, load_id: int = 0) -> None:
         """Point to the folders of tables (name, folder), all at once: one file."""
+        if not pointers:
+            return
         version = self._pointers().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
         self.append("log/current", [(name, version, folder, whole, load_id) for name, folder in pointers], _POINTER_SCHEMA)
 
@@ -114,7 +126,7 @@ class Store:
         self.point([(name, folder)], whole=True)
 
     def _read_folders(self, names: list[str], schema: str) -> DataFrame:
-        folders = self.folders(names)
+        folders = self.folders(names) if names else []
         if not folders:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
@@ -141,6 +153,10 @@ class Store:
     def users(self) -> DataFrame:
         return self._table("dim_users", USER_SCHEMA)
 
+    def user_changes(self) -> DataFrame:
+        """All changes of users that were ever applied, the first versions included."""
+        return self.spark.read.schema(USER_CHANGES_SCHEMA).parquet(self.path("user_changes"))
+
     def zones(self) -> DataFrame:
         return self._table("dim_zones", ZONE_SCHEMA)
 
@@ -208,6 +224,7 @@ def create(spark: SparkSession, root: str, users: DataFrame, zones: DataFrame) -
         (empty.partitionBy(partition) if partition else empty).parquet(store.path(name))
     dimensions.conform(users, USER_SCHEMA).write.parquet(store.path("dim_users"))
     dimensions.conform(zones, ZONE_SCHEMA).write.parquet(store.path("dim_zones"))
+    dimensions.change_points(store.users()).write.parquet(store.path("user_changes"))
     return store
 
 
@@ -224,10 +241,29 @@ def add_zones(store: Store, members: DataFrame) -> None:
 def apply_user_changes(store: Store, changes: DataFrame, as_of=None) -> None:
     """New versions of changed users, in a new folder that then takes the old one's place."""
     stamp = _utc_now() if as_of is None else as_of
+    _log_changes(store, changes.withColumn("changed_at", as_time(stamp)))
     versions = dimensions.scd2_apply(store.users(), changes, stamp)
     store.swap("dim_users", lambda path: versions.write.parquet(path))
 
 
+def apply_dated_changes(store: Store, changes: DataFrame, as_of=None) -> None:
+    """Versions of the users concerned made anew from all their changes, whenever they
+    came: ``changes`` says by ``changed_at`` since when each holds.
+
+    The changes are logged first; a crash before the versions are swapped in leaves the
+    old ones, and the same changes may be given again.
+    """
+    stamp = _utc_now() if as_of is None else as_of
+    _log_changes(store, changes)
+    versions = dimensions.scd2_rebuild(store.users(), changes, stamp, store.user_changes())
+    store.swap("dim_users", lambda path: versions.write.parquet(path))
+
+
+def _log_changes(store: Store, changes: DataFrame) -> None:
+    rows = dimensions.conform(changes, USER_CHANGES_SCHEMA)
+    rows.write.mode("append").parquet(store.path("user_changes"))
+
+
 def compact_facts(store: Store, rows_per_file: int = 1_000_000) -> None:
     """The fact in as few files as its rows need, in a new folder that takes its place."""
     store.swap("fct", lambda path: facts.compact(store.facts(), path, rows_per_file))
@@ -254,24 +290,22 @@ def compact_waiting(store: Store) -> None:
 
 def _rewrite_waiting(store: Store, buckets: list[int]) -> None:
     """These buckets anew, without the rows of zones that the loads have seen."""
-    seen = store.load_log().agg(F.coalesce(F.max("max_zone_key"), F.lit(0))).first()[0]
+    seen = store.load_log().agg(F.coalesce(F.max("max_zone_key"), F.lit(0))).scalar()
     known = store.zones().filter(F.col("zone_key") <= seen).select("zone_id")
     rest = store.waiting(buckets).join(known, "zone_id", "left_anti")
-    _point_to_buckets(store, rest, buckets, whole=True)
+    filled = _write_buckets(store, rest)
+    empty = {_bucket_name(b) for b in buckets} - {name for name, _ in filled}
+    store.point(filled + [(name, None) for name in sorted(empty)], whole=True)
 
 
-def _point_to_buckets(store: Store, rows: DataFrame, buckets: list[int] | None, whole: bool, load_id: int = 0) -> None:
-    """Write rows by bucket and point to those that got any; others of ``buckets`` are empty."""
+def _write_buckets(store: Store, rows: DataFrame) -> list[tuple[str, str]]:
+    """Rows by bucket in a new folder; the names of the buckets that got any, and where."""
     folder = f"stg_waiting-{uuid.uuid4().hex}"
     placed = rows.withColumn("zone_bucket", _bucket(F.col("zone_id")))
-    # Each bucket is one task's, however many rows of others the task holds.
-    placed.repartition("zone_bucket").write.partitionBy("zone_bucket").parquet(store.path(folder))
+    placed.hint("rebalance", "zone_bucket").write.partitionBy("zone_bucket").parquet(store.path(folder))
     written = store.spark.read.schema(WAITING_SCHEMA + ", zone_bucket int").parquet(store.path(folder))
-    filled = {r.zone_bucket for r in written.select("zone_bucket").distinct().collect()}  # at most WAITING_BUCKETS
-    pointers = [(_bucket_name(b), f"{folder}/zone_bucket={b}") for b in sorted(filled)]
-    if whole:
-        pointers += [(_bucket_name(b), None) for b in buckets if b not in filled]
-    store.point(pointers, whole, load_id)
+    filled = sorted(r.zone_bucket for r in written.select("zone_bucket").distinct().collect())  # at most WAITING_BUCKETS
+    return [(_bucket_name(b), f"{folder}/zone_bucket={b}") for b in filled]
 
 
 def vacuum(store: Store, names: tuple[str, ...] = ("dim_users", "dim_zones", "fct", "fct_keys", "latency", "stg_waiting", *_LOGS)) -> list[str]:
@@ -333,6 +367,7 @@ def process_badge_events(store: Store, load_time=None) -> int:
     load that first met it, and leaves when its zone has come. Without either there is
     nothing to read or write.
     """
+    store = store.pinned()
     done = store.load_log().agg(
         F.coalesce(F.max("load_id"), F.lit(0)).alias("load_id"),
         F.coalesce(F.max("last_batch_id"), F.lit(-1)).alias("batch"),
@@ -340,15 +375,17 @@ def process_badge_events(store: Store, load_time=None) -> int:
         F.coalesce(F.max("max_event_key"), F.lit(0)).alias("key"),
     ).first()
     entries = store.stage_log().filter((F.col("_batch_id") > done["batch"]) & (F.col("rows_read") > 0))
-    batches = sorted(r["_batch_id"] for r in entries.select("_batch_id").distinct().collect())
+    batches = sorted({r["_batch_id"] for r in entries.select("_batch_id").collect()})
     zones = store.zones()
-    last_zone = zones.agg(F.coalesce(F.max("zone_key"), F.lit(0))).first()[0]
+    came = zones.filter(F.col("zone_key") > done["zone"])
+    news = came.agg(F.max("zone_key").alias("last"), F.collect_set(_bucket(F.col("zone_id"))).alias("buckets")).first()
+    last_zone = done["zone"] if news["last"] is None else news["last"]
     if not batches and last_zone <= done["zone"]:
         return 0
+    opened = [b for b in news["buckets"] if store.folders([_bucket_name(b)])]
     fresh = store.staged_batches(batches).drop("_batch_id")
-    came = zones.filter(F.col("zone_key") > done["zone"]).select("zone_id")
-    opened = [r.b for r in came.select(_bucket(F.col("zone_id")).alias("b")).distinct().collect()]
-    released = store.waiting(opened).drop("load_id").join(came, "zone_id", "left_semi")
+    waited = store.waiting(opened).drop("load_id")
+    released = waited.join(came.select("zone_id"), "zone_id", "left_semi") if opened else waited
     load_id = done["load_id"] + 1
 
     # One pass over the batch tells its users, its days and who holds very many rows.
@@ -360,7 +397,7 @@ def process_badge_events(store: Store, load_time=None) -> int:
 
     placed = fresh.join(zones.select("zone_id"), "zone_id", "left_semi").unionByName(released)
     can_load = profile.filter("placed")
-    rows, top = 0, done["key"]
+    rows, top, gained = 0, done["key"], []
     spans = facts.spans_of_days(facts.days_of(can_load))
     if spans:
         loaded, taken = known_facts(store, placed, spans, load_id)
@@ -370,18 +407,19 @@ def process_badge_events(store: Store, load_time=None) -> int:
         facts.write_facts(new, store.folder("fct"), max(top, taken) + 1, written=written)
         rows, top = written.get["rows"], max(top, taken, written.get["key"])
         # All keys after the last finished load: also what an unfinished one has written.
-        gained = facts.touching(store.facts(), spans).filter(F.col("event_key") > done["key"])
+        unlogged = facts.touching(store.facts(), spans).filter(F.col("event_key") > done["key"])
         folder = f"latency-{uuid.uuid4().hex}"
-        analytics.latency_counts(gained).coalesce(1).write.parquet(store.path(folder))
-        store.point([("latency", folder)], whole=False, load_id=load_id)
+        analytics.latency_counts(unlogged).coalesce(1).write.parquet(store.path(folder))
+        gained.append(("latency", folder))
     if batches and not profile.filter("NOT placed").isEmpty():
         waits = facts.unplaced(fresh, zones).withColumn("load_id", F.lit(load_id).cast("long"))
-        _point_to_buckets(store, waits, None, whole=False, load_id=load_id)
+        gained += _write_buckets(store, waits)
+    store.point(gained, whole=False, load_id=load_id)
     newest = batches[-1] if batches else done["batch"]
     row = (load_id, newest, last_zone, rows, top, _utc_now())
     store.append("log/load", [row], LOAD_LOG_SCHEMA)
-    if opened and store.folders([_bucket_name(b) for b in opened]):
-        _rewrite_waiting(store, opened)
+    if opened:
+        _rewrite_waiting(replace(store, known=None), opened)
     return rows
 
 
@@ -392,13 +430,11 @@ def known_facts(store: Store, placed: DataFrame, spans: list[tuple], load_id: in
     The filters come before the rows: whatever crashes, a row that is in the fact has its
     key in a filter.
     """
-    keys = facts.keys_of(placed)
     dates = facts.dates_within(F.col("event_date"), spans)
-    scratch = work_dir(store.spark, "suspects")
-    possibly_loaded(keys, store.key_filters().filter(dates)).write.parquet(scratch)
-    suspects = store.spark.read.schema(keys.schema).parquet(scratch)
+    suspects = possibly_loaded(placed, store.key_filters().filter(dates), store.key_blocks)
     again = facts.spans_of_days(facts.days_between(suspects))
-    key_filter(keys, load_id).write.mode("append").partitionBy("event_date").parquet(store.folder("fct_keys"))
+    filters = key_filter(placed, load_id, store.key_blocks)
+    filters.write.mode("append").partitionBy("event_date").parquet(store.folder("fct_keys"))
     if not again:
         return None, 0
     loaded = facts.touching(store.facts(), again)
