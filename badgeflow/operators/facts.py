@@ -102,14 +102,17 @@ def profile(batch: DataFrame, zones: DataFrame) -> DataFrame:
 def touching(facts: DataFrame, spans: list[tuple]) -> DataFrame:
     """The part of the fact that a batch with these spans can overlap.
 
-    Dates prune partitions; the time ranges reach the Parquet reader, which skips
-    the files and row groups outside them, as they are sorted by time. A batch of
-    the last minute so reads minutes of the fact, not all of today.
+    Dates prune partitions. The Parquet reader does not compare zone-less times with the
+    ranges of a row group, but it does compare the hour: spans within a day so skip the
+    files and row groups of other hours, as rows are sorted by time. A batch of the last
+    minute reads an hour of the fact, not all of today.
     """
-    times = F.lit(False)
+    times, hours = F.lit(False), F.lit(False)
     for first, last in spans:
         times = times | F.col("event_timestamp").between(as_time(first), as_time(last))
-    return facts.filter(dates_within(F.col("event_date"), spans)).filter(times)
+        one_day = first.date() == last.date()
+        hours = hours | (F.col("event_hour").between(first.hour, last.hour) if one_day else F.lit(True))
+    return facts.filter(dates_within(F.col("event_date"), spans)).filter(times).filter(hours)
 
 
 def dates_within(day: Column, spans: list[tuple]) -> Column:
@@ -206,17 +209,52 @@ def write_facts(
     keyed.write.mode(mode).partitionBy("event_date").parquet(path)
 
 
-def compact(facts: DataFrame, target: str, rows_per_file: int = 1_000_000) -> None:
+# Bits of each of the two coordinates of the curve.
+CURVE_BITS = 16
+
+
+def curve(badge: Column, ts: Column) -> Column:
+    """Place of (badge, time of day) on a space-filling curve: the bits of a hash of the
+    badge and of the second of the day in turn, the highest first.
+
+    Rows near each other on the curve are near in both, so a file that holds a stretch of
+    it has a short range of times and few badges' hashes.
+    """
+    second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts).cast("int")
+    steps = F.floor(second.cast("double") * ((1 << CURVE_BITS) / 86400.0)).cast("long")
+    return _spread(_badge_hash(badge)) * 2 + _spread(steps)
+
+
+def _badge_hash(badge: Column) -> Column:
+    return F.pmod(F.xxhash64(badge), F.lit(1 << CURVE_BITS))
+
+
+def _spread(x: Column) -> Column:
+    """The bits of a 16-bit number with a zero before each."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("long"))
+    return x
+
+
+def compact(facts: DataFrame, target: str, rows_per_file: int = 1_000_000, by_badge: bool = False) -> None:
     """Rewrite the fact by date and time order to a new path (never in place).
 
     Range partitions cut a large date by time, so no task takes a whole date; their
-    number follows the row count, which Parquet answers from its footers.
+    number follows the row count, which Parquet answers from its footers. ``by_badge``
+    lays the rows of a date along a curve of badge and time instead, with a Bloom filter
+    of the badges in each row group: one badge's history then reads few of them, and a
+    span of time is still a part of the date only.
     """
     parts = max(1, -(-facts.count() // rows_per_file))
-    (
-        facts.repartitionByRange(parts, "event_date", "event_timestamp")
-        .sortWithinPartitions("event_date", "event_timestamp")
-        .write.mode("errorifexists")
-        .partitionBy("event_date")
-        .parquet(target)
-    )
+    if by_badge:
+        rows = facts.withColumn("_at", curve(F.col("badge_id"), F.col("event_timestamp")))
+        order = ("event_date", "_at")
+    else:
+        rows, order = facts, ("event_date", "event_timestamp")
+    laid_out = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_at")
+    writer = laid_out.write.mode("errorifexists").partitionBy("event_date")
+    if by_badge:
+        writer = writer.option("parquet.bloom.filter.enabled#badge_id", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true"
+        )
+    writer.parquet(target)

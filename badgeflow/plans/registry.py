@@ -474,7 +474,7 @@ def _(spark, d):
         raw.filter(part).write.mode("append").parquet(f"{root}/raw")
         stream = spark.readStream.schema(raw.schema).parquet(f"{root}/raw")
         rollup.write_rollup(stream, f"{root}/state", f"{root}/checkpoint").awaitTermination()
-    return rollup.hourly_report(spark.read.parquet(f"{root}/state"))
+    return rollup.hourly_report(rollup.read_state(spark, f"{root}/state"))
 
 
 @query("pipeline_end_to_end")

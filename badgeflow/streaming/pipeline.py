@@ -264,9 +264,10 @@ def _log_changes(store: Store, changes: DataFrame) -> None:
     rows.write.mode("append").parquet(store.path("user_changes"))
 
 
-def compact_facts(store: Store, rows_per_file: int = 1_000_000) -> None:
-    """The fact in as few files as its rows need, in a new folder that takes its place."""
-    store.swap("fct", lambda path: facts.compact(store.facts(), path, rows_per_file))
+def compact_facts(store: Store, rows_per_file: int = 1_000_000, by_badge: bool = False) -> None:
+    """The fact in as few files as its rows need, in a new folder that takes its place;
+    ``by_badge`` so that one badge's rows lie in few places of a date."""
+    store.swap("fct", lambda path: facts.compact(store.facts(), path, rows_per_file, by_badge))
 
 
 def compact_logs(store: Store) -> None:

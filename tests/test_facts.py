@@ -162,3 +162,41 @@ def test_days_without_number_make_few_ranges(spark, users, zones, tmp_path):
     # Of far apart days, what lies between is not read.
     between = facts.touching(loaded, facts.time_spans(rows.filter("badge_id IN ('B0', 'B89')")))
     assert between.count() == 2
+
+
+def rows_scanned(df):
+    """Rows that the scan hands on, after whole row groups were left out."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_one_badge_reads_a_small_part_of_the_curve(spark, tmp_path):
+    """Of 16,000 rows of a day one badge reads few row groups, and so does a span of time."""
+    rows = spark.range(16_000).selectExpr(
+        "id AS event_key", "concat('BADGE-', id % 400) AS badge_id",
+        "timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(0, 0, 0, CAST(pmod(xxhash64(id), 86400) AS decimal(18,6))) AS event_timestamp",
+        "date'2024-01-05' AS event_date",
+    ).withColumn("event_hour", F.hour("event_timestamp"))
+    paths = {}
+    for by_badge in (False, True):
+        paths[by_badge] = str(tmp_path / f"fct{by_badge}")
+        facts.compact(rows, paths[by_badge], rows_per_file=250, by_badge=by_badge)
+    curve, by_time = (spark.read.parquet(paths[k]) for k in (True, False))
+    assert sorted(map(str, curve.collect())) == sorted(map(str, by_time.collect()))
+    badge, minutes = F.col("badge_id") == "BADGE-7", [(datetime(2024, 1, 5, 10, 5), datetime(2024, 1, 5, 10, 9))]
+    assert curve.filter(badge).count() == 40
+    assert rows_scanned(by_time.filter(badge)) > 7000 and rows_scanned(curve.filter(badge)) < 4000
+    assert facts.touching(curve, minutes).count() == facts.touching(by_time, minutes).count() > 10
+    assert rows_scanned(facts.touching(by_time, minutes)) < 1500 and rows_scanned(facts.touching(curve, minutes)) < 5000
+
+
+def test_curve_alternates_the_bits(spark):
+    def spread(x):
+        return sum(((x >> i) & 1) << (2 * i) for i in range(16))
+
+    rows = spark.range(300).selectExpr(
+        "concat('B', id) AS badge", "timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(0, 0, 0, CAST(id * 287 AS decimal(18,6))) AS ts"
+    ).select(facts.curve(F.col("badge"), F.col("ts")).alias("at"), facts._badge_hash(F.col("badge")).alias("h"), "ts").collect()
+    for r in rows:
+        second = r.ts.hour * 3600 + r.ts.minute * 60 + r.ts.second
+        assert r.at == 2 * spread(r.h) + spread(int(second * 65536 / 86400))

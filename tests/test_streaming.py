@@ -173,10 +173,22 @@ def test_streamed_hours_equal_the_batch_report(spark, tmp_path):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "raw"))
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "raw"))
     rollup.write_rollup(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    report = rollup.hourly_report(spark.read.parquet(str(tmp_path / "out")))
+    state = rollup.read_state(spark, str(tmp_path / "out"))
+    report = rollup.hourly_report(state)
     got = {r.ingestion_hour: r for r in report.collect()}
     want = monitoring.ingestion_metrics(raw, datetime(2024, 1, 2)).select(*report.columns).collect()
     assert len(got) > 10 and got == {r.ingestion_hour: r for r in want}
+    # A batch keeps one row of sums and two bitmaps an hour, however many scans it has.
+    assert state.groupBy("_batch_id", "ingestion_hour").count().filter("count <> 3").isEmpty()
+    numbers = spark.read.parquet(str(tmp_path / "out" / "numbers"))
+    assert numbers.select("number").distinct().count() == numbers.select("kind", "id").distinct().count() == numbers.count()
+    assert numbers.agg(F.max("number")).first()[0] == numbers.count()
+    merged = rollup.merged_state(state)
+    assert {r.ingestion_hour: r for r in rollup.hourly_report(merged).collect()} == got
+    # A batch that is replayed changes nothing.
+    rollup.add_batch(raw.filter(F.hour("ingestion_time") % 3 == 2), 0, str(tmp_path / "out"))
+    again = rollup.hourly_report(rollup.read_state(spark, str(tmp_path / "out")))
+    assert {r.ingestion_hour: r for r in again.collect()} == got
 
 
 def test_ingest_log_survives_a_crash(store, monkeypatch):
