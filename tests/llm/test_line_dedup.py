@@ -67,19 +67,65 @@ def test_insert_and_delete_are_exact(docs):
     assert state(back) == state(whole) == state(grown)
 
 
-def test_unfiltered_and_many_shards(docs, monkeypatch):
+def test_large_filters_and_many_shards(docs, monkeypatch):
     rows = [(i, "\n".join(f"line number {(i * 7 + j) % 40} of a text that repeats itself" for j in range(9))) for i in range(60)]
     want = brute(rows)
     assert any(d for _, d, _ in want.values())
-    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 3)
-    index = LineIndex.build(docs(rows))
-    assert index.shards > 5 and applied(index, docs(rows)) == want
-    half = LineIndex.build(docs(rows[:30])).insert(docs(rows[30:]))
+    index = LineIndex.build(docs(rows), shards=7)
+    assert index.shards == 7 and applied(index, docs(rows)) == want
+    half = LineIndex.build(docs(rows[:30]), shards=7).insert(docs(rows[30:]))
     assert applied(half, docs(rows)) == want
     monkeypatch.setattr(line_dedup, "FILTER_BYTES", -1)
     assert applied(index, docs(rows)) == want
 
 
+@pytest.mark.parametrize("filter_bytes", [64 << 20, -1])
+def test_index_of_other_documents(docs, monkeypatch, filter_bytes):
+    """Documents that the index has not seen lose the lines that it has as frequent,
+    however large its filters are."""
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", filter_bytes)
+    index = LineIndex.build(docs([(i, f"{A}\nown {i}") for i in range(6)]))
+    got = index.apply(docs([(7, f"{A}\nother"), (3, f"{B}\n{A}"), (5, A)])).collect()
+    assert {(r.doc_id, r.n_dropped, r.text) for r in got} == {(7, 1, "other"), (3, 1, B), (5, 0, A)}
+
+
+def test_a_lasting_index(spark, docs, tmp_path):
+    """Another application opens the index, deletes a document, and its lines return;
+    shards that a change does not touch stay where they are."""
+    root = str(tmp_path / "index")
+    built = LineIndex.build(docs(DOCS[:5]), root=root, shards=16)
+    assert LineIndex.open(spark, root) == built
+    other = spark.newSession()
+    opened = LineIndex.open(other, root).insert(other.createDataFrame(DOCS[5:], "doc_id bigint, text string"))
+    assert applied(LineIndex.open(spark, root), docs(DOCS)) == brute(DOCS)
+    gone, left = [DOCS[10]], DOCS[:10]
+    less = LineIndex.open(spark, root).delete(docs(gone))
+    assert applied(LineIndex.open(spark, root), docs(left)) == brute(left)
+    moved = {shard for _, shard, _ in set(less.places) ^ set(opened.places)}
+    assert 0 < len(moved) <= 2 < len({shard for _, shard, _ in opened.places})
+    # What was opened before the change is as it was.
+    assert applied(opened, docs(DOCS)) == brute(DOCS)
+    with pytest.raises(Exception):
+        LineIndex.create(spark, root, 3)
+
+
+def test_crash_before_a_change_is_listed(spark, docs, tmp_path, monkeypatch):
+    root = str(tmp_path / "index")
+    LineIndex.build(docs(DOCS[:5]), root=root)
+
+    def die(*args):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(LineIndex, "_new_filters", die)
+    with pytest.raises(RuntimeError):
+        LineIndex.open(spark, root).insert(docs(DOCS[5:]))
+    monkeypatch.undo()
+    index = LineIndex.open(spark, root)
+    assert index.version == 1
+    again = index.insert(docs(DOCS[5:])).insert(docs(DOCS[5:]))
+    assert applied(again, docs(DOCS)) == brute(DOCS)
+
+
 def test_cuckoo_filter():
     pick = np.random.default_rng(5)
     keys = pick.integers(0, 2**63, (3000, 2)).astype(np.uint64)
@@ -110,8 +156,19 @@ def test_edges(edges, clashing, nothing):
 
 
 def test_repeated_rows_and_rows_without_id(docs):
+    """Rows of one doc_id are one document; rows without one are none, and lose what is
+    frequent elsewhere."""
     rows = [(1, A), (1, A), (2, A), (None, A), (None, A), (3, A)]
+    assert all(r.n_dropped == 0 for r in LineIndex.build(docs(rows)).apply(docs(rows)).collect())
+    rows += [(4, A), (5, f"{A}\n{A}"), (5, "other")]
     got = sorted((str(r.doc_id), r.n_dropped) for r in LineIndex.build(docs(rows)).apply(docs(rows)).collect())
-    assert got == [("1", 1), ("1", 1), ("2", 1), ("3", 0), ("None", 1), ("None", 1)]
+    assert got == [("1", 1), ("1", 1), ("2", 1), ("3", 1), ("4", 1), ("5", 0), ("5", 0), ("None", 1), ("None", 1)]
     lost = [(None, B)] * 6
     assert all(r.n_dropped == 0 for r in LineIndex.build(docs(lost)).apply(docs(lost)).collect())
+
+
+def test_very_long_document(docs):
+    long = "\n".join(f"line {i} of a document that has very many lines in it" for i in range(60_000))
+    rows = [(1, long), (2, long), (3, long), (4, long), (5, long + "\nend")]
+    got = {r.doc_id: (r.n_lines, r.n_dropped) for r in LineIndex.build(docs(rows)).apply(docs(rows)).collect()}
+    assert got == {1: (60_000, 60_000), 2: (60_000, 60_000), 3: (60_000, 60_000), 4: (60_000, 60_000), 5: (60_001, 0)}
