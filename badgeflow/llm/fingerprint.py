@@ -1,14 +1,16 @@
 """Order MinHash: fingerprints whose likeness follows the edit distance of texts.
 
 Marcais et al., "Locality-sensitive hashing for the edit distance". The k-mers of a
-text, numbered by occurrence so that repeats count, are hashed; for each of the
-tuples the minimal ones are selected, put back into their order in the text, and the
-tuple is hashed. Two texts agree in a tuple if they share its k-mers in one order.
-
-A k-mer is K words in a row (white space separates words). Each of the two members of
-a tuple is minimal under a hash function of its own, so all of them are plain min()
-aggregates over numbers that hold hash and position, and the whole signature is one
-pass of partial aggregation without a sort.
+text are numbered by occurrence, so that repeats count. Each tuple has an order of all
+numbered k-mers, the two least ones of the text under it are selected, put back into
+their order in the text, and hashed together. Two texts agree in a tuple if they share
+its k-mers in one order.
+
+A k-mer is K words in a row (white space separates words). All numbered k-mers are hashed
+once, to 64 bits, and the order of a tuple is that of the hashes from a point of its own
+upwards, around the end to the beginning; the points are evenly spread, which is one
+permutation hashing with rotation (Shrivastava and Li). So the hashes of a text are sorted
+once, and a tuple's members are the first two from its point on, found by halving.
 """
 
 from __future__ import annotations
@@ -20,80 +22,87 @@ from badgeflow.llm.common import let, stored, table
 
 K = 2
 TUPLES = 32
-MEMBERS = 2
-# A selected k-mer is one bigint: 40 bits of hash above 23 bits of position (8 million words).
-POSITION_BITS = 23
-HASH_MASK = (1 << 40) - 1
-POSITION_MASK = (1 << POSITION_BITS) - 1
 # Neighbours are found within runs of 2**6 ids, the ends of runs in a tree of runs of 2**12.
 RUN_BITS = 6
 TREE_BITS = 12
 
 
-def packed(hash_: Column, position: Column) -> Column:
-    return F.shiftleft(hash_.bitwiseAND(F.lit(HASH_MASK)), POSITION_BITS).bitwiseOR(
-        position.cast("long").bitwiseAND(F.lit(POSITION_MASK))
-    )
+def placed(hash_: Column, position: Column) -> Column:
+    return F.struct(hash_.alias("h"), position.alias("p"))
 
 
 def numbered_kmers(text: Column, k: int = K) -> Column:
-    """Each k-mer of a text as hash of (k-mer, which occurrence it is) and position.
+    """The numbered k-mers of a text, as (hash, position) in order of hash.
 
     Sorting by (hash, position) puts the occurrences of a k-mer side by side, in text
-    order. Fewer than k words are one k-mer; a text without words has none.
+    order; each after the first is hashed again with its number. Fewer than k words are
+    one k-mer; a text without words has none.
     """
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
     def kmers(w: Column) -> Column:
         last = F.greatest(F.size(w) - k, F.lit(0))
         # Positions before the end are full; slice() takes what there is for short texts.
-        each = F.transform(F.sequence(F.lit(0), last), lambda i: packed(F.xxhash64(F.slice(w, i + 1, k)), i))
-        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.sort_array(each))
+        each = F.transform(F.sequence(F.lit(0), last), lambda i: placed(F.xxhash64(F.slice(w, i + 1, k)), i))
+        return F.sort_array(F.when(F.size(w) > 0, each).otherwise(F.slice(each, 1, 0)))
 
     def occurrences(s: Column) -> Column:
-        def kmer(i: Column) -> Column:
-            return F.shiftright(s[i], POSITION_BITS)
-
-        firsts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (kmer(i) != kmer(F.greatest(i - 1, F.lit(0)))))
+        first = lambda i: (i == 0) | (s[i]["h"] != s[F.greatest(i - 1, F.lit(0))]["h"])
+        firsts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(s) - 1, F.lit(0))), first)
 
         def number(f: Column) -> Column:
-            return F.flatten(
-                F.transform(
-                    f,
-                    lambda first, j: F.transform(
-                        F.slice(s, first + 1, F.coalesce(F.get(f, j + 1), F.size(s)) - first),
-                        lambda x, nth: packed(F.xxhash64(F.shiftright(x, POSITION_BITS), nth), x),
-                    ),
-                )
-            )
-
-        return F.when(F.size(s) == 0, s).otherwise(let(firsts, number))
+            def group(at: Column, j: Column) -> Column:
+                own = F.slice(s, at + 1, F.coalesce(F.get(f, j + 1), F.size(s)) - at)
+                return F.transform(own, lambda x, nth: placed(F.when(nth == 0, x["h"]).otherwise(F.xxhash64(x["h"], nth)), x["p"]))
+
+            return F.sort_array(F.flatten(F.transform(f, group)))
+
+        # Most texts repeat no k-mer, and are in order already.
+        return let(firsts, lambda f: F.when(F.size(f) >= F.size(s), s).otherwise(number(f)))
 
     return let(let(words, kmers), occurrences)
 
 
-def minima(kmer: Column, tuples: int = TUPLES) -> list[Column]:
-    """For each member of each tuple, the k-mer that is minimal under its hash function."""
-    return [
-        F.min(packed(F.xxhash64(F.shiftright(kmer, POSITION_BITS), F.lit(i)), kmer)).alias(f"m{i}")
-        for i in range(tuples * MEMBERS)
-    ]
+def signature(kmers: Column, tuples: int = TUPLES) -> Column:
+    """For each tuple its two members in text order, hashed to 32 bits; 0 without k-mers."""
+    width = (1 << 64) // tuples
+    points = [F.lit(i * width - (1 << 63)) for i in range(tuples)]
+
+    def members(s: Column, point: Column) -> Column:
+        def halve(at: Column, _: Column) -> Column:
+            middle = F.shiftright(at["lo"] + at["hi"], 1)
+            below = (at["lo"] < at["hi"]) & (F.get(s, middle)["h"] < point)
+            lo = F.when(below, middle + 1).otherwise(at["lo"])
+            hi = F.when((at["lo"] < at["hi"]) & ~below, middle).otherwise(at["hi"])
+            return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+        steps = F.sequence(F.lit(0), F.length(F.bin(F.size(s))))
+        start = F.struct(F.lit(0).alias("lo"), F.size(s).alias("hi"))
+        first = F.aggregate(steps, start, halve, lambda at: at["lo"])
+        pair = lambda i: F.struct(
+            F.get(s, F.pmod(i, F.size(s))).alias("a"), F.get(s, F.pmod(i + 1, F.size(s))).alias("b")
+        )
+        in_order = lambda x: F.when(x["a"]["p"] <= x["b"]["p"], F.hash(x["a"]["h"], x["b"]["h"])).otherwise(
+            F.hash(x["b"]["h"], x["a"]["h"])
+        )
+        return let(let(first, pair), in_order)
 
+    def tuple_hashes(s: Column) -> Column:
+        found = F.transform(F.array(*points), lambda point: members(s, point))
+        return F.when(F.size(s) > 0, found).otherwise(F.array_repeat(F.lit(0), tuples))
 
-def signature(mins: list[Column]) -> Column:
-    """Tuples in text order, hashed to 32 bits each."""
+    return let(kmers, tuple_hashes)
 
-    def tuple_hash(a: Column, b: Column) -> Column:
-        place = lambda x: x.bitwiseAND(F.lit(POSITION_MASK))
-        name = lambda x: F.shiftright(x, POSITION_BITS)
-        return F.when(place(a) <= place(b), F.hash(F.lit(0), name(a), name(b))).otherwise(F.hash(F.lit(1), name(b), name(a)))
 
-    return F.array(*[F.coalesce(tuple_hash(mins[i], mins[i + 1]), F.lit(0)) for i in range(0, len(mins), MEMBERS)])
+def fingerprint_text(hashes: Column) -> Column:
+    """Eight hexadecimal digits a tuple."""
+    digits = F.transform(hashes, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"))
+    return F.array_join(digits, "")
 
 
 def likeness(a: Column, b: Column, tuples: int = TUPLES) -> Column:
     """Share of equal tuples, 0 to 1."""
-    return sum((F.when(a[i] == b[i], 1).otherwise(0) for i in range(tuples)), F.lit(0)) / F.lit(float(tuples))
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) / F.lit(float(tuples))
 
 
 def _next_runs(ids: DataFrame) -> DataFrame:
@@ -159,48 +168,39 @@ def with_next(docs: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame, k: int = K, tuples: int = TUPLES) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
-    NULL texts count as empty; texts without words share one fingerprint. Of rows
-    without a doc_id the edit only cuts, and near_next is 0. Everything after the one
-    shuffle by runs stays in its partition: the k-mers, their minima, and the look at
-    the next document; where that is in another run, its text is hashed here as well.
+    NULL texts count as empty; texts without words share one fingerprint, and texts of any
+    length are hashed whole, a text in the memory of its task. Equal hashes of different
+    k-mers (ties) are taken in text order. Of rows without a doc_id the edit only cuts, and
+    near_next is 0; rows that repeat a doc_id follow each other. Other columns are not
+    read, and an empty table gives an empty one. Everything after the one shuffle by runs
+    stays in its partition: the k-mers, their hashes, and the look at the next document;
+    where that is in another run, its text is hashed here as well.
     """
     n = F.length("text")
     cut = F.floor(n / F.lit(3)).cast("int")
     edited = F.concat(F.expr("left(text, n - cut)"), F.expr("left(next_text, cut)"))
-    rows = (
-        with_next(docs)
-        .withColumn("n", n)
-        .withColumn("cut", cut)
-        .withColumn("edited", edited)
-        .withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
-    )
-    version = lambda kind, text: F.struct(F.lit(kind).alias("kind"), F.col(text).alias("text"))
-    versions = F.when(F.col("last_of_run"), F.array(version(0, "text"), version(1, "edited"), version(2, "next_text"))).otherwise(
-        F.array(version(0, "text"), version(1, "edited"))
-    )
-    keys = ["run", "number", "doc_id", "n", "edited_sha256"]
-    kmers = (
-        rows.select(*keys, F.explode(versions).alias("version"))
-        .select(*keys, "version.kind", numbered_kmers(F.col("version.text"), k).alias("kmers"))
-        .select(*keys, "kind", F.explode_outer("kmers").alias("kmer"))
-    )
-    signed = (
-        kmers.groupBy(*keys, "kind")
-        .agg(*minima(F.col("kmer"), tuples))
-        .select(*keys, "kind", signature([F.col(f"m{i}") for i in range(tuples * MEMBERS)]).alias("signature"))
+    rows = with_next(docs).withColumn("n", n).withColumn("cut", cut).withColumn("edited", edited)
+    hashes = lambda text: signature(numbered_kmers(F.col(text), k), tuples)
+    signed = rows.select(
+        "run",
+        "number",
+        "doc_id",
+        "n",
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        hashes("text").alias("own"),
+        hashes("edited").alias("changed"),
+        F.when(F.col("last_of_run"), hashes("next_text")).alias("outside"),
     )
-    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("signature")))
-    together = signed.groupBy(*keys).agg(of(0).alias("fingerprint"), of(1).alias("edited_fingerprint"), of(2).alias("outside"))
     order = Window.partitionBy("run").orderBy("number")
-    following = F.coalesce(F.lead("fingerprint").over(order), F.col("outside"))
-    return together.withColumn("following", following).select(
+    following = signed.withColumn("following", F.coalesce(F.lead("own").over(order), F.col("outside")))
+    return following.select(
         "doc_id",
         F.col("n").cast("long").alias("n_chars"),
         "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint"), tuples).alias("near_edited"),
-        F.when(F.col("doc_id").isNull(), F.lit(0.0)).otherwise(likeness(F.col("fingerprint"), F.col("following"), tuples)).alias("near_next"),
+        fingerprint_text(F.col("own")).alias("fingerprint"),
+        fingerprint_text(F.col("changed")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed"), tuples).alias("near_edited"),
+        F.when(F.col("doc_id").isNull(), F.lit(0.0)).otherwise(likeness(F.col("own"), F.col("following"), tuples)).alias("near_next"),
     )
 
 
