@@ -13,11 +13,11 @@ BLOCK_TAGS = frozenset(
     " tbody td tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# What these hold is never text of the page.
-HIDDEN_TAGS = frozenset(
-    "applet audio button canvas datalist iframe noframes noscript object option script select style svg template"
-    " textarea title video".split()
-)
+# What these hold is never text of the page, and is not read.
+HIDDEN_TAGS = frozenset("applet iframe noframes noscript script style svg template textarea title".split())
+# Controls, and media with what stands in for them. They are read, as their end is often
+# missing: what they hold is taken out when it comes.
+CONTROL_TAGS = frozenset("audio button canvas datalist object select video".split())
 # An opening tag ends these open elements, if no element of the second set lies between.
 ENDED_BY = {
     **{tag: ({"p"}, {"td", "th", "li", "div", "section", "article"}) for tag in BLOCK_TAGS},
@@ -49,7 +49,11 @@ class LeafBlocks(HTMLParser):
         self.parts: list[str] = []
         self.link_chars = 0
         self.in_link = False
+        # Hidden elements that are open, and block-level ones opened in them.
         self.hidden: list[str] = []
+        self.within: list[str] = []
+        # Controls that are open: place among the open elements, and blocks before them.
+        self.controls: list[tuple[int, int]] = []
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)
@@ -65,18 +69,33 @@ class LeafBlocks(HTMLParser):
             self.blocks.append(Block(text, path, self.link_chars, label))
         self.parts, self.link_chars = [], 0
 
+    def end_open(self, at: int) -> None:
+        """The open elements from ``at`` on end. Controls among them had no end of their
+        own: their first words go, and the blocks after these stay, as the page's own."""
+        while self.controls and self.controls[-1][0] >= at:
+            place, before = self.controls.pop()
+            kept = [b for b in self.blocks[before:] if len(b.path) != place + 1]
+            for block in kept:
+                block.path = block.path[:place] + block.path[place + 1 :]
+            self.blocks[before:] = kept
+        del self.open[at:]
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.hidden:
             if tag == self.hidden[-1] and tag not in ("script", "style", "title", "textarea"):
                 self.hidden.append(tag)
+            elif tag in BLOCK_TAGS and tag not in VOID_TAGS:
+                self.within.append(tag)
             return
         if tag in BLOCK_TAGS:
             self.flush()
+            if self.open and self.open[-1][0] in ("select", "datalist"):
+                self.end_open(len(self.open) - 1)
             ended, held = ENDED_BY[tag]
             for at in range(len(self.open) - 1, -1, -1):
                 if self.open[at][0] in ended:
-                    del self.open[at:]
-                elif self.open[at][0] in held:
+                    self.end_open(at)
+                elif self.open[at][0] in held or self.open[at][0] in CONTROL_TAGS:
                     break
             if tag not in VOID_TAGS:
                 names, label = [], None
@@ -88,6 +107,10 @@ class LeafBlocks(HTMLParser):
                 self.open.append((tag, tuple(names), label))
         elif tag in HIDDEN_TAGS:
             self.hidden.append(tag)
+        elif tag in CONTROL_TAGS:
+            self.flush()
+            self.controls.append((len(self.open), len(self.blocks)))
+            self.open.append((tag, (), None))
         elif tag == "br":
             self.parts.append(" ")
         elif tag == "a":
@@ -101,12 +124,27 @@ class LeafBlocks(HTMLParser):
         if self.hidden:
             if tag == self.hidden[-1]:
                 self.hidden.pop()
-            return
+                self.within = self.within if self.hidden else []
+                return
+            if tag in self.within:
+                while self.within.pop() != tag:
+                    pass
+                return
+            if not any(name == tag for name, _, _ in self.open):
+                return
+            self.hidden, self.within = [], []  # an element around it ends: its own end is missing
         if tag in BLOCK_TAGS:
             self.flush()
             for at in range(len(self.open) - 1, -1, -1):
                 if self.open[at][0] == tag:
-                    del self.open[at:]
+                    self.end_open(at)
+                    break
+        elif tag in CONTROL_TAGS:
+            self.flush()
+            for place, before in reversed(self.controls):
+                if self.open[place][0] == tag:
+                    del self.blocks[before:]
+                    self.end_open(place)
                     break
         elif tag == "a":
             self.in_link = False
@@ -126,4 +164,5 @@ def leaf_blocks(html: str | None) -> list[Block]:
     parser.feed(html)
     parser.close()
     parser.flush()
+    parser.end_open(0)
     return parser.blocks

@@ -23,9 +23,22 @@ from badgeflow.llm.common import table
 from badgeflow.llm.dom import Block, leaf_blocks
 from badgeflow.llm.layouts import set_anew
 
-# Labelled pages: those with the smallest hash of page_id, of at most so many characters.
+# Labelled pages: those with the smallest hash of page_id, of at most so many characters
+# (they come to the driver).
 TRAINING_PAGES = 300
 TRAINING_CHARS = 50_000
+# With fewer pages whose markup states labels, texts are guessed for the made layouts.
+STATED_PAGES = 20
+# What a guessed article consists of: blocks of so many words, hardly any of them in links.
+GUESSED_WORDS = 8
+# For a table without any text of that kind: fixed values.
+SENTENCES = [
+    "The river had risen again during the night, and nobody in the village had slept.",
+    "When the engineers came back in the morning, they found that the second gate was stuck.",
+    "It took them most of the day, two pumps and a good deal of patience to move it.",
+    "By the evening the water stood a hand lower, and the first people went home.",
+]
+OTHER_WORDS = ["Home", "News and more", "About us", "Contact", "All rights reserved", "Read our terms", "Log in"]
 
 # What names of elements tell, by the beginnings of their parts; whole parts for short ones.
 NAME_GROUPS = {
@@ -188,23 +201,40 @@ def stated(blocks: list[Block]) -> list[int] | None:
     return labels
 
 
+def guessed(blocks: list[Block]) -> tuple[list[str], list[str]]:
+    """Texts that may be an article's, and others: only their words are used, in made
+    layouts; nothing of the page is labelled by it."""
+    long = [b for b in blocks if b.text.count(" ") + 1 >= GUESSED_WORDS and b.link_chars < 0.3 * len(b.text)]
+    return [b.text for b in long], [b.text for b in blocks if b not in long]
+
+
 def labelled_pages(htmls: list[str]) -> list[tuple[list[Block], list[int]]]:
-    """Pages whose markup states the labels, as they are and in other layouts."""
-    plain = [(b, y) for b in map(leaf_blocks, htmls) if (y := stated(b)) is not None]
+    """Pages whose markup states the labels, as they are and in other layouts; with few of
+    them, other pages' texts in such layouts as well."""
+    parsed = [leaf_blocks(html) for html in htmls]
+    plain = [(b, y) for b in parsed if (y := stated(b)) is not None]
     articles = [[b.text for b, label in zip(*page) if label] for page in plain]
     others = [b.text for page in plain for b, label in zip(*page) if not label]
+    if len(plain) < STATED_PAGES:
+        texts = [guessed(b) for b in parsed if stated(b) is None]
+        articles += [own for own, _ in texts] + [SENTENCES] * STATED_PAGES
+        others += [text for _, rest in texts for text in rest] + OTHER_WORDS
     again = [leaf_blocks(html) for html in set_anew([a for a in articles if a], others)]
     return plain + [(b, [x.label or 0 for x in b]) for b in again]
 
 
-def train(pages: DataFrame, rows: int = TRAINING_PAGES) -> Field:
-    """From a bounded sample of the pages; the rest of the table does not matter."""
-    short = pages.where(F.length("html").between(1, TRAINING_CHARS))
+def train(pages: DataFrame, rows: int = TRAINING_PAGES, chars: int = TRAINING_CHARS) -> Field:
+    """From a bounded sample of the pages: at most ``rows`` of at most ``chars`` characters.
+
+    A table without pages that state labels, or without any pages, is trained on made
+    layouts, so that what is main text never depends on there being such pages.
+    """
+    short = pages.where(F.length("html").between(1, chars))
     order = F.xxhash64("page_id", "url")
     ids = short.select(order.alias("order")).orderBy("order").limit(rows)
     last = ids.agg(F.max("order")).first()[0]
     if last is None:
-        return fit([])
+        return fit(labelled_pages([]))
     found = short.select(order.alias("order"), "html").where(F.col("order") <= last).orderBy("order", "html").limit(rows)
     return fit(labelled_pages([r.html for r in found.collect()]))
 
@@ -213,7 +243,9 @@ def extract(pages: DataFrame, field: Field) -> DataFrame:
     """(page_id, url, text) of every page: its main blocks, joined by \\n.
 
     NULL and empty html, and pages without main text, give an empty text. Repeated
-    rows each give a row; NULL ids and urls stay NULL.
+    rows each give a row; NULL ids and urls stay NULL; an empty table gives an empty one,
+    and other columns are not read. A page of any length is read whole; an element that is
+    never closed ends with the one around it.
     """
     shared = pages.sparkSession.sparkContext.broadcast(field)
 

@@ -97,11 +97,10 @@ def set_anew(articles: list[list[str]], others: list[str], each: int = 2, seed:
 
     pages = []
     for article in articles * each:
-        kept = article if len(article) < 40 else article[:40]
         heading = pick.choice(HEADINGS)
-        body = [heading.format(escape(kept[0]))] if heading else []
+        body = [heading.format(escape(article[0]))] if heading else []
         style = pick.choice(PARAGRAPHS)
-        for number, part in enumerate(kept[1 if heading else 0 :]):
+        for number, part in enumerate(article[1 if heading else 0 :]):
             pattern = style if pick.random() < 0.8 else pick.choice(PARAGRAPHS)
             body.append(pattern.format(*[escape(part), text(2)][: pattern.count("{}")]))
             if pick.random() < 0.12:
