@@ -201,7 +201,8 @@ def draws(
     """What the mix takes of every document (doc_id, source, text_key, size).
 
     Adds source_size, target, passes (whole readings), part (words of a last, partial
-    one), taken, and ``copies``: an array of (shard, place), one for each drawn copy.
+    one), and ``copies``: an array of (shard, place, words), one for each block that falls
+    into the quota of a shard. ``taken`` is the sum of these blocks' words.
     Positions in a source's permutation come from counted hash buckets, so a source
     with a third of all rows is spread over ``buckets`` groups.
 
@@ -240,15 +241,14 @@ def draws(
         )
     )
     left, right = placed.alias("l"), sources.withColumnRenamed("source", "of").alias("r")
-    taken = stored(
+    ranked = stored(
         left.join(right, F.col("l.source").eqNullSafe(F.col("r.of")))
         .select("doc_id", "source", "text_key", "size", "rank", "source_size", "source_rows", "target", "passes",
-                F.least(F.col("size"), F.greatest(F.lit(0), F.col("rest") - F.col("start"))).alias("part"))
-        .withColumn("taken", F.col("passes") * F.col("size") + F.col("part")),
+                F.least(F.col("size"), F.greatest(F.lit(0), F.col("rest") - F.col("start"))).alias("part")),
         "mix",
     )
     # Copies are numbered pass by pass; the partial pass takes a run of the permutation.
-    quotas = taken.groupBy("source", "source_rows", "passes").agg(F.count_if(F.col("part") > 0).alias("partial"), F.max(F.when(F.col("part") > 0, F.col("rank"))).alias("last"))
+    quotas = ranked.groupBy("source", "source_rows", "passes").agg(F.count_if(F.col("part") > 0).alias("partial"), F.max(F.when(F.col("part") > 0, F.col("rank"))).alias("last"))
     quotas = quotas.select("source", (F.col("passes") * F.col("source_rows") + F.coalesce(F.col("last") + 1, F.lit(0))).alias("quota"))
     bounds = split_quotas(quotas, shards, seed).select(
         F.col("source").alias("of"),
@@ -258,18 +258,22 @@ def draws(
         ).alias("ends"),
     )
     position = lambda i: i * F.col("source_rows") + F.col("rank")
+    # A block is the shard's in whose range of its source's permutation it lies; blocks
+    # after the last range are not drawn.
     copies = F.transform(
         F.sequence(F.lit(0).cast("long"), F.lit(cap).cast("long")),
         lambda i: F.struct(
             F.size(F.filter("ends", lambda e: e <= position(i))).alias("shard"),
             F.xxhash64(F.lit(seed), position(i), "source").alias("place"),
-            ((i < F.col("passes")) | ((i == F.col("passes")) & (F.col("part") > 0))).alias("drawn"),
+            F.when(i < F.col("passes"), F.col("size")).otherwise(F.col("part")).alias("words"),
         ),
     )
-    drawn = F.transform(F.filter(copies, lambda c: c["drawn"]), lambda c: F.struct(c["shard"].alias("shard"), c["place"].alias("place")))
+    drawn = F.filter(copies, lambda c: c["shard"] < shards)
+    words = F.aggregate("copies", F.lit(0).cast("long"), lambda sum_, c: sum_ + c["words"])
     return (
-        taken.join(bounds, taken["source"].eqNullSafe(bounds["of"]))
+        ranked.join(bounds, ranked["source"].eqNullSafe(bounds["of"]))
         .withColumn("copies", drawn)
+        .withColumn("taken", words)
         .select("doc_id", "source", "text_key", "size", "source_size", "target", "passes", "part", "taken", "copies")
     )
 
@@ -279,33 +283,40 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), word_count(F.col("text")).alias("size"))
 
 
+def row_key() -> Column:
+    """A digest of (doc_id, source, text_key) in 16 bytes: equal keys are equal rows."""
+    absent = F.concat(F.col("doc_id").isNull().cast("string"), F.col("source").isNull().cast("string"))
+    name = F.concat_ws("|", absent, F.col("doc_id").cast("string"), F.col("text_key").cast("string"), "source")
+    return F.unhex(F.left(F.sha2(F.encode(name, "UTF-8"), 256), F.lit(32)))
+
+
+# Tasks among which the copies of one shard are dealt, by their place there.
+SLICE_BITS = 6
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: the columns of documents, a row for every drawn copy.
 
     Documents stay whole: the cut one of each source is taken if at least half of it
-    was drawn. ``shard`` and ``place`` give a copy's shard and its order there.
+    was drawn. ``shard`` and ``place`` give a copy's shard and its order there, and the
+    rows are dealt out and ordered so. Texts move twice: to their copies, by one key, and
+    with them to their shards.
     """
     mixed = draws(sized(docs), **options)
     whole = F.col("passes") + F.when((F.col("part") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)
-    row_key = F.xxhash64("doc_id", "text_key", "source")
-    copies = mixed.select(
-        "doc_id", "source", row_key.alias("row_key"), F.explode(F.slice("copies", 1, whole.cast("int"))).alias("copy")
-    )
+    copies = mixed.select(row_key().alias("row_key"), F.explode(F.slice("copies", 1, whole.cast("int"))).alias("copy"))
     # Rows repeated as they are were drawn one by one above, so here each stands once.
     plain = (
         docs.select(*DOCUMENT_COLUMNS)
         .withColumn("text_key", F.xxhash64("text"))
-        .withColumn("row_key", row_key)
+        .withColumn("row_key", row_key())
         .repartition("row_key")
-        .dropDuplicates(["row_key", "doc_id", "source"])
-    )
-    a, b = plain.alias("a"), copies.alias("b")
-    same = (
-        (F.col("a.row_key") == F.col("b.row_key"))
-        & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
-        & F.col("a.source").eqNullSafe(F.col("b.source"))
+        .dropDuplicates(["row_key"])
     )
-    return a.join(b, same).select(*[f"a.{c}" for c in DOCUMENT_COLUMNS], "b.copy.shard", "b.copy.place")
+    found = plain.join(copies, "row_key").select(*DOCUMENT_COLUMNS, "copy.shard", "copy.place")
+    part = F.shiftrightunsigned("place", 64 - SLICE_BITS)
+    # Signed places in their order as unsigned ones, so that a shard's slices follow each other.
+    return found.repartition("shard", part).sortWithinPartitions("shard", part, "place")
 
 
 def op3_mix(spark, sf_dir: str) -> DataFrame:
