@@ -404,5 +404,7 @@ def append_alerts(results: DataFrame, database: str, path: str, as_of, minutes:
     spark = results.sparkSession
     empty = spark.createDataFrame([], fresh.schema)
     empty.write.mode("append").parquet(path)  # so that a first run finds a log
-    known = spark.read.schema(fresh.schema).parquet(path).select(*ALERT_KEY)
+    logged = spark.read.schema(fresh.schema).parquet(path)
+    # Only measurements of the window can be raised again: the rest of the log is not looked at.
+    known = logged.filter(F.col("measurement_time") >= ago(at, minutes=minutes)).select(*ALERT_KEY)
     fresh.join(known, list(ALERT_KEY), "left_anti").write.mode("append").parquet(path)

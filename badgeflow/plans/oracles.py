@@ -488,6 +488,9 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, raw_json, rejec
     "cdc_incremental": """
 SELECT CAST(0 AS BIGINT) AS batch_id, count(*) FILTER (WHERE ingestion_time < TIMESTAMP '2024-01-16') AS rows_read FROM raw
 UNION ALL SELECT 1, count(*) FILTER (WHERE ingestion_time >= TIMESTAMP '2024-01-16') FROM raw""",
+    "stream_alerts": """
+SELECT 'DUPLICATE_EVENTS' AS alert, badge_id AS subject, event_timestamp AS at FROM raw GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT 'ABNORMAL_ACTIVITY', user_id, date_trunc('hour', event_timestamp) FROM raw GROUP BY ALL HAVING count(*) > 2""",
     "pipeline_end_to_end": """
 SELECT f.badge_id, f.event_timestamp, u.user_id, u.user_name, z.zone_name, CAST(f.event_date AS VARCHAR) AS event_date,
   f.event_hour, f.event_day_of_week, f.direction, CAST(f.signal_strength AS DOUBLE) AS signal_strength, f.signal_quality,

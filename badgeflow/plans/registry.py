@@ -27,7 +27,7 @@ from ..operators import (
 from ..schemas import RAW_COLUMNS, ZONE_SCHEMA
 from ..session import work_dir
 from ..sources import derived, landing
-from ..streaming import consume, ingest, pipeline, rollup
+from ..streaming import alerts, consume, ingest, pipeline, rollup
 from .warehouse import loaded_facts, staged_rows, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -477,6 +477,22 @@ def _(spark, d):
     return rollup.hourly_report(rollup.read_state(spark, f"{root}/state"))
 
 
+@query("stream_alerts")
+def _(spark, d):
+    """Keys that came again and users with more than two scans an hour, while they arrive."""
+    root = work_dir(spark, "alerts")
+    raw = derived.raw_rows(spark, d).select(*RAW_COLUMNS)
+    early = F.col("ingestion_time") < ntz(SPLIT_AT)
+    session = spark.newSession()  # the state store is a setting of this stream's only
+    alerts.state_settings(session)
+    for part in (early, ~early):
+        raw.filter(part).coalesce(4).write.mode("append").parquet(f"{root}/raw")
+        scans = session.readStream.schema(raw.schema).parquet(f"{root}/raw")
+        for name, found in (("again", alerts.repeated_keys(scans)), ("busy", alerts.busy_users(scans, more_than=2))):
+            alerts.write_alerts(found, f"{root}/{name}", f"{root}/checkpoint-{name}").awaitTermination()
+    return spark.read.parquet(f"{root}/again").unionByName(spark.read.parquet(f"{root}/busy")).drop("_batch_id")
+
+
 @query("pipeline_end_to_end")
 def _(spark, d):
     """Lines in two deliveries through the whole chain, then facts with names."""

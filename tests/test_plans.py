@@ -7,7 +7,7 @@ from badgeflow.plans.registry import QUERIES
 from badgeflow.plans.warehouse import warehouse
 
 # These run whole jobs (streams, rewrites) while the frame is built.
-EAGER = {"ingest_stream", "stream_dedup", "cdc_incremental", "pipeline_end_to_end", "fact_compact", "hourly_rollup", "dq_run", "dq_alert_log"}
+EAGER = {"ingest_stream", "stream_dedup", "cdc_incremental", "pipeline_end_to_end", "fact_compact", "hourly_rollup", "stream_alerts", "dq_run", "dq_alert_log"}
 
 
 def plan_of(df) -> str:
