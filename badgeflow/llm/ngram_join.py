@@ -133,6 +133,9 @@ class Groups:
 
     def __init__(self, n: int):
         self.parent = list(range(n))
+        # Pairs compared whole, told from a similar set's answer alone, and from it and
+        # the shingles in which the two differ.
+        self.compared = self.told = self.derived = 0
 
     def root(self, x: int) -> int:
         parent = self.parent
@@ -180,6 +183,64 @@ class IndexList:
                     yield number, other
 
 
+class Answers:
+    """What a set shares with others, computed for itself or from a set like it.
+
+    A set that links to an earlier one takes that as its model. With v shared with the
+    model, g of the model's shingles gone and c come, it shares with any third set what
+    the model does, less at most g and more at most c: often that settles whether they
+    link, and else only the shingles that differ are looked up.
+    """
+
+    def __init__(self, ranked: list[np.ndarray], mark: np.ndarray, groups: Groups):
+        self.ranked, self.mark, self.groups = ranked, mark, groups
+        self.known: dict[int, dict[int, int]] = {}
+        self.models: dict[int, int] = {}
+        self.model: int | None = None
+
+    def begin(self, x: int) -> None:
+        self.x, self.size, self.model, self.own = x, len(self.ranked[x]), None, {}
+
+    def take(self, model: int) -> None:
+        """Answers of ``model`` from here on; x's own so far stand."""
+        base = self.ranked[model]
+        self.model = self.models[self.x] = model
+        self.gone = base[~self.mark[base]]
+        self.come = np.setdiff1d(self.ranked[self.x], base, assume_unique=True)
+
+    def linked(self, y: int) -> bool:
+        """Whether x and y link."""
+        other = self.ranked[y]
+        total = self.size + len(other)
+        enough = lambda shared: DENOMINATOR * shared >= NUMERATOR * (total - shared)
+        answer = None if self.model is None else self.known[self.model].get(y)
+        if answer is None:
+            self.groups.compared += 1
+            shared = int(np.count_nonzero(self.mark[other]))
+            self.own[y] = shared
+            found = enough(shared)
+            if found and self.model is None:
+                self.take(y if y in self.known else self.models[y])
+            return found
+        if enough(answer - len(self.gone)) or not enough(answer + len(self.come)):
+            self.groups.told += 1
+            return enough(answer - len(self.gone))
+        self.groups.derived += 1
+        return enough(answer - _held(self.gone, other) + _held(self.come, other))
+
+    def end(self) -> None:
+        """Sets without a model are models of later ones."""
+        if self.model is None:
+            self.known[self.x] = self.own
+
+
+def _held(some: np.ndarray, of: np.ndarray) -> int:
+    """How many of some ranks are in a sorted set."""
+    at = np.searchsorted(of, some)
+    at[at == len(of)] = 0
+    return int(np.count_nonzero(of[at] == some))
+
+
 def join_group(sets: list[np.ndarray], known: list[int] | None = None) -> Groups:
     """The components of the links among sets; ``known`` labels are joined beforehand."""
     groups = Groups(len(sets))
@@ -194,12 +255,14 @@ def join_group(sets: list[np.ndarray], known: list[int] | None = None) -> Groups
     ends = np.cumsum([0, *sizes])
     ranked = [np.sort(rank[numbers[a:b]]) for a, b in zip(ends[:-1], ends[1:])]
     mark = np.zeros(len(tokens), bool)
+    answers = Answers(ranked, mark, groups)
     index: dict[int, IndexList] = {}
     for x in sorted(range(len(sets)), key=lambda i: (sizes[i], i)):
         size, own = sizes[x], ranked[x]
         if not size:
             continue
         mark[own] = True
+        answers.begin(x)
         refused: set[int] = set()
         skip = int(np.searchsorted(own, alone))
         for at in range(skip, prefix(size)):
@@ -213,14 +276,14 @@ def join_group(sets: list[np.ndarray], known: list[int] | None = None) -> Groups
                 same = False
                 if y in refused:
                     continue
-                shared = int(np.count_nonzero(mark[ranked[y]]))
-                if DENOMINATOR * shared >= NUMERATOR * (size + other - shared):
+                if answers.linked(y):
                     groups.join(x, y)
                     mine = groups.root(x)
                 else:
                     refused.add(y)
             if not same and listed.split:
                 listed.split = any(groups.root(y) != groups.root(listed.first) for y, _, _ in listed.entries)
+        answers.end()
         for at in range(skip, index_prefix(size)):
             listed = index.setdefault(int(own[at]), IndexList(x))
             listed.split = listed.split or groups.root(listed.first) != groups.root(x)

@@ -9,7 +9,7 @@ import pytest
 from badgeflow.llm import ngram_join
 from badgeflow.llm.common import DOCUMENT_COLUMNS
 from badgeflow.llm.components import components
-from badgeflow.llm.ngram_join import join_documents, join_group, one_of_each, op9_ngram_join, shingle_sets
+from badgeflow.llm.ngram_join import Answers, Groups, join_documents, join_group, one_of_each, op9_ngram_join, shingle_sets
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -141,3 +141,43 @@ def test_one_document_of_each_group_stays(edges, clashing, nothing):
     assert kept.count(None) == 2
     assert one_of_each(clashing.select(*DOCUMENT_COLUMNS)).count() == len(kept)
     assert one_of_each(nothing).count() == 0
+
+
+def test_answers_derived_from_a_similar_set():
+    """Families of near copies that share half of their shingles with other families: most
+    answers of a copy come from another copy's, and the links are those of all pairs."""
+    pick = random.Random(6)
+    core = list(range(1, 60))
+    sets = []
+    for _ in range(12):
+        base = core + pick.sample(range(1000, 1040), 9)
+        for _ in range(8):
+            gone = set(pick.sample(base, pick.randrange(2)))
+            come = [pick.randrange(10**6, 10**7) for _ in range(pick.randrange(2))]
+            sets.append(np.array(sorted(set(base) - gone | set(come)), np.uint64))
+    links = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))
+    got = join_group(sets)
+    parent = Groups(len(sets))
+    for a in range(len(sets)):
+        for b in range(a):
+            if links(sets[a], sets[b]):
+                parent.join(a, b)
+    same = lambda groups: {(a, b) for a in range(len(sets)) for b in range(a) if groups.root(a) == groups.root(b)}
+    assert same(got) == same(parent)
+    assert got.told + got.derived > 0
+    # What every answer says is what comparing the two sets says.
+    tokens, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum([0] + [len(s) for s in sets])
+    ranked = [np.sort(numbers[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+    mark = np.zeros(len(tokens), bool)
+    groups = Groups(len(sets))
+    answers = Answers(ranked, mark, groups)
+    for x in range(len(sets)):
+        mark[:] = False
+        mark[ranked[x]] = True
+        answers.begin(x)
+        for y in reversed(range(x)):
+            assert answers.linked(y) == links(sets[x], sets[y])
+        answers.end()
+    pairs = len(sets) * (len(sets) - 1) // 2
+    assert groups.compared + groups.told + groups.derived == pairs and groups.compared < pairs / 2
