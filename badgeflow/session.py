@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +60,31 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, as ``--py-files`` does.
+
+    Python workers import it by name; without this, or an installed package, they would
+    only find it where their working folder happens to be the repository's. Where all
+    threads share one machine there is nothing to send.
+    """
+    context = spark.sparkContext
+    if re.match(r"local(\[|$)", context.master) or context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    made = os.path.join(tempfile.mkdtemp(prefix="badgeflow-"), "badgeflow.zip")
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, files in os.walk(package):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(made)
+    _shipped.add(context.applicationId)
+
+
 def file_system(spark: SparkSession, path: str):
     """The store that holds a path, through Spark's own client, and the path's name there."""
     name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

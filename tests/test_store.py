@@ -78,3 +78,30 @@ def test_scratch_goes_with_its_application(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert "ROWS 3" in done.stdout
     assert not [f for _, _, files in os.walk(tmp_path) for f in files if f.startswith("part-")]
+
+
+def test_executors_get_the_package(tmp_path):
+    """Workers whose working folder is elsewhere import it once it is shipped."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys\n"
+        f"sys.path.insert(0, {root!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "from badgeflow.session import ship_package\n"
+        "spark = SparkSession.builder.master('local-cluster[1,1,1024]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "def found(rows):\n"
+        "    import badgeflow.schemas as s\n"
+        "    yield from rows\n"
+        "    print(s)\n"
+        "ship_package(spark)\n"
+        "ship_package(spark)\n"
+        "print('ROWS', spark.range(3).mapInArrow(found, 'id long').count())\n"
+        "spark.stop()\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 3" in done.stdout, done.stderr[-2000:]
