@@ -20,6 +20,8 @@ MULTIPLIER = 2862933555777941757
 TWO_64 = 18446744073709551616
 TWO_33 = 8589934592
 TWO_31 = 2147483648
+# Steps that every key takes.
+STEPS = 64
 
 
 def jump_hash(key: Column, shards: int) -> Column:
@@ -44,8 +46,17 @@ def jump_hash(key: Column, shards: int) -> Column:
         return F.when(acc["to"] < shards, let(advanced, moved)).otherwise(acc)
 
     start = F.struct(state.alias("state"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("to"))
-    # Every jump moves up by at least one shard, so `shards` steps always suffice.
-    return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, jump, lambda acc: acc["at"].cast("int"))
+    # Nearly all keys are done after ln(shards) jumps or a few more. Every jump moves up by at
+    # least one shard, so `shards` steps always suffice; only keys not done take the rest.
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(min(shards, STEPS))), start, jump)
+    if shards <= STEPS:
+        return first["at"].cast("int")
+
+    def rest(acc: Column) -> Column:
+        further = F.aggregate(F.sequence(F.lit(STEPS + 1), F.lit(shards)), acc, jump, lambda a: a["at"].cast("int"))
+        return F.when(acc["to"] < shards, further).otherwise(acc["at"].cast("int"))
+
+    return let(first, rest)
 
 
 def shard(df: DataFrame, shards: int, key: str = "doc_id", text: str = "text", buckets: int = 4096) -> DataFrame:

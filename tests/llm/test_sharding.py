@@ -1,5 +1,6 @@
 import zlib
 
+from badgeflow.llm import sharding
 from badgeflow.llm.sharding import op2_jump_shards, shard
 
 MASK = (1 << 64) - 1
@@ -37,6 +38,12 @@ def test_any_count_and_key(spark):
         assert got == {k: (jump(k, shards), jump(k, shards + 1)) for k in keys}
 
 
+def test_keys_that_take_more_steps(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "STEPS", 2)
+    rows = shard(spark.range(300).selectExpr("id AS doc_id", "'x' AS text"), 50).collect()
+    assert {r.doc_id: (r.shard, r.grown_shard) for r in rows} == {k: (jump(k, 50), jump(k, 51)) for k in range(300)}
+
+
 def test_few_rows_move(spark):
     df = spark.range(20_000).selectExpr("id AS doc_id", "'x' AS text")
     rows = shard(df, 8).groupBy("shard", "grown_shard").count().collect()
