@@ -4,27 +4,34 @@ Wu and Manber, "A Fast Algorithm for Multi-Pattern Searching". The symbols are w
 a block is two of them. For each block the shift table holds how far the window may
 move so that no occurrence is passed; a block in no pattern moves it by the whole
 window but one word. Where the shift is 0, the bucket of that suffix block names the
-patterns that may end here, and each is compared word by word.
+patterns that may end here, and these are compared word by word.
 
-Patterns of one length form one matcher: nearly all are windows of ten words, and
-shorter ones (items of fewer words) must not shorten the shifts of the others.
+Words are numbers of one dictionary, items lie one after another in one array of them, a
+pattern is a place in it, and shifts and buckets are sorted arrays: about 30 bytes for a
+word of the benchmark, beside the dictionary. Patterns of one length form one matcher:
+nearly all are windows of ten words, and shorter ones (items of fewer words) must not
+shorten the shifts of the others.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from badgeflow.llm.common import DOCUMENT_COLUMNS, table
+from badgeflow.llm.common import DOCUMENT_COLUMNS, stored, table
 
 WINDOW = 10
-# Benchmark text handled by one set of tables; a larger benchmark is searched in more passes.
+# Benchmark text handled by one set of tables; a larger benchmark is searched in more
+# passes, whose results are stored in between, so that a task holds one set at a time.
 BLOCK_BYTES = 16 << 20
+UNKNOWN = -1
+# Moves that a matcher remembers, so that common blocks are looked up once.
+MOVES = 100_000
 
 # Lower-cases A-Z; every other byte outside 0-9, a-z and non-ASCII becomes a space.
 WORD_BYTES = bytes(
@@ -38,48 +45,104 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Matcher:
-    """The tables for patterns (tuples of words) of one length."""
+    """The tables for the patterns of one length, that begin at ``starts`` in ``words``."""
 
-    def __init__(self, length: int, patterns: Iterable[tuple[bytes, ...]]):
-        self.length = length
+    def __init__(self, length: int, words: np.ndarray, starts: np.ndarray, known: int):
+        self.length, self.words, self.known = length, words, known
         self.block = min(2, length)
         self.widest = length - self.block + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.bucket: dict[tuple[bytes, ...], set[tuple[bytes, ...]]] = defaultdict(set)
-        for pattern in patterns:
-            for end in range(self.block, length + 1):
-                block = pattern[end - self.block : end]
-                self.shift[block] = min(self.shift.get(block, self.widest), length - end)
-            self.bucket[pattern[length - self.block :]].add(pattern)
-
-    def find(self, words: list[bytes]) -> Iterator[tuple[int, tuple[bytes, ...]]]:
-        """(start, pattern) of every occurrence, left to right."""
-        end, n, length, shift, widest = self.length, len(words), self.length, self.shift, self.widest
-        pair = self.block == 2
+        # Every block of a pattern lets the window move so far that its end is reached; of
+        # all such moves of one block the least counts. Later ends are put first.
+        blocks, shifts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for end in range(length, self.block - 1, -1):
+            here = np.unique(self.blocks(words, starts + end))
+            here = here[~_in(here, blocks)]
+            merged = np.concatenate([blocks, here])
+            order = np.argsort(merged, kind="stable")
+            blocks = merged[order]
+            shifts = np.concatenate([shifts, np.full(len(here), length - end)])[order]
+        self.shift_blocks, self.shifts = blocks, shifts
+        self.moves: dict[int, int] = {}  # those looked up lately
+        suffix = self.blocks(words, starts + length)
+        order = np.argsort(suffix, kind="stable")
+        self.suffixes, self.starts = suffix[order], starts[order].astype(np.int32)
+
+    def blocks(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The blocks that end before these places, as numbers."""
+        last = words[ends - 1].astype(np.int64)
+        if self.block == 1:
+            return last
+        first = words[ends - 2].astype(np.int64)
+        return first * self.known + last
+
+    def find(self, words: list, get) -> Iterator[tuple[int, np.ndarray]]:
+        """(place, starts of the patterns) of every occurrence, left to right.
+
+        ``get`` gives the number of a word, None for one that no pattern has.
+        """
+        n, length, pair, widest, known = len(words), self.length, self.block == 2, self.widest, self.known
+        held, shifts, moves = self.shift_blocks, self.shifts, self.moves
+        end = length
         while end <= n:
-            block = (words[end - 2], words[end - 1]) if pair else (words[end - 1],)
-            move = shift.get(block, widest)
+            block = get(words[end - 1])
+            if block is not None and pair:
+                first = get(words[end - 2])
+                block = None if first is None else first * known + block
+            if block is None:
+                end += widest
+                continue
+            move = moves.get(block)
+            if move is None:
+                at = held.searchsorted(block)
+                move = int(shifts[at]) if at < len(held) and held[at] == block else widest
+                if len(moves) == MOVES:
+                    moves.clear()
+                moves[block] = move
             if move:
                 end += move
                 continue
-            seen = tuple(words[end - length : end])
-            for pattern in self.bucket[block]:
-                if pattern == seen:
-                    yield end - length, pattern
+            bucket = self.starts[self.suffixes.searchsorted(block) : self.suffixes.searchsorted(block, "right")]
+            for step in range(length):
+                if not len(bucket):
+                    break
+                word = get(words[end - length + step])
+                bucket = bucket[self.words[bucket + step] == (UNKNOWN if word is None else word)]
+            if len(bucket):
+                yield end - length, bucket
             end += 1
 
 
-def matchers(items: Iterable[tuple[int | None, str | None]], window: int) -> tuple[list[Matcher], dict]:
-    """Matchers by length, and the items of each window."""
-    owners: dict[tuple[bytes, ...], set[int]] = defaultdict(set)
-    for item_id, text in items:
-        words = words_of(text)
-        for at in range(max(len(words) - window, 0) + 1 if words else 0):
-            owners[tuple(words[at : at + window])].add(item_id)
-    lengths: dict[int, list] = defaultdict(list)
-    for pattern in owners:
-        lengths[len(pattern)].append(pattern)
-    return [Matcher(n, lengths[n]) for n in sorted(lengths)], owners
+def _in(some: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of some are in a sorted array."""
+    if not len(of):
+        return np.zeros(len(some), bool)
+    return of[np.minimum(np.searchsorted(of, some), len(of) - 1)] == some
+
+
+class Benchmark:
+    """The items' words and the matchers over them."""
+
+    def __init__(self, items: Iterable[tuple[int, str | None]], window: int):
+        self.ids: dict[bytes, int] = {}
+        ids = self.ids
+        parts, owners, ends, total = [], [], [], 0
+        starts: dict[int, list[np.ndarray]] = {}
+        for item_id, text in items:
+            own = np.array([ids.setdefault(w, len(ids)) for w in words_of(text)], np.int32)
+            if not len(own):
+                continue
+            length = min(window, len(own))
+            starts.setdefault(length, []).append(np.arange(total, total + len(own) - length + 1))
+            parts.append(own)
+            total += len(own)
+            owners.append(item_id)
+            ends.append(total)
+        self.owners, self.ends = owners, np.array(ends, np.int64)
+        words = np.concatenate([*parts, np.zeros(0, np.int32)])
+        self.matchers = [Matcher(n, words, np.concatenate(starts[n]), len(ids)) for n in sorted(starts)]
+
+    def items_of(self, starts: np.ndarray) -> set[int]:
+        return {self.owners[i] for i in np.searchsorted(self.ends, starts, "right").tolist()}
 
 
 def joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -111,7 +174,7 @@ def _search(df: DataFrame, items: list[tuple[int, str]], window: int, text: str)
     shared = df.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, owners = matchers(shared.value, window)
+        benchmark = Benchmark(shared.value, window)
         for batch in batches:
             counts, spans, found = [], [], []
             before = list(zip(batch["spans"].to_pylist(), batch["items"].to_pylist())) if again else None
@@ -121,10 +184,10 @@ def _search(df: DataFrame, items: list[tuple[int, str]], window: int, text: str)
                 if before:
                     hits = [(s["lo"], s["hi"]) for s in before[row][0]]
                     ids.update(before[row][1])
-                for matcher in tables:
-                    for start, pattern in matcher.find(words):
-                        hits.append((start, start + matcher.length))
-                        ids |= owners[pattern]
+                for matcher in benchmark.matchers:
+                    for place, patterns in matcher.find(words, benchmark.ids.get):
+                        hits.append((place, place + matcher.length))
+                        ids |= benchmark.items_of(patterns)
                 counts.append(len(words))
                 spans.append([{"lo": lo, "hi": hi} for lo, hi in joined(hits)])
                 found.append(sorted(ids))
@@ -145,9 +208,10 @@ def search(
     words, [lo, hi)) and items (ids with an occurring window, sorted).
 
     The benchmark is read in blocks of about ``block_bytes`` of text; each is one narrow
-    pass over the documents, so its size bounds what is broadcast and nothing shuffles.
+    pass over the documents, so nothing shuffles, and the block bounds what is broadcast
+    and what a task holds: passes are stored one by one.
 
-    NULL and empty texts have no words. Items without words or without an id match
+    NULL and empty texts have no words; texts of any length are searched whole. Items without words or without an id match
     nothing. Items with equal windows are all reported. An empty benchmark leaves
     every document without hits.
     """
@@ -160,6 +224,8 @@ def search(
     for block in range(blocks):
         part = [(r.item_id, r.text) for r in numbered.where(F.col("block") == block).select("item_id", "text").collect()]
         found = _search(found, part, window, "text")
+        if block + 1 < blocks:
+            found = stored(found, "decontaminate")
     return found.select(*keep, *FOUND.names)
 
 

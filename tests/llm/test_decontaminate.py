@@ -1,10 +1,12 @@
 import hashlib
+import random
 import re
 
+import numpy as np
 import pyarrow.dataset as ds
 
 from badgeflow.llm.common import DOCUMENT_COLUMNS
-from badgeflow.llm.decontaminate import Matcher, clean_documents, joined, op7_decontaminate, search, words_of
+from badgeflow.llm.decontaminate import Benchmark, Matcher, clean_documents, joined, op7_decontaminate, search, words_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -88,14 +90,31 @@ def test_words_and_spans():
 
 
 def test_matcher_moves_past_no_occurrence():
-    import random
-
     pick = random.Random(3)
     for length in (1, 2, 3, 10):
-        text = [b"%d" % pick.randrange(3) for _ in range(3000)]
-        patterns = {tuple(text[at : at + length]) for at in (5, 700, 2000)} | {(b"9",) * length}
-        want = [(at, tuple(text[at : at + length])) for at in range(3000 - length + 1) if tuple(text[at : at + length]) in patterns]
-        assert list(Matcher(length, patterns).find(text)) == want
+        text = np.array([pick.randrange(3) for _ in range(3000)], np.int32)
+        patterns = [text[at : at + length] for at in (5, 700, 2000, 700)] + [np.full(length, 9, np.int32)]
+        words, starts = np.concatenate(patterns), np.arange(len(patterns)) * length
+        want = [
+            (at, [int(s) for s, p in zip(starts, patterns) if (p == text[at : at + length]).all()])
+            for at in range(3000 - length + 1)
+        ]
+        found = [(at, sorted(s.tolist())) for at, s in Matcher(length, words, starts, 10).find(text.tolist(), lambda x: x)]
+        assert found == [(at, some) for at, some in want if some]
+
+
+def test_tables_of_a_large_block_are_small():
+    """Random words, the worst case: under 60 bytes of arrays for a word of the benchmark."""
+    pick = np.random.default_rng(4)
+    words = np.array([f"w{i}" for i in range(50_000)])
+    items = [(i, " ".join(words[pick.integers(0, 50_000, 500)])) for i in range(400)]
+    made = Benchmark(items, 10)
+    arrays = [a for m in made.matchers for a in (m.words, m.shift_blocks, m.shifts, m.suffixes, m.starts)]
+    assert sum(a.nbytes for a in arrays) < 60 * 200_000
+    text = f"x y {' '.join(items[7][1].split()[100:112])} z"
+    (matcher,) = made.matchers
+    hits = [(at, made.items_of(s)) for at, s in matcher.find(words_of(text), made.ids.get)]
+    assert hits == [(2, {7}), (3, {7}), (4, {7})]
 
 
 def test_edges(spark, edges, clashing, nothing):
