@@ -499,9 +499,9 @@ def _(spark, d):
     for part in (early, ~early):
         raw.filter(part).coalesce(4).write.mode("append").parquet(f"{root}/raw")
         scans = session.readStream.schema(raw.schema).parquet(f"{root}/raw")
-        for name, found in (("again", alerts.repeated_keys(scans)), ("busy", alerts.busy_users(scans, more_than=2))):
-            alerts.write_alerts(found, f"{root}/{name}", f"{root}/checkpoint-{name}").awaitTermination()
-    return spark.read.parquet(f"{root}/again").unionByName(spark.read.parquet(f"{root}/busy")).drop("_batch_id")
+        found = alerts.scan_alerts(scans, more_than=2)
+        alerts.write_alerts(found, f"{root}/alerts", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/alerts").drop("_batch_id")
 
 
 @query("pipeline_end_to_end")

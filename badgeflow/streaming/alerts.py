@@ -29,7 +29,8 @@ LATENESS = "1 hour"
 # Event time for which a key is remembered after its first scan.
 KEPT = timedelta(hours=2)
 ALERT_SCHEMA = "alert string, subject string, at timestamp"
-_PART = "subject string, at timestamp, ts timestamp, n long"
+_KEY = ["alert", "subject", "at"]
+_PART = "alert string, subject string, at timestamp, ts timestamp, n long"
 
 
 def state_settings(spark: SparkSession) -> None:
@@ -37,10 +38,11 @@ def state_settings(spark: SparkSession) -> None:
 
 
 class Counter(StatefulProcessor):
-    """Counts the scans of a key and reports it once, when the count passes a limit."""
+    """Counts the scans of a key and reports it once, when the count passes the limit of
+    its kind of alert."""
 
-    def __init__(self, alert: str, more_than: int, keep: timedelta):
-        self.alert, self.more_than, self.keep = alert, more_than, keep
+    def __init__(self, more_than: dict[str, int], keep: timedelta):
+        self.more_than, self.keep = more_than, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -57,8 +59,8 @@ class Counter(StatefulProcessor):
         if before == 0 and last is not None:
             over = last.to_pydatetime().replace(tzinfo=None) + self.keep
             self.handle.registerTimer(int((over - datetime(1970, 1, 1)).total_seconds() * 1000))
-        if before <= self.more_than < now:
-            yield pd.DataFrame({"alert": [self.alert], "subject": [key[0]], "at": [key[1]]})
+        if before <= self.more_than[key[0]] < now:
+            yield pd.DataFrame({"alert": [key[0]], "subject": [key[1]], "at": [key[2]]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
@@ -72,31 +74,48 @@ def _combined(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row a key of what a task has at hand, so that a user with a third of all scans
     is a few rows from each task."""
     for part in parts:
-        sums = part.groupby(["subject", "at"], dropna=False, as_index=False).agg(ts=("ts", "max"), n=("n", "sum"))
-        yield sums[["subject", "at", "ts", "n"]]
+        sums = part.groupby(_KEY, as_index=False).agg(ts=("ts", "max"), n=("n", "sum"))
+        yield sums[[*_KEY, "ts", "n"]]
 
 
-def _counted(scans: DataFrame, subject: Column, at: Column, alert: str, more_than: int, lateness: str) -> DataFrame:
-    rows = scans.filter(subject.isNotNull() & at.isNotNull()).select(
-        subject.alias("subject"), at.alias("at"), instant("event_timestamp").alias("ts"), F.lit(1).cast("long").alias("n")
+def _alerts(scans: DataFrame, rules: list[tuple[str, Column, Column, int]], lateness: str) -> DataFrame:
+    """rules: (alert, subject, time, limit). One stream for all of them."""
+    keys = F.array(*[F.struct(F.lit(name).alias("alert"), subject.alias("subject"), at.alias("at")) for name, subject, at, _ in rules])
+    rows = (
+        scans.select(instant("event_timestamp").alias("ts"), F.lit(1).cast("long").alias("n"), F.explode(keys).alias("key"))
+        .filter("key.subject IS NOT NULL AND key.at IS NOT NULL")
+        .select("key.*", "ts", "n")
     )
     counted = rows.mapInPandas(_combined, _PART).withWatermark("ts", lateness)
-    alerts = counted.groupBy("subject", "at").transformWithStateInPandas(
-        Counter(alert, more_than, KEPT), ALERT_SCHEMA, outputMode="Update", timeMode="EventTime"
+    alerts = counted.groupBy(*_KEY).transformWithStateInPandas(
+        Counter({name: limit for name, _, _, limit in rules}, KEPT), ALERT_SCHEMA, outputMode="Update", timeMode="EventTime"
     )
     return alerts.select("alert", "subject", utc_clock(F.unix_micros("at")).alias("at"))
 
 
+def _repeated() -> tuple[str, Column, Column, int]:
+    badge, at = DEDUP_KEY
+    return REPEATED, F.col(badge), instant(at), 1
+
+
+def _busy(more_than: int) -> tuple[str, Column, Column, int]:
+    return BUSY, F.col("user_id"), instant(trunc_hour("event_timestamp")), more_than
+
+
 def repeated_keys(scans: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """An alert for each (badge, time) that comes again, once."""
-    badge, at = DEDUP_KEY
-    return _counted(scans, F.col(badge), instant(at), REPEATED, 1, lateness)
+    return _alerts(scans, [_repeated()], lateness)
 
 
 def busy_users(scans: DataFrame, more_than: int = BUSY_EVENTS_PER_HOUR, lateness: str = LATENESS) -> DataFrame:
     """An alert for each user and clock hour with more than so many scans, once, when the
     limit is passed."""
-    return _counted(scans, F.col("user_id"), instant(trunc_hour("event_timestamp")), BUSY, more_than, lateness)
+    return _alerts(scans, [_busy(more_than)], lateness)
+
+
+def scan_alerts(scans: DataFrame, more_than: int = BUSY_EVENTS_PER_HOUR, lateness: str = LATENESS) -> DataFrame:
+    """Both kinds, from one reading of the scans."""
+    return _alerts(scans, [_repeated(), _busy(more_than)], lateness)
 
 
 def write_alerts(alerts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
