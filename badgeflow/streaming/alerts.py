@@ -1,105 +1,65 @@
 """Alerts raised while scans arrive: repeated keys, and users with too many events an hour.
 
-Each key keeps a small state of its own (how often it came, whether it was reported) that
-a timer drops once its time is over, so state holds the last hours and not all scans. What
-is reported depends on the scans and not on how they are cut into batches.
+A key is counted in the state of a streaming aggregate, by the clock hour of its scans; an
+hour's keys are dropped when no scan of it is waited for any more, so state holds the last
+hours and not all scans. What is reported depends on the scans and not on how they are cut
+into batches.
 
-The state store must keep columns of its own per operator:
-``spark.sql.streaming.stateStore.providerClass`` is set to RocksDB by ``state_settings``.
+State is larger than memory in a large batch: ``spark.sql.streaming.stateStore.providerClass``
+is set to RocksDB by ``state_settings``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timedelta
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.times import instant, trunc_hour, utc_clock
+from ..functions.times import instant, trunc_hour
 from ..operators.quality import BUSY_EVENTS_PER_HOUR
 from ..operators.staging import DEDUP_KEY
 from .consume import write_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 REPEATED, BUSY = "DUPLICATE_EVENTS", "ABNORMAL_ACTIVITY"
-# Scans that come later than this after the newest one are not looked at any more.
+# Hours that ended longer than this before the newest scan are not looked at any more.
 LATENESS = "1 hour"
-# Event time for which a key is remembered after its first scan.
-KEPT = timedelta(hours=2)
-ALERT_SCHEMA = "alert string, subject string, at timestamp"
 _KEY = ["alert", "subject", "at"]
-_PART = "alert string, subject string, at timestamp, ts timestamp, n long"
+LOG_SCHEMA = "alert string, subject string, at timestamp_ntz, _batch_id long, alert_date date"
 
 
 def state_settings(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-class Counter(StatefulProcessor):
-    """Counts the scans of a key and reports it once, when the count passes the limit of
-    its kind of alert."""
-
-    def __init__(self, more_than: dict[str, int], keep: timedelta):
-        self.more_than, self.keep = more_than, keep
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "n long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = self.seen.get()[0] if self.seen.exists() else 0
-        now, last = before, None
-        for part in rows:
-            now += int(part["n"].sum())
-            newest = part["ts"].max()
-            last = newest if last is None or newest > last else last
-        self.seen.update((now,))
-        if before == 0 and last is not None:
-            over = last.to_pydatetime().replace(tzinfo=None) + self.keep
-            self.handle.registerTimer(int((over - datetime(1970, 1, 1)).total_seconds() * 1000))
-        if before <= self.more_than[key[0]] < now:
-            yield pd.DataFrame({"alert": [key[0]], "subject": [key[1]], "at": [key[2]]})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def _combined(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row a key of what a task has at hand, so that a user with a third of all scans
-    is a few rows from each task."""
-    for part in parts:
-        sums = part.groupby(_KEY, as_index=False).agg(ts=("ts", "max"), n=("n", "sum"))
-        yield sums[[*_KEY, "ts", "n"]]
-
-
 def _alerts(scans: DataFrame, rules: list[tuple[str, Column, Column, int]], lateness: str) -> DataFrame:
-    """rules: (alert, subject, time, limit). One stream for all of them."""
+    """rules: (alert, subject, time, limit). One stream for all of them.
+
+    A key above its limit comes in every batch that adds to it; ``write_alerts`` takes it
+    once. The scans of a key lie in one hour, so the hour adds no groups. They are combined
+    in each task first: a user with a third of all scans is a few rows from each task.
+    """
     keys = F.array(*[F.struct(F.lit(name).alias("alert"), subject.alias("subject"), at.alias("at")) for name, subject, at, _ in rules])
-    rows = (
-        scans.select(instant("event_timestamp").alias("ts"), F.lit(1).cast("long").alias("n"), F.explode(keys).alias("key"))
+    over = F.lit(False)
+    for name, _, _, limit in rules:
+        over = over | ((F.col("alert") == name) & (F.col("n") > limit))
+    counted = (
+        scans.withColumn("_ts", instant("event_timestamp"))
+        .withWatermark("_ts", lateness)
+        .select(F.window("_ts", "1 hour").alias("hour"), F.explode(keys).alias("key"))
         .filter("key.subject IS NOT NULL AND key.at IS NOT NULL")
-        .select("key.*", "ts", "n")
-    )
-    counted = rows.mapInPandas(_combined, _PART).withWatermark("ts", lateness)
-    alerts = counted.groupBy(*_KEY).transformWithStateInPandas(
-        Counter({name: limit for name, _, _, limit in rules}, KEPT), ALERT_SCHEMA, outputMode="Update", timeMode="EventTime"
+        .groupBy("hour", *[F.col(f"key.{c}").alias(c) for c in _KEY])
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return alerts.select("alert", "subject", utc_clock(F.unix_micros("at")).alias("at"))
+    return counted.filter(over).select(*_KEY)
 
 
 def _repeated() -> tuple[str, Column, Column, int]:
     badge, at = DEDUP_KEY
-    return REPEATED, F.col(badge), instant(at), 1
+    return REPEATED, F.col(badge), F.col(at), 1
 
 
 def _busy(more_than: int) -> tuple[str, Column, Column, int]:
-    return BUSY, F.col("user_id"), instant(trunc_hour("event_timestamp")), more_than
+    return BUSY, F.col("user_id"), trunc_hour("event_timestamp"), more_than
 
 
 def repeated_keys(scans: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -118,10 +78,28 @@ def scan_alerts(scans: DataFrame, more_than: int = BUSY_EVENTS_PER_HOUR, latenes
     return _alerts(scans, [_repeated(), _busy(more_than)], lateness)
 
 
+def _write_new(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Write the alerts of a batch that no earlier batch has in the log at ``path``.
+
+    Only the days of the log that the batch reports on are read.
+    """
+    dated = batch.withColumn("alert_date", F.to_date("at"))
+    if batch_id == 0:
+        write_batch(dated, path, batch_id, "alert_date")
+        return
+    dated.persist()  # the state is brought up to date once
+    first, last = dated.agg(F.min("alert_date"), F.max("alert_date")).first()
+    if first is not None:
+        log = batch.sparkSession.read.schema(LOG_SCHEMA).parquet(path)
+        told = log.filter((F.col("_batch_id") < batch_id) & F.col("alert_date").between(F.lit(first), F.lit(last)))
+        write_batch(dated.join(told.select(*_KEY), _KEY, "left_anti"), path, batch_id, "alert_date")
+    dated.unpersist()
+
+
 def write_alerts(alerts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append the alerts of every micro-batch to the log at ``path``, each batch once."""
+    """Append the alerts of every micro-batch to the log at ``path``, each alert once."""
     return (
-        alerts.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+        alerts.writeStream.foreachBatch(lambda batch, batch_id: _write_new(batch, path, batch_id))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

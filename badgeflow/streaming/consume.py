@@ -10,13 +10,16 @@ from ..sources.landing import changes
 STAGE_LOG_SCHEMA = "rows_read long, rows_staged long, staged_at timestamp_ntz, _batch_id long"
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Replace the partition of this batch: a replayed batch adds nothing."""
+def write_batch(rows: DataFrame, path: str, batch_id: int, *by: str) -> None:
+    """Replace the partition of this batch: a replayed batch adds nothing.
+
+    ``by`` divides it further, for rows that are the same in a replay.
+    """
     (
         rows.withColumn("_batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_batch_id")
+        .partitionBy("_batch_id", *by)
         .parquet(path)
     )
 

@@ -65,3 +65,23 @@ def test_state_goes_when_its_time_is_over(spark, session, tmp_path):
     assert len(found) == 3 * len({(s, a) for s, a in found if a < T0 + timedelta(hours=1)})
     # The keys of the last five hours, not those of all three deliveries.
     assert held[2] < 3 * held[0]
+
+
+def test_a_key_over_its_limit_is_told_once(spark, session, tmp_path):
+    """Scans that go on after the alert, hours between them, and a batch with nothing new."""
+    root, user = str(tmp_path), [("B1", "U1", T0)] * 3
+    deliveries = [user, user + [("B2", "U1", T0)], [("B3", "U2", T0 + timedelta(days=1))], [("B3", "U2", T0 + timedelta(days=1))] * 2]
+    found = []
+    for part in deliveries:
+        spark.createDataFrame(part, SCANS).coalesce(1).write.mode("append").parquet(f"{root}/raw")
+        found.append(run(session, root, "both", lambda stream: alerts.scan_alerts(stream, more_than=2), 1)[0])
+    assert found[0] == found[1] == found[2] == [("B1", T0), ("U1", T0)]
+    assert found[3] == sorted(found[0] + [("B3", T0 + timedelta(days=1)), ("U2", T0 + timedelta(days=1))])
+
+
+def test_state_is_kept_without_python_calls(spark, tmp_path):
+    """The state of millions of keys is kept by Spark itself, not by a call a key."""
+    spark.createDataFrame(scans(10), SCANS).coalesce(1).write.parquet(f"{tmp_path}/raw")
+    stream = spark.readStream.schema(SCANS).parquet(f"{tmp_path}/raw")
+    plan = alerts.scan_alerts(stream)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Python" not in plan and "Pandas" not in plan
