@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, Window, functions as F
 
 from ..functions.times import as_time, now
 from ..schemas import FACT_COLUMNS
@@ -183,14 +183,8 @@ def with_event_key(facts: DataFrame, first_key: int = 1) -> DataFrame:
     return facts.withColumn("event_key", F.when(part < 1 << PART_BITS, key).otherwise(too_many))
 
 
-def write_facts(
-    facts: DataFrame,
-    path: str,
-    first_key: int = 1,
-    mode: str = "append",
-    written: Observation | None = None,
-) -> None:
-    """Append to the date-partitioned fact table, with keys from ``first_key``.
+def facts_writer(facts: DataFrame, first_key: int = 1, written: Observation | None = None) -> DataFrameWriter:
+    """Rows laid out for the date-partitioned fact table, with keys from ``first_key``.
 
     REBALANCE sizes the files by volume: a date holding most rows is split over
     many tasks and small dates share one. ``written`` receives ``rows`` and the
@@ -206,7 +200,18 @@ def write_facts(
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.max("event_key"), F.lit(0)).alias("key"),
         )
-    keyed.write.mode(mode).partitionBy("event_date").parquet(path)
+    return keyed.write.partitionBy("event_date")
+
+
+def write_facts(
+    facts: DataFrame,
+    path: str,
+    first_key: int = 1,
+    mode: str = "append",
+    written: Observation | None = None,
+) -> None:
+    """Append to the fact table."""
+    facts_writer(facts, first_key, written).mode(mode).parquet(path)
 
 
 # Bits of each of the two coordinates of the curve.

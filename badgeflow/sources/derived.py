@@ -26,11 +26,6 @@ ORIGINAL, RESENT, FAULTY = 0, 1, 2
 _tables: dict[tuple, DataFrame] = {}
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    store, name = file_system(spark, path)
-    return store.exists(name)
-
-
 def stamp(spark: SparkSession, path: str) -> tuple:
     """What changes when a table does: path, files, bytes and time of change."""
     store, name = file_system(spark, path)

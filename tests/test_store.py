@@ -1,5 +1,6 @@
 """Shared folders: what is stored once is found again, and never where others cannot see it."""
 
+import os
 import shutil
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from badgeflow import session
 from badgeflow.functions.times import time_text
 from badgeflow.plans import warehouse as stored
+from badgeflow.plans.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -34,6 +36,36 @@ def test_changed_input_is_noticed(spark, tmp_path):
     assert after.root != before.root and 0 < after.raw.count() < rows
 
 
+def copy_of_input(folder):
+    folder.mkdir()
+    for name in stored.BUILT_FROM:
+        shutil.copyfile(f"{SMALL}/{name}.parquet", folder / f"{name}.parquet")
+    return str(folder)
+
+
+def test_a_report_stores_what_it_reads_and_no_more(spark, tmp_path):
+    """A load needs no fact, an alert of the fact no logs; what one stored the other finds."""
+    data = copy_of_input(tmp_path / "data")
+    QUERIES["fact_idempotent_load"](spark, data)
+    wh = stored.warehouse(spark, data)
+    have = lambda: {name for name in stored.PARTS if wh._complete(name)}
+    loaded = {"raw", "stg", "dim_zones", "dim_users", "marks/arrival"}
+    assert have() == loaded
+    first = {name: wh.stored(name) for name in loaded}
+    QUERIES["after_hours_alerts"](spark, data).collect()
+    QUERIES["dq_run"](spark, data).collect()
+    assert have() == loaded | {"fct", "marks/event"}
+    assert first == {name: wh.stored(name) for name in loaded}
+
+
+def test_a_half_written_part_is_not_read(spark, tmp_path):
+    wh = stored.warehouse(spark, copy_of_input(tmp_path / "data"))
+    half = f"{wh.root}/dim_zones/00"
+    wh.spark.range(3).write.parquet(half)
+    os.unlink(f"{half}/_SUCCESS")
+    assert wh.zones.count() == 25 and "zone_key" in wh.zones.columns
+
+
 class Cluster:
     """A session on a cluster that names no shared folder."""
 
