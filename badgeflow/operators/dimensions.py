@@ -35,12 +35,12 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def dense_key(df: DataFrame, natural_key: str, key: str, start: Column) -> DataFrame:
+def dense_key(df: DataFrame, natural_key: str, key: str, start: Column, parts: int | None = None) -> DataFrame:
     """Number rows start+1, start+2, ... by a rule of the data alone.
 
     Rows are ranked inside 4096 hash buckets of the natural key and each bucket
     is shifted by the sizes of those before it, so no task sees all rows and a
-    retried task gives the same numbers.
+    retried task gives the same numbers. ``parts`` is the number of tasks that rank them.
     """
     bucket = F.substring(F.md5(F.col(natural_key)), 1, 3)
     rows = df.withColumn("_bucket", bucket)
@@ -52,13 +52,33 @@ def dense_key(df: DataFrame, natural_key: str, key: str, start: Column) -> DataF
     )
     ranked = Window.partitionBy("_bucket").orderBy(natural_key)
     return (
-        rows.withColumn("_rank", F.row_number().over(ranked))
+        _spread(rows, parts, "_bucket").withColumn("_rank", F.row_number().over(ranked))
         .join(F.broadcast(offsets), "_bucket")  # at most 4096 rows
         .withColumn(key, (start + F.col("_before") + F.col("_rank")).cast("long"))
         .drop("_bucket", "_rank", "_before")
     )
 
 
+# Rows of a dimension or its changes for one task, which sorts them several times.
+ROWS_PER_TASK = 250_000
+
+
+def tasks_for(*frames: DataFrame | None) -> int:
+    """Tasks that hold all rows of some frames; stored tables know their number of rows."""
+    return -(-sum(df.count() for df in frames if df is not None) // ROWS_PER_TASK)
+
+
+def _spread(df: DataFrame, parts: int | None, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` to at least so many tasks; left as it is without a number.
+
+    Up to the session's own number of partitions adaptive execution may merge them.
+    """
+    if parts is None:
+        return df
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key) if parts > usual else df.repartition(key)
+
+
 def max_key(dim: DataFrame, key: str) -> Column:
     return dim.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
 
@@ -286,21 +306,22 @@ def _placeholder() -> Column:
     return (F.col("user_name") == UNKNOWN) & (F.col("user_type") == UNKNOWN) & (F.col("department") == UNKNOWN)
 
 
-def versions_of_changes(changes: DataFrame, tracked=TRACKED) -> DataFrame:
+def versions_of_changes(changes: DataFrame, tracked=TRACKED, also: tuple[str, ...] = ()) -> DataFrame:
     """(user_id, tracked, effective_start_date, effective_end_date) from all changes of
     some users: neighbours with equal attributes are one version, each lasts until the
     next, and the order in which changes came does not matter.
 
-    Of changes of one user at one time the one with the greatest attributes counts.
+    Of changes of one user at one time the one with the greatest attributes counts, and
+    the greatest of each column in ``also``.
     """
     order = Window.partitionBy("user_id").orderBy("changed_at")
     picked = changes.filter("user_id IS NOT NULL AND changed_at IS NOT NULL").groupBy("user_id", "changed_at").agg(
-        F.max(F.struct(*tracked)).alias("_new")
+        F.max(F.struct(*tracked)).alias("_new"), *[F.max(c).alias(c) for c in also]
     )
     before = F.lag("_new").over(order)
     islands = picked.withColumn("_before", before).filter(F.col("_before").isNull() | ~F.col("_new").eqNullSafe(F.col("_before")))
     return islands.withColumn("effective_end_date", F.lead("changed_at").over(order)).select(
-        "user_id", "_new.*", F.col("changed_at").alias("effective_start_date"), "effective_end_date"
+        "user_id", "_new.*", *also, F.col("changed_at").alias("effective_start_date"), "effective_end_date"
     )
 
 
@@ -314,24 +335,28 @@ def scd2_rebuild(users: DataFrame, changes: DataFrame, as_of, log: DataFrame | N
     equal neighbour are forgotten, and a later one between the two would not end where
     they did. A version that begins when one did before keeps its key; the key of an
     unknown member goes to the version that was in force when it was added.
+
+    Rows are counted first, so that the number of tasks follows them; all changes of a
+    user, with the keys of the versions that began then, meet in one of them.
     """
     stamp = as_time(as_of)
-    ids = changes.select("user_id").distinct()
-    history = change_points(users, tracked).join(ids, "user_id", "left_semi")
-    if log is not None:
-        history = history.unionByName(log.select("user_id", "changed_at", *tracked).join(ids, "user_id", "left_semi"))
-    versions = versions_of_changes(history.unionByName(changes.select("user_id", "changed_at", *tracked)), tracked)
+    parts = tasks_for(users, changes, log)
+    ids = _spread(changes.select("user_id"), parts, "user_id").distinct()
     old = users.join(ids, "user_id", "left_semi")
-    own = old.filter(~_placeholder()).select(
-        "user_id",
-        "effective_start_date",
-        F.struct("user_key", "created_timestamp", "effective_end_date", "updated_timestamp").alias("_own"),
+    own = F.struct("user_key", "created_timestamp", "effective_end_date", "updated_timestamp")
+    history = old.filter(~_placeholder()).select(
+        "user_id", F.col("effective_start_date").alias("changed_at"), *tracked, own.alias("_own")
     )
+    if log is not None:
+        earlier = log.select("user_id", "changed_at", *tracked).join(ids, "user_id", "left_semi")
+        history = history.unionByName(earlier, allowMissingColumns=True)
+    points = history.unionByName(changes.select("user_id", "changed_at", *tracked), allowMissingColumns=True)
+    versions = versions_of_changes(_spread(points, parts, "user_id"), tracked, ("_own",))
     seen = old.filter(_placeholder()).select(
         "user_id", F.col("effective_start_date").alias("_seen"), F.struct("user_key", "created_timestamp").alias("_first")
     )
     end = F.col("effective_end_date")
-    placed = versions.join(own, ["user_id", "effective_start_date"], "left").join(seen, "user_id", "left")
+    placed = versions.join(seen, "user_id", "left")
     inside = (F.col("effective_start_date") <= F.col("_seen")) & (end.isNull() | (end > F.col("_seen")))
     # An unknown member older than all that is known of the user becomes the first version.
     oldest = F.col("effective_start_date") == F.min("effective_start_date").over(Window.partitionBy("user_id"))
@@ -350,7 +375,7 @@ def scd2_rebuild(users: DataFrame, changes: DataFrame, as_of, log: DataFrame | N
         )
     )
     keyed = made.filter("_kept IS NOT NULL").withColumn("user_key", F.col("_kept"))
-    fresh = dense_key(made.filter("_kept IS NULL"), "_version", "user_key", max_key(users, "user_key"))
+    fresh = dense_key(made.filter("_kept IS NULL"), "_version", "user_key", max_key(users, "user_key"), parts)
     rest = conform(users.join(ids, "user_id", "left_anti"), USER_SCHEMA)
     return rest.unionByName(conform(keyed, USER_SCHEMA)).unionByName(conform(fresh, USER_SCHEMA))
 

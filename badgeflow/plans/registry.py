@@ -296,7 +296,9 @@ def _(spark, d):
     changes = derived.dated_changes(spark, d)
     log = dimensions.change_points(history)
     for part in (1, 2, 0):
-        came = changes.filter(F.col("arrival") % 3 == part).drop("arrival")
+        landed = work_dir(spark, "changes")
+        changes.filter(F.col("arrival") % 3 == part).drop("arrival").write.parquet(landed)
+        came = spark.read.parquet(landed)
         path = work_dir(spark, "versions")
         dimensions.scd2_rebuild(history, came, VERSIONED_AT, log).write.parquet(path)
         history, log = spark.read.parquet(path), log.unionByName(came)

@@ -167,3 +167,24 @@ def test_net_changes_by_counting(spark):
             assert [sum(r._action == a and r._is_update for r in own) for a in ("INSERT", "DELETE")] == [pairs, pairs]
     same = spark.createDataFrame([("a", 1)], "k string, v long")
     assert snapshots.net_changes(same, same, ("k",)).isEmpty()
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """A task holds so many rows, whatever the session's number of partitions, and the
+    versions are those of one task."""
+    points = [change(f"U{i % 40}", i // 40, "ABC"[(i // 7) % 3]) for i in range(400)]
+    first = spark.createDataFrame([version(i + 1, f"U{i}", 3, "B") for i in range(0, 40, 2)], USER_SCHEMA)
+    came = spark.createDataFrame(points, CHANGES)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = sorted(map(str, dims.scd2_rebuild(first, came, STAMP, dims.change_points(first)).collect()))
+    monkeypatch.setattr(dims, "ROWS_PER_TASK", 10)
+    got = dims.scd2_rebuild(first, came, STAMP, dims.change_points(first))
+    assert sorted(map(str, got.collect())) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    parts = -(-(400 + 20 + 20) // 10)
+    assert parts > usual and f"hashpartitioning(user_id" in plan
+    # All that is sorted by user or ranked by bucket is dealt to as many tasks as the rows need.
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line and ", REPARTITION_BY_NUM" in line:
+            assert f", {parts})" in line
+    assert plan.count(f", {parts}), REPARTITION_BY_NUM") >= 3
