@@ -62,3 +62,11 @@ def test_pending_counts_copies_too(spark):
     assert staging.has_pending(rows, log)
     assert not staging.has_pending(rows, log.unionAll(spark.createDataFrame([(1,)], "rows_read long")))
     assert staging.has_pending(rows, log.limit(0))
+
+
+def test_copies_are_sorted_by_time_first(spark):
+    """Badge ids share their first bytes, which are all that a sort compares at once."""
+    rows = spark.createDataFrame([], "badge_id string, event_timestamp timestamp_ntz, ingestion_time timestamp_ntz")
+    plan = staging.dedup_latest(rows)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [event_timestamp" in line for line in sorts)
